@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sequences"]
+MODULES = ["sequences", "consensus"]
 
 
 def registries() -> list:
