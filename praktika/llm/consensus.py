@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from praktika.operators.lineage import cut
+from praktika.operators.lineage import cut, drop
 
 #: Pseudo-counts that draw an annotator's rates on a class to those in its space, and those to a neutral annotator.
 CLASS_PRIOR, SPACE_PRIOR, NEUTRAL = 20.0, 4.0, 0.7
@@ -85,7 +85,8 @@ def consensus(df: DataFrame, item: str, annotator: str, space: Column, label: Co
             break
         before, rounds = now.withColumnRenamed("now", "was"), rounds + 1
         own = F.col("_total") - F.col("_w")
-        edges = cut(beliefs.join(total, ["_item", "_space", "_cls"]).select("_item", "_space", "_ann", "_cls", "_hit", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), own))))).alias("_p")))
+        old, edges = edges, cut(beliefs.join(total, ["_item", "_space", "_cls"]).select("_item", "_space", "_ann", "_cls", "_hit", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), own))))).alias("_p")))
+        drop(old)
 
     best = total.join(votes.withColumnRenamed("_label", "_cls"), ["_item", "_space", "_cls"]).groupBy("_item", "_space").agg(F.max(F.struct("_total", "_votes", "_cls")).alias("_best"))
     items = best.join(n, ["_item", "_space"]).select(

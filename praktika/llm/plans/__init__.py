@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sequences", "consensus"]
+MODULES = ["sequences", "consensus", "unify"]
 
 
 def registries() -> list:
