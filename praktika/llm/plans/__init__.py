@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sequences", "consensus", "unify"]
+MODULES = ["sequences", "consensus", "unify", "encoding"]
 
 
 def registries() -> list:
