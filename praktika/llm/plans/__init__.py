@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sequences", "consensus", "unify", "encoding"]
+MODULES = ["sequences", "consensus", "unify", "encoding", "leaks"]
 
 
 def registries() -> list:
