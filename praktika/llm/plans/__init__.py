@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sequences", "consensus", "unify", "encoding", "leaks"]
+MODULES = ["sequences", "consensus", "unify", "encoding", "leaks", "names"]
 
 
 def registries() -> list:
