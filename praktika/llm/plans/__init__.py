@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sequences", "consensus", "unify", "encoding", "leaks", "names"]
+MODULES = ["sequences", "consensus", "unify", "encoding", "leaks", "names", "entities"]
 
 
 def registries() -> list:
