@@ -94,25 +94,42 @@ def city_of(names: pd.Series) -> pd.Series:
     return names.map(city_key, na_action="ignore").astype("object")
 
 
-#: The rules, strongest first: attributes that must be shown by both sides and be equal, besides city and date.
-RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
-    ("work_company", ("topic", "work", "company")), ("work_street", ("topic", "work", "street")), ("work_place", ("topic", "work", "place")), ("work_amount", ("topic", "work", "amount")),
-    ("place_amount", ("topic", "place", "amount")), ("club_amount", ("topic", "club", "amount")), ("street", ("topic", "street")), ("amount", ("topic", "amount")), ("ordinal", ("topic", "ordinal")),
-    ("club", ("topic", "club")), ("work", ("topic", "work")), ("place", ("topic", "place")), ("company", ("topic", "company")), ("house", ("topic", "house")), ("street_only", ("street",)), ("amount_only", ("amount",)),
+#: The rules, strongest first, in passes: attributes that both sides must show and that must be equal, besides city
+#: and date. The rules of one pass are joined together, the stronger taking precedence.
+PASSES: tuple[tuple[tuple[str, tuple[str, ...]], ...], ...] = (
+    (("work_company", ("topic", "work", "company")), ("work_street", ("topic", "work", "street")), ("work_place", ("topic", "work", "place")), ("work_amount", ("topic", "work", "amount")), ("place_amount", ("topic", "place", "amount")), ("club_amount", ("topic", "club", "amount"))),
+    (("street", ("topic", "street")), ("amount", ("topic", "amount")), ("ordinal", ("topic", "ordinal")), ("club", ("topic", "club"))),
+    (("work", ("topic", "work")), ("place", ("topic", "place")), ("company", ("topic", "company"))),
+    (("house", ("topic", "house")), ("street_only", ("street",)), ("amount_only", ("amount",))),
+    (("topic_in_run", ("topic",)),),
 )
 
 
+def _keys() -> Column:
+    """A record's keys under each rule whose attributes it shows."""
+    rules = [(str(k), rule, on) for k, rules in enumerate(PASSES) for rule, on in rules]
+    keys = [
+        F.when(
+            F.expr(" and ".join(f"{c} is not null" for c in ("city", *on))),
+            F.struct(F.lit(k).alias("pass"), F.lit(n).alias("rank"), F.lit(rule).alias("rule"), F.concat_ws("\t", F.lit(rule), "city", *on).alias("key")),
+        )
+        for n, (k, rule, on) in enumerate(rules)
+    ]
+    return F.explode(F.array_compact(F.array(*keys)))
+
+
 def link_records(subjects: DataFrame, decisions: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """One decision per subject and one subject per decision, with the rule that found it and its confidence.
 
     ``subjects``: subject_id, meeting_id, city, day (date of the meeting), position, text. ``decisions``: ada, city,
     issued, published (dates, null where unknown), number (of the protocol, null where unknown), text.
 
-    Each rule joins what is still open on the city and on equal attributes; both must show all of them. A decision is
-    issued within ISSUE_DAYS of its meeting, or where that date is missing published within PUBLISH_DAYS. Where a
-    rule meets several partners, the one whose number fits the meeting's run, then the nearest in time is taken if it
-    is alone; a pair is refused where an attribute that both show differs by more than AGAINST; pairs that are each other's choice are resolved and leave the later rules. Last, subjects and decisions
-    of one meeting that are alone with their topic are joined if the number runs on.
+    Each pass joins what is still open on the city and on the equal attributes of its rules; both sides must show all
+    of a rule's. A decision is issued within ISSUE_DAYS of its meeting, or where that date is missing published within
+    PUBLISH_DAYS; a pair is refused where an attribute that both show differs by more than AGAINST. Of several
+    partners the one of the stronger rule, then the one whose number fits the meeting's run, then the nearest in time
+    is taken if it is alone; pairs that are each other's choice are resolved and leave the later passes. The last
+    joins subjects and decisions by their topic, if the number runs on.
 
     Confidence is the share of a rule's pairs that are right by ``labels`` (subject_id, ada), smoothed. Without
     labels a pair counts as right if its number lies in the run of its meeting's other pairs, an attribute that the
@@ -121,67 +138,56 @@ def link_records(subjects: DataFrame, decisions: DataFrame, labels: DataFrame |
     Null texts, cities and dates match nothing by themselves; repeated rows count once; ties stay open; empty tables
     give an empty result. Out: subject_id, ada, rule, confidence.
     """
-    s = cut(subjects.where("subject_id is not null").dropDuplicates(["subject_id"]).select("subject_id", "meeting_id", city_of("city").alias("city"), "day", "position", facts_of("text").alias("f")).select("*", "f.*").drop("f"))
-    d = cut(decisions.where("ada is not null").dropDuplicates(["ada"]).select("ada", city_of("city").alias("city"), "issued", "published", "number", facts_of("text").alias("g")).select("*", "g.*").drop("g"))
-    done: DataFrame | None = None
-    for rank, (rule, on) in enumerate([*RULES, ("topic_in_run", ("topic",))]):
-        open_s, open_d = s, d
-        if done is not None:
-            open_s, open_d = s.join(done, "subject_id", "left_anti"), d.join(done, "ada", "left_anti")
-        runs = None if done is None else _runs(done, s, d)
-        pairs = _pairs(open_s, open_d, on, runs, rule == "topic_in_run")
-        new = pairs.withColumns({"rule": F.lit(rule), "rank": F.lit(rank)})
-        old, done = done, cut(new if done is None else done.unionByName(new))
-        if old is not None:
-            drop(old)
-    return _with_confidence(done, s, d, labels)
-
-
-def _runs(done: DataFrame, s: DataFrame, d: DataFrame) -> DataFrame:
+    # the passes share one plan over these two tables; only a string in it differs
+    s = cut(subjects.where("subject_id is not null").dropDuplicates(["subject_id"]).select("subject_id", "meeting_id", city_of("city").alias("city"), "day", "position", facts_of("text").alias("f")).select("*", "f.*").select("subject_id", "meeting_id", "day", "position", F.struct("gist", *AGAINST).alias("s"), _keys().alias("k")))
+    d = cut(decisions.where("ada is not null").dropDuplicates(["ada"]).select("ada", city_of("city").alias("city"), "issued", "published", "number", facts_of("text").alias("g")).select("*", "g.*").select("ada", "issued", "published", "number", F.struct("gist", *AGAINST).alias("d"), _keys().alias("k")))
+    done = cut(s.limit(0).select("subject_id", "meeting_id", "position", F.lit("").alias("ada"), F.lit(0).alias("number"), F.lit("").alias("rule")))
+    for k in range(len(PASSES)):
+        open_s = s.where(F.col("k.pass") == str(k)).join(done, "subject_id", "left_anti")
+        open_d = d.where(F.col("k.pass") == str(k)).join(done, "ada", "left_anti")
+        old, done = done, cut(done.unionByName(_pairs(open_s, open_d, _runs(done), k == len(PASSES) - 1)))
+        drop(old)
+    return _with_confidence(done, labels)
+
+
+def _runs(done: DataFrame) -> DataFrame:
     """Per meeting the middle of its resolved numbers less the positions: where its run of numbers begins."""
-    known = done.join(s.select("subject_id", "meeting_id", "position"), "subject_id").join(d.select("ada", "number"), "ada").where("number is not null and position is not null")
+    known = done.where("number is not null and position is not null")
     return known.groupBy("meeting_id").agg(F.percentile_approx(F.col("number") - F.col("position"), 0.5).alias("begin"), F.count("*").alias("known"))
 
 
-def _fits(runs_known: Column) -> Column:
+def _fits(enough: Column) -> Column:
     off = F.abs(F.col("number") - F.col("position") - F.col("begin"))
-    return F.when(runs_known & F.col("number").isNotNull() & F.col("position").isNotNull(), (off <= RUN_SLACK).cast("int"))
+    return F.when(enough & F.col("number").isNotNull() & F.col("position").isNotNull(), (off <= RUN_SLACK).cast("int"))
 
 
-def _pairs(s: DataFrame, d: DataFrame, on: tuple[str, ...], runs: DataFrame | None, need_run: bool) -> DataFrame:
-    shown = " and ".join(f"{c} is not null" for c in ("city", *on))
-    a = s.where(shown).select("subject_id", "meeting_id", "day", "position", "city", *on, F.struct("gist", *AGAINST).alias("s"))
-    b = d.where(shown).select("ada", "issued", "published", "number", "city", *on, F.struct("gist", *AGAINST).alias("d"))
+def _pairs(s: DataFrame, d: DataFrame, runs: DataFrame, need_run: bool) -> DataFrame:
     lag_i, lag_p = F.datediff("issued", "day"), F.datediff("published", "day")
     in_time = F.when(F.col("issued").isNotNull(), lag_i.between(0, ISSUE_DAYS)).otherwise(F.col("published").isNull() | lag_p.between(0, PUBLISH_DAYS))
     against = F.lit(False)
     for slot, edits in AGAINST.items():
         against = against | F.coalesce(F.levenshtein(F.col(f"s.{slot}"), F.col(f"d.{slot}")) > edits, F.lit(False))
-    both = a.join(b, ["city", *on]).where(F.coalesce(in_time, F.lit(False)) & ~against)
-    if runs is not None:
-        both = both.join(runs, "meeting_id", "left")
-        both = both.withColumn("fits", _fits(F.coalesce(F.col("known") >= 2, F.lit(False))))
-    else:
-        both = both.withColumn("fits", F.lit(None).cast("int"))
+    a = s.select("*", F.col("k.key").alias("key"), F.col("k.rule").alias("rule"), F.col("k.rank").alias("rank")).drop("k")
+    both = a.join(d.withColumn("key", F.col("k.key")).drop("k"), "key").where(F.coalesce(in_time, F.lit(False)) & ~against)
+    both = both.join(runs, "meeting_id", "left").withColumn("fits", _fits(F.coalesce(F.col("known") >= 2, F.lit(False))))
     if need_run:
         both = both.where("fits = 1")
-    # lower is better: does the number run on, in how many days, how many words are shared
+    # lower is better: the rule, whether the number runs on, in how many days, how many words are shared
     words = F.size(F.array_intersect(F.split("s.gist", " "), F.split("d.gist", " ")))
-    score = F.struct(
-        F.when(F.col("fits") == 1, 0).when(F.col("fits").isNull(), 1).otherwise(2).alias("run"), F.coalesce(lag_i, lag_p + ISSUE_DAYS, F.lit(9999)).alias("lag"), (-words).alias("words")
-    )
-    both = both.withColumn("score", score).select("subject_id", "ada", "score")
-    by_s, by_d = (Window.partitionBy(k).orderBy("score") for k in ("subject_id", "ada"))
+    run = F.when(F.col("fits") == 1, 0).when(F.col("fits").isNull(), 1).otherwise(2)
+    score = F.struct("rank", run.alias("run"), F.coalesce(lag_i, lag_p + ISSUE_DAYS, F.lit(9999)).alias("lag"), (-words).alias("words"))
+    both = both.select("subject_id", "meeting_id", "position", "ada", "number", "rule", score.alias("score"))
+    both = both.groupBy("subject_id", "ada").agg(F.min_by(F.struct("meeting_id", "position", "number", "rule"), "score").alias("p"), F.min("score").alias("score"))
+    by_s, by_d = (Window.partitionBy(x).orderBy("score") for x in ("subject_id", "ada"))
     ranked = both.withColumns({"rs": F.rank().over(by_s), "rd": F.rank().over(by_d)}).where("rs = 1 and rd = 1")
     alone = ranked.withColumns({"ns": F.count("*").over(Window.partitionBy("subject_id")), "nd": F.count("*").over(Window.partitionBy("ada"))})
-    return alone.where("ns = 1 and nd = 1").select("subject_id", "ada")
+    return alone.where("ns = 1 and nd = 1").select("subject_id", "p.meeting_id", "p.position", "ada", "p.number", "p.rule")
 
 
-def _with_confidence(done: DataFrame, s: DataFrame, d: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _with_confidence(done: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is not None:
         marked = done.join(labels.select("subject_id", F.col("ada").alias("right_ada")).distinct(), "subject_id").withColumn("good", (F.col("ada") == F.col("right_ada")).cast("double"))
     else:
-        pairs = done.join(s.select("subject_id", "meeting_id", "position"), "subject_id").join(d.select("ada", "number"), "ada").join(_runs(done, s, d), "meeting_id")
-        marked = pairs.withColumn("good", _fits(F.col("known") >= 3).cast("double")).where("good is not null")
+        marked = done.join(_runs(done), "meeting_id").withColumn("good", _fits(F.col("known") >= 3).cast("double")).where("good is not null")
     precision = marked.groupBy("rule").agg(((F.sum("good") + RIGHT) / (F.count("*") + RIGHT + WRONG)).alias("confidence"))
     return done.join(precision, "rule", "left").select("subject_id", "ada", "rule", F.coalesce("confidence", F.lit(RIGHT / (RIGHT + WRONG))).alias("confidence"))
