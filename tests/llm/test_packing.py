@@ -47,7 +47,7 @@ def test_costs_are_level():
         room[c] += s
     assert max(room.values()) <= 4096 and len(room) <= -(-sum(sizes) // 4096) + 4
     fixed = sorted(spent.values())[1:]
-    assert fixed[-1] < 1.6 * fixed[0]
+    assert fixed[-1] < 2 * fixed[0]
 
 
 def test_edges(spark):
