@@ -79,8 +79,12 @@ def name_leftovers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.leftovers(raw, roster, matched, "city_id", "name", "id")[0]
 
 
+def city(column: str):
+    """A city's name without what kind of body it is, folded."""
+    return F.trim(F.regexp_replace(F.regexp_replace(X.fold(F.col(column)), "[^α-ω]+", " "), r"^\s*(δημοσ|δ)\s", ""))
+
+
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    city = lambda c: F.trim(F.regexp_replace(F.regexp_replace(X.fold(F.col(c)), "[^α-ω]+", " "), r"^\s*(δημοσ|δ)\s", ""))
     subjects = table(spark, sf_dir, "match_subjects").select("subject_id", "name", city("city_name").alias("city"), F.to_date("meeting_date").alias("day")).distinct()
     decisions = table(spark, sf_dir, "decisions").select("ada", "subject", F.col("ord").alias("d_ord"), city("organization_label").alias("city"), F.to_date(F.timestamp_millis("publish_timestamp_ms")).alias("published")).distinct()
     return subjects, decisions
@@ -103,7 +107,6 @@ def token_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query("q_decision_window", f"SELECT meeting_id, count(DISTINCT ada) AS n FROM (SELECT DISTINCT meeting_id, {_CITY.format('city_name')} AS city, CAST(meeting_date AT TIME ZONE 'UTC' AS DATE) AS day FROM match_subjects) s JOIN (SELECT DISTINCT ada, {_CITY.format('organization_label')} AS city, CAST(epoch_ms(issue_date_ms) AS DATE) AS issued FROM decisions WHERE status <> 'REVOKED') d USING (city) WHERE issued BETWEEN day AND day + 45 GROUP BY 1")
 def decision_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions of a meeting's organisation that were issued in the 45 days after it."""
-    city = lambda c: F.trim(F.regexp_replace(F.regexp_replace(X.fold(F.col(c)), "[^α-ω]+", " "), r"^\s*(δημοσ|δ)\s", ""))
     meetings = table(spark, sf_dir, "match_subjects").select("meeting_id", city("city_name").alias("city"), F.to_date("meeting_date").alias("day")).distinct()
     issued = table(spark, sf_dir, "decisions").where("status != 'REVOKED'").select("ada", city("organization_label").alias("city"), F.to_date(F.timestamp_millis("issue_date_ms")).alias("issued")).distinct()
     return meetings.join(issued, "city").where(F.col("issued").between(F.col("day"), F.date_add("day", 45))).groupBy("meeting_id").agg(F.count_distinct("ada").alias("n"))
