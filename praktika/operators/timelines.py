@@ -34,22 +34,29 @@ def contained_join(a: DataFrame, b: DataFrame, key: str, a_span: tuple[str, str]
     return left.join(right, [key, "_b"]).where((F.col(b_span[0]) <= F.col(a_span[0])) & (F.col(b_span[1]) >= F.col(a_span[1]))).drop("_b")
 
 
-def nearest_segment(items: DataFrame, segments: DataFrame, key: list[str], item: str, span: tuple[str, str], seg_span: tuple[str, str], order: str) -> DataFrame:
-    """For each item and speaker the nearest of the speaker's segments, by the sum of distances of both ends.
+def nearest_segment(items: DataFrame, segments: DataFrame, key: str, item: str, span: tuple[str, str], seg_span: tuple[str, str], order: str, width: float = BUCKET_SECONDS) -> DataFrame:
+    """For each item and each speaker who overlaps it the nearest of the speaker's segments, by the distances of both ends.
 
     A later segment that holds the item beats whatever came before it, the first one of a speaker excepted; after it
     a nearer one beats it again: the nearest, first on ties, among those from the last such segment on.
+
+    Who overlaps comes from the bucketed join; the nearest overlapping segment then bounds how far a start can lie
+    that is nearer still, and a second bucketed join on (key, speaker, bucket of the start) looks only there.
     ``segments`` hold ``key``, a speaker, ``seg_span`` and ``order``; ``items`` hold ``key``, ``item`` and ``span``.
     """
     (s, e), (a, b) = span, seg_span
-    ranked = segments.withColumn("_i", F.row_number().over(Window.partitionBy(*key, "speaker").orderBy(order)) - 1)
-    pairs = items.join(ranked, key)
-    holds = (F.col(a) <= F.col(s)) & (F.col(b) >= F.col(e)) & (F.col("_i") >= 1)
+    ranked = segments.withColumn("_i", F.row_number().over(Window.partitionBy(key, "speaker").orderBy(order)) - 1).select(key, "speaker", a, b, "_i")
     far = F.abs(F.col(a) - F.col(s)) + F.abs(F.col(b) - F.col(e))
-    pairs = pairs.select(*key, item, s, e, "speaker", a, b, "_i", F.when(holds, F.col("_i")).alias("_k"), far.alias("_far"))
-    since = pairs.withColumn("_since", F.coalesce(F.max("_k").over(Window.partitionBy(*key, item, "speaker")), F.lit(0)))
-    best = since.where("_i >= _since").groupBy(*key, item, "speaker").agg(F.min_by(F.struct(s, e, a, b), F.struct("_far", "_i")).alias("m"))
-    return best.select(*key, item, "speaker", "m.*")
+    holds = (F.col(a) <= F.col(s)) & (F.col(b) >= F.col(e)) & (F.col("_i") >= 1)
+    met = overlap_join(items.select(key, item, s, e), ranked, key, span, seg_span, width).withColumns({"_far": far, "_k": F.when(holds, F.col("_i"))})
+    since = met.withColumn("_since", F.coalesce(F.max("_k").over(Window.partitionBy(key, item, "speaker")), F.lit(0)))
+    # where only earlier ones overlap, the segment on from which the choice is made is itself among them
+    reach = since.where("_i >= _since").groupBy(key, item, s, e, "speaker").agg(F.min("_since").alias("_since"), F.min("_far").alias("_most"))
+    at = lambda x: F.floor(x / F.lit(width))
+    asked = reach.withColumn("_b", F.explode(F.sequence(at(F.col(s) - F.col("_most")), at(F.col(s) + F.col("_most")))))
+    pairs = asked.join(ranked.withColumn("_b", at(F.col(a))), [key, "speaker", "_b"]).withColumn("_far", far).where("_i >= _since and _far <= _most")
+    best = pairs.groupBy(key, item, "speaker").agg(F.min_by(F.struct(s, e, a, b), F.struct("_far", "_i")).alias("m"))
+    return best.select(key, item, "speaker", "m.*")
 
 
 def bridge_gaps(df: DataFrame, key: str, order: str, start: str, end: str, most: float = 2.0) -> DataFrame:

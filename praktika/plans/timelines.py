@@ -50,14 +50,14 @@ def contained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _NEAR = f"""
     WITH g AS (SELECT *, row_number() OVER (PARTITION BY meeting_id, speaker_id ORDER BY ord) - 1 AS i FROM {_SEG}),
-    p AS (SELECT u.meeting_id, u.utterance_id, u.s, u.e, g.speaker_id, g.a, g.b, g.i, g.ord, abs(g.a - u.s) + abs(g.b - u.e) AS far, CASE WHEN g.a <= u.s AND g.b >= u.e AND g.i >= 1 THEN g.i END AS k FROM {_UTT} u JOIN g USING (meeting_id)),
+    p AS (SELECT u.meeting_id, u.utterance_id, u.s, u.e, g.speaker_id, g.a, g.b, g.i, g.ord, abs(g.a - u.s) + abs(g.b - u.e) AS far, CASE WHEN g.a <= u.s AND g.b >= u.e AND g.i >= 1 THEN g.i END AS k FROM {_UTT} u JOIN g USING (meeting_id) WHERE (u.utterance_id, g.speaker_id) IN (SELECT (v.utterance_id, h.speaker_id) FROM {_UTT} v JOIN {_SEG} h ON v.meeting_id = h.meeting_id AND h.a <= v.e AND h.b >= v.s)),
     c AS (SELECT *, coalesce(max(k) OVER (PARTITION BY utterance_id, meeting_id, speaker_id), 0) AS since FROM p),
     n AS (SELECT meeting_id, utterance_id, speaker_id, arg_min((s, e, a, b), (far, i)) AS m FROM c WHERE i >= since GROUP BY ALL)"""
 
 
 @registry.query("q_nearest_segment", _NEAR + " SELECT utterance_id, speaker_id, m[3] AS a, m[4] AS b FROM n".replace("m[3]", "struct_extract_at(m, 3)").replace("m[4]", "struct_extract_at(m, 4)"))
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = T.nearest_segment(utterances(spark, sf_dir).drop("ord"), segments(spark, sf_dir), ["meeting_id"], "utterance_id", ("s", "e"), ("a", "b"), "ord")
+    found = T.nearest_segment(utterances(spark, sf_dir).drop("ord"), segments(spark, sf_dir), "meeting_id", "utterance_id", ("s", "e"), ("a", "b"), "ord")
     return found.select("utterance_id", F.col("speaker").alias("speaker_id"), "a", "b")
 
 
@@ -70,7 +70,7 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def diarize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The speaker whose nearest segment drifts least from each utterance; a segment that holds it drifts nothing."""
-    found = T.nearest_segment(utterances(spark, sf_dir).drop("ord"), segments(spark, sf_dir), ["meeting_id"], "utterance_id", ("s", "e"), ("a", "b"), "ord")
+    found = T.nearest_segment(utterances(spark, sf_dir).drop("ord"), segments(spark, sf_dir), "meeting_id", "utterance_id", ("s", "e"), ("a", "b"), "ord")
     apart = F.sqrt((F.col("a") - F.col("s")) * (F.col("a") - F.col("s")) + (F.col("b") - F.col("e")) * (F.col("b") - F.col("e")))
     drift = F.when((F.col("a") <= F.col("s")) & (F.col("b") >= F.col("e")), 0.0).otherwise(F.round(apart, 6))
     scored = found.select("utterance_id", "speaker", drift.alias("drift"))
