@@ -55,8 +55,8 @@ def nearest_segment(items: DataFrame, segments: DataFrame, key: str, item: str,
     at = lambda x: F.floor(x / F.lit(width))
     asked = reach.withColumn("_b", F.explode(F.sequence(at(F.col(s) - F.col("_most")), at(F.col(s) + F.col("_most")))))
     pairs = asked.join(ranked.withColumn("_b", at(F.col(a))), [key, "speaker", "_b"]).withColumn("_far", far).where("_i >= _since and _far <= _most")
-    best = pairs.groupBy(key, item, "speaker").agg(F.min_by(F.struct(s, e, a, b), F.struct("_far", "_i")).alias("m"))
-    return best.select(key, item, "speaker", "m.*")
+    best = pairs.groupBy(key, item, "speaker").agg(F.min_by(F.struct(s, e, a, b), F.struct("_far", "_i")).alias("_m"))
+    return best.select(key, item, "speaker", "_m.*")
 
 
 def bridge_gaps(df: DataFrame, key: str, order: str, start: str, end: str, most: float = 2.0) -> DataFrame:
