@@ -283,6 +283,8 @@ def link_spellings(spellings: DataFrame, roster: DataFrame, within: str, raw: st
     def away(raws: pd.Series, names: pd.Series) -> pd.Series:
         return pd.Series([distance(a, b) for a, b in zip(raws, names)], dtype="float64")
 
+    # Catalyst would copy a deterministic function into the filters it infers and so call it two or three times
+    keys_of_person, keys_of_spelling, away = (f.asNondeterministic() for f in (keys_of_person, keys_of_spelling, away))
     people = roster.select(F.col(within).alias("_in"), F.col(person_id).alias("_id"), F.col(name).alias("_name")).where("_in is not null and _id is not null and _name is not null").distinct()
     typed = spellings.select(F.col(within).alias("_in"), F.col(raw).alias("_raw")).where("_in is not null and _raw is not null").distinct()
     index = people.withColumn("_key", F.explode(keys_of_person("_name")))
