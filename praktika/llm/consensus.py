@@ -73,13 +73,15 @@ def consensus(df: DataFrame, item: str, annotator: str, space: Column, label: Co
     edges = labels.join(classes.select("_item", "_space", F.col("_label").alias("_cls"), (F.col("_votes") / F.col("_n")).alias("_p")), ["_item", "_space"])
     edges = cut(edges.select("_item", "_space", "_ann", "_cls", (F.col("_label") == F.col("_cls")).alias("_hit"), "_p"))
 
-    before, rounds, change = None, 0, 0.0
+    before, rounds, change, small = None, 0, 0.0, None
     while True:
         rates = cut(_reliabilities(edges))
         now = rates.select("_space", "_ann", (F.col("tp_s") / F.col("n_s")).alias("now")).distinct()
         if before is not None:
             change = now.join(before, ["_space", "_ann"]).agg(F.max(F.abs(F.col("now") - F.col("was")))).first()[0] or 0.0
-        beliefs = _messages(edges, rates)
+        if small is None:
+            small = rates.count() <= BROADCAST_ROWS  # there are as many rows in every round
+        beliefs = _messages(edges, F.broadcast(rates) if small else rates)
         total = beliefs.groupBy("_item", "_space", "_cls").agg((F.sum("_w") + F.max("_prior")).alias("_total"))
         if (before is not None and change <= TOLERANCE) or rounds == MAX_ROUNDS:
             break
@@ -104,8 +106,6 @@ def consensus(df: DataFrame, item: str, annotator: str, space: Column, label: Co
 
 def _messages(edges: DataFrame, rates: DataFrame) -> DataFrame:
     """``edges`` with ``_w``, the annotator's message on the class, and ``_prior``, the class's own log-odds."""
-    if rates.count() <= BROADCAST_ROWS:
-        rates = F.broadcast(rates)
     p, hit = F.col("_p"), F.col("_hit").cast("double")
     others = F.greatest(F.col("n_s") - 1, F.lit(0.0))
     right = F.greatest(F.col("tp_s") - p * hit, F.lit(0.0))
