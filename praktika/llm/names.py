@@ -184,8 +184,10 @@ def person_keys(name: str) -> list[str]:
     for kind, how in READINGS:
         given, surnames = p.heard(how)
         keys |= {k for g in given for s in surnames for t in (g + s, s + g) for k in index_keys(t, kind)}
-        keys |= {k for s in surnames for k in index_keys(s, f"S{kind}")}
-        keys |= {f"P{kind}{s[:n]}" for s in surnames for n in range(STEM, min(len(s), 9) + 1)}
+        # a surname beside an abbreviated given name is looked up together with the latter's initial
+        for initial in {g[0] for g in p.given}:
+            keys |= {k for s in surnames for k in index_keys(s, f"S{kind}{initial}")}
+            keys |= {f"P{kind}{initial}{s[:n]}" for s in surnames for n in range(STEM, min(len(s), 9) + 1)}
     return sorted(keys)
 
 
@@ -197,9 +199,10 @@ def spelling_keys(raw: str) -> list[str]:
         if read and not s.short:
             keys.update(probe_keys("".join(read), kind))
         elif read:
-            keys.update(k for w in {"".join(read), *read} for k in probe_keys(w, f"S{kind}"))
-        else:
-            keys |= {f"P{kind}{how(b)}" for b, _ in s.short if len(how(b)) >= STEM}
+            initial = s.short[0][0][0]
+            keys.update(k for w in {"".join(read), *read} for k in probe_keys(w, f"S{kind}{initial}"))
+        elif len(s.short) == 2:
+            keys |= {f"P{kind}{b[0][0]}{how(a[0])}" for a, b in (s.short, s.short[::-1]) if len(how(a[0])) >= STEM}
     return sorted(keys)
 
 
