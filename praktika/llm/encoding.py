@@ -28,6 +28,7 @@ SUSPECT = (
     r"|[À-ÿ]{3}|[Â-ßΒ-Ω][ -¿‐-…€]"
 )
 
+_SUSPECT = re.compile(SUSPECT)
 _SEQUENCE = rb"(?:[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})"
 #: The byte-structure automaton: maximal runs of well-formed sequences of two or more bytes.
 _SPAN = re.compile(_SEQUENCE + b"+")
@@ -128,10 +129,12 @@ def _one_byte(text: str) -> str | None:
     parts = _PARTS.split(text)
     best: tuple[int, str] | None = None
     for read, written in ONE_BYTE:
+        raw, at = legacy_bytes(text, read), 0
         out, good, before = [], 0, False
         for part in parts:
+            at, bytes_ = at + len(part), raw[at : at + len(part)]
             fine, all_, fixed = 0, 0, part
-            spans = [(m.start(), m.end(), m.group().decode(written, "replace")) for m in _HIGH.finditer(legacy_bytes(part, read))]
+            spans = [(m.start(), m.end(), m.group().decode(written, "replace")) for m in _HIGH.finditer(bytes_)]
             spans = [s for s in spans if part[s[0] : s[1]] != s[2] and (read == "cp1253" or not _ALL_GREEK.fullmatch(part, s[0], s[1]))]
             for _, _, word in spans:
                 bare = word.strip("«»·΄\xa0")
@@ -156,6 +159,8 @@ def restore(text: str) -> Restored:
     """``text`` with its garbled spans decoded, layer by layer."""
     now, garbled = text, False
     for _ in range(LAYERS):
+        if not _SUSPECT.search(now):
+            break  # sound by now
         fixed = _multibyte(now)
         if fixed is None:
             fixed = _one_byte(now)
