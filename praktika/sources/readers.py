@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, InputPartition, LessThanOrEqual
 
 SUBJECT = "struct<subjectId string, name string, agendaItemIndex int, nonAgendaReason string>"
-WRAPPED = f"meeting struct<meetingId string, date string, diavgeiaUid string, unitIds array<string>, unitId string>, subjects array<{SUBJECT}>"
+WRAPPED = f"meeting struct<meetingId string, date string, unitIds array<string>, unitId string>, subjects array<{SUBJECT}>"
 
 
 def read_subjects(spark: SparkSession, path: str, meeting_id: str | None = None, date: str | None = None) -> DataFrame:
@@ -18,7 +18,7 @@ def read_subjects(spark: SparkSession, path: str, meeting_id: str | None = None,
     Rows without an id or a name fail the read. A single unit id of older files becomes a list of one.
     """
     raw = spark.read.text(path, wholetext=True)
-    whole = raw.select(F.from_json("value", WRAPPED, {"mode": "FAILFAST"}).alias("w")) if not _is_array(raw) else raw.select(F.struct(F.from_json("value", "struct<meetingId string, date string, diavgeiaUid string, unitIds array<string>, unitId string>").alias("meeting"), F.from_json("value", f"array<{SUBJECT}>", {"mode": "FAILFAST"}).alias("subjects")).alias("w"))
+    whole = raw.select(F.from_json("value", WRAPPED, {"mode": "FAILFAST"}).alias("w")) if not _is_array(raw) else raw.select(F.struct(F.from_json("value", "struct<meetingId string, date string, unitIds array<string>, unitId string>").alias("meeting"), F.from_json("value", f"array<{SUBJECT}>", {"mode": "FAILFAST"}).alias("subjects")).alias("w"))
     rows = whole.select("w.meeting", F.posexplode("w.subjects").alias("ord", "s"))
     need = lambda c, n: F.when(F.coalesce(F.length(c), F.lit(0)) == 0, F.raise_error(F.lit(f"a subject has no {n}")).cast("string")).otherwise(c)
     units = F.coalesce("meeting.unitIds", F.when(F.col("meeting.unitId").isNotNull(), F.array("meeting.unitId")))
