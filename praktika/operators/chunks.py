@@ -16,9 +16,34 @@ def prefix_sum(df: DataFrame, key: str, chunk: str, order: list[Column], value:
 
     Rows of equal order must have been merged before. ``key`` may be a struct; nulls inside it compare equal.
     """
-    local = Window.partitionBy(key, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    within = df.withColumn(out, F.sum(value).over(local))
-    totals = df.groupBy(key, chunk).agg(F.sum(value).alias("_total"))
-    before = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, chunk, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
-    return within.join(offsets, [key, chunk]).withColumn(out, F.col(out) + F.col("_offset")).drop("_offset")
+    # inside a struct nulls are equal, in windows and joins alike, and all three share one partitioning
+    rows = df.withColumn("_whole", F.struct(key))
+    local = Window.partitionBy("_whole", chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    within = rows.withColumn(out, F.sum(value).over(local))
+    totals = rows.groupBy("_whole", chunk).agg(F.sum(value).alias("_total"))
+    before = Window.partitionBy("_whole").orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_whole", chunk, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    return within.join(offsets, ["_whole", chunk]).withColumn(out, F.col(out) + F.col("_offset")).drop("_whole", "_offset")
+
+
+#: Positions of a chunk where a key is ordered by position.
+CHUNK_POSITIONS = 4096
+
+
+def position_chunk(position: str) -> Column:
+    """The chunk of a numeric position; rows without one come first."""
+    return F.coalesce(F.floor(F.col(position) / CHUNK_POSITIONS), F.lit(-1)).cast("bigint")
+
+
+def neighbours(df: DataFrame, key: str, chunk: str, order: list[str], payload: list[str], before: str = "_before", after: str = "_after") -> DataFrame:
+    """``df`` with the payload of the rows before and after each row of ``key`` in ``order`` (null at the ends).
+
+    ``order`` must tell rows apart. Only the first and last row of each chunk is windowed over the whole key.
+    """
+    p, at, rows = F.struct(*payload), F.struct(*order), df.withColumn("_whole", F.struct(key))
+    local = Window.partitionBy("_whole", chunk).orderBy(*order)
+    ends = rows.groupBy("_whole", chunk).agg(F.min_by(p, at).alias("_first"), F.max_by(p, at).alias("_last"))
+    whole = Window.partitionBy("_whole").orderBy(chunk)
+    ends = ends.select("_whole", chunk, F.lag("_last").over(whole).alias("_l"), F.lead("_first").over(whole).alias("_n"))
+    joined = rows.withColumns({before: F.lag(p).over(local), after: F.lead(p).over(local)}).join(ends, ["_whole", chunk])
+    return joined.withColumns({before: F.coalesce(before, "_l"), after: F.coalesce(after, "_n")}).drop("_whole", "_l", "_n")

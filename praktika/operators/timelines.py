@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from praktika.operators.chunks import neighbours, position_chunk, prefix_sum
+
 #: Seconds of a bucket of the interval joins.
 BUCKET_SECONDS = 60.0
 
@@ -59,30 +61,33 @@ def nearest_segment(items: DataFrame, segments: DataFrame, key: str, item: str,
     return best.select(key, item, "speaker", "_m.*")
 
 
-def bridge_gaps(df: DataFrame, key: str, order: str, start: str, end: str, most: float = 2.0) -> DataFrame:
-    """Ends drawn to the next start over gaps of up to ``most`` seconds."""
-    gap = F.lead(start).over(Window.partitionBy(key).orderBy(order)) - F.col(end)
-    return df.withColumn("bridged_end", F.when((gap > 0) & (gap <= most), F.col(end) + gap).otherwise(F.col(end)))
+def bridge_gaps(df: DataFrame, key: str, order: list[str], start: str, end: str, most: float = 2.0) -> DataFrame:
+    """Ends drawn to the next start over gaps of up to ``most`` seconds. ``order`` begins with a position."""
+    rows = neighbours(df.withColumn("_chunk", position_chunk(order[0])), key, "_chunk", order, [start])
+    gap = F.col("_after")[start] - F.col(end)
+    return rows.withColumn("bridged_end", F.when((gap > 0) & (gap <= most), F.col(end) + gap).otherwise(F.col(end))).drop("_chunk", "_before", "_after")
 
 
-def merge_touching(df: DataFrame, key: str, order: str, start: str, end: str, epsilon: float = 0.001) -> DataFrame:
-    """Consecutive intervals whose ends meet within ``epsilon`` as one."""
-    w = Window.partitionBy(key).orderBy(order)
-    new = F.coalesce((F.abs(F.lag(end).over(w) - F.col(start)) >= epsilon).cast("int"), F.lit(1))
-    grouped = df.withColumn("_new", new).withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return grouped.groupBy(key, "run").agg(F.min_by(start, order).alias("start"), F.max_by(end, order).alias("end"), F.count("*").alias("n"))
+def merge_touching(df: DataFrame, key: str, order: list[str], start: str, end: str, epsilon: float = 0.001) -> DataFrame:
+    """Consecutive intervals whose ends meet within ``epsilon`` as one. ``order`` begins with a position."""
+    rows = neighbours(df.withColumn("_chunk", position_chunk(order[0])), key, "_chunk", order, [end])
+    new = F.coalesce((F.abs(F.col("_before")[end] - F.col(start)) >= epsilon).cast("int"), F.lit(1))
+    numbered = prefix_sum(rows.withColumn("_new", new), key, "_chunk", [F.col(c) for c in order], "_new", "run")
+    at = F.struct(*order)
+    return numbered.groupBy(key, "run").agg(F.min_by(start, at).alias("start"), F.max_by(end, at).alias("end"), F.count("*").alias("n"))
 
 
-def on_one_line(df: DataFrame, key: str, order: str, start: str, end: str) -> DataFrame:
-    """Where each interval begins when all are laid end to end."""
-    before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("normalized_start", F.coalesce(F.sum(F.col(end) - F.col(start)).over(before), F.lit(0.0)))
+def on_one_line(df: DataFrame, key: str, order: list[str], start: str, end: str) -> DataFrame:
+    """Where each interval begins when all are laid end to end. ``order`` begins with a position."""
+    rows = df.withColumns({"_chunk": position_chunk(order[0]), "_length": F.col(end) - F.col(start)})
+    summed = prefix_sum(rows, key, "_chunk", [F.col(c) for c in order], "_length", "_through")
+    return summed.withColumn("normalized_start", F.col("_through") - F.col("_length")).drop("_chunk", "_length", "_through")
 
 
-def changes_of(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """Rows whose value is not that of the row before; the first row is one."""
-    w = Window.partitionBy(key).orderBy(order)
-    return df.withColumns({"_v": F.lag(value).over(w), "_n": F.row_number().over(w)}).where((F.col("_n") == 1) | ~F.col("_v").eqNullSafe(F.col(value))).drop("_v", "_n")
+def changes_of(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
+    """Rows whose value is not that of the row before; the first row is one. ``order`` begins with a position."""
+    rows = neighbours(df.withColumn("_chunk", position_chunk(order[0])), key, "_chunk", order, [value])
+    return rows.where(F.col("_before").isNull() | ~F.col("_before")[value].eqNullSafe(F.col(value))).drop("_chunk", "_before", "_after")
 
 
 def silences(df: DataFrame, key: str, order: str, start: str, end: str, bounds: DataFrame, low: str, high: str, least: float = 0.5) -> DataFrame:

@@ -36,10 +36,10 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "people").select("ord", "id", "name", "city_id").distinct()
 
 
-@registry.query("q_normalize_text", f"SELECT DISTINCT subject_id, {_NORM.format('name')} AS normalized, {_KEY.format('name')} AS sort_key, list_sort({_TOKENS.format('name')}) AS tokens FROM match_subjects")
+@registry.query("q_normalize_text", f"SELECT DISTINCT subject_id, {_NORM.format('name')} AS normalized, {_KEY.format('name')} AS sort_key, array_to_string(list_sort({_TOKENS.format('name')}), ' ') AS tokens FROM match_subjects")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "match_subjects").select("subject_id", "name").distinct()
-    return rows.select("subject_id", X.normalize_text(F.col("name")).alias("normalized"), X.sort_key(F.col("name")).alias("sort_key"), F.array_sort(X.tokens(F.col("name"))).alias("tokens"))
+    return rows.select("subject_id", X.normalize_text(F.col("name")).alias("normalized"), X.sort_key(F.col("name")).alias("sort_key"), F.array_join(F.array_sort(X.tokens(F.col("name"))), " ").alias("tokens"))
 
 
 @registry.query(
@@ -168,15 +168,18 @@ def document_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query(
     "q_majority_rollcall",
     """
-    WITH r AS (SELECT meeting_id, ord, 'P:' || array_to_string(list_sort(coalesce(present_members, [])), '|') || ';;A:' || array_to_string(list_sort(coalesce(absent_members, [])), '|') || ';;M:' || coalesce(mayor_present.present::VARCHAR, 'unknown') AS roll_call
-      FROM (SELECT DISTINCT pdf_id, meeting_id, ord, present_members, absent_members, mayor_present FROM raw_extractions) WHERE len(coalesce(present_members, [])) > 0 OR len(coalesce(absent_members, [])) > 0),
-    g AS (SELECT meeting_id, roll_call, count(*) AS n, min(ord) AS first_ord FROM r GROUP BY 1, 2)
-    SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY meeting_id)::BIGINT AS n_documents FROM g) WHERE 2 * n > n_documents
+    WITH r AS (SELECT item_id, pdf_no, 'P:' || CASE WHEN label = 'PRESENT' THEN item_id::VARCHAR ELSE '' END || ';;A:' || CASE WHEN label = 'ABSENT' THEN item_id::VARCHAR ELSE '' END || ';;M:unknown' AS roll_call
+      FROM (SELECT DISTINCT report_id, item_id, pdf_no, upper(trim(label)) AS label FROM pdf_reports WHERE item_kind = 'roll_call') WHERE label IN ('PRESENT', 'ABSENT')),
+    g AS (SELECT item_id, roll_call, count(*) AS n, min(pdf_no) AS first_ord FROM r GROUP BY 1, 2)
+    SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY item_id)::BIGINT AS n_documents FROM g) WHERE 2 * n > n_documents
     """,
 )
 def majority_rollcall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "raw_extractions").select("pdf_id", "meeting_id", "ord", "present_members", "absent_members", F.col("mayor_present.present").alias("mayor"), F.col("mayor_present.raw_text").alias("said")).distinct()
-    return V.majority_roll_call(rows, "meeting_id", "present_members", "absent_members", "mayor", "ord")
+    """Per member of a roll call what most of the documents that name them say."""
+    label = F.upper(F.trim("label"))
+    named = lambda what: F.when(label == what, F.array(F.col("item_id").cast("string")))
+    rows = table(spark, sf_dir, "pdf_reports").where("item_kind = 'roll_call'").select("report_id", "item_id", "pdf_no", named("PRESENT").alias("p"), named("ABSENT").alias("a"), F.lit(None).cast("boolean").alias("mayor")).distinct()
+    return V.majority_roll_call(rows, "item_id", "p", "a", "mayor", "pdf_no")
 
 
 _CHANGES = f"(SELECT meeting_id, {_KEY.format('c.name')} AS name, c.change_type AS change_type, coalesce(c.agenda_item_index::VARCHAR, '') || ':' || coalesce(c.non_agenda_reason, '') AS item, c.timing AS timing FROM (SELECT pdf_id, meeting_id, unnest(attendance_changes) AS c FROM (SELECT DISTINCT pdf_id, meeting_id, attendance_changes FROM raw_extractions)))"

@@ -79,8 +79,7 @@ def diarize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.query("q_bridge_gaps", f"SELECT utterance_id, round(CASE WHEN n - e > 0 AND n - e <= 2 THEN e + (n - e) ELSE e END, 6) AS bridged_end FROM (SELECT *, lead(s) OVER (PARTITION BY meeting_id ORDER BY ord, utterance_id) AS n FROM {_UTT})")
 def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = utterances(spark, sf_dir).withColumn("o", F.struct("ord", "utterance_id"))
-    return T.bridge_gaps(rows, "meeting_id", "o", "s", "e").select("utterance_id", F.round("bridged_end", 6).alias("bridged_end"))
+    return T.bridge_gaps(utterances(spark, sf_dir), "meeting_id", ["ord", "utterance_id"], "s", "e").select("utterance_id", F.round("bridged_end", 6).alias("bridged_end"))
 
 
 @registry.query(
@@ -92,17 +91,17 @@ def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def merge_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.merge_touching(segments(spark, sf_dir), "meeting_id", "ord", "a", "b", 0.5)
+    return T.merge_touching(segments(spark, sf_dir), "meeting_id", ["ord"], "a", "b", 0.5)
 
 
 @registry.query("q_cum_timeline", f"SELECT ord, round(coalesce(sum(b - a) OVER (PARTITION BY meeting_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 3) AS normalized_start FROM {_SEG}")
 def cum_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.on_one_line(segments(spark, sf_dir), "meeting_id", "ord", "a", "b").select("ord", F.round("normalized_start", 3).alias("normalized_start"))
+    return T.on_one_line(segments(spark, sf_dir), "meeting_id", ["ord"], "a", "b").select("ord", F.round("normalized_start", 3).alias("normalized_start"))
 
 
 @registry.query("q_speaker_changes", f"SELECT ord, speaker_id FROM (SELECT *, lag(speaker_id) OVER w AS p, row_number() OVER w AS n FROM {_SEG} WINDOW w AS (PARTITION BY meeting_id ORDER BY ord)) WHERE n = 1 OR p IS DISTINCT FROM speaker_id")
 def speaker_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.changes_of(segments(spark, sf_dir), "meeting_id", "ord", "speaker").select("ord", F.col("speaker").alias("speaker_id"))
+    return T.changes_of(segments(spark, sf_dir), "meeting_id", ["ord"], "speaker").select("ord", F.col("speaker").alias("speaker_id"))
 
 
 @registry.query(
@@ -261,8 +260,8 @@ def fuzzy_leftover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.query("q_live_transitions", "SELECT event_id, event_type FROM (SELECT *, lag(event_type) OVER w AS p, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE n = 1 OR p IS DISTINCT FROM event_type")
 def live_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").withColumn("o", F.struct("ts", "event_id"))
-    return T.changes_of(rows, "user_id", "o", "event_type").select("event_id", "event_type")
+    rows = table(spark, sf_dir, "events").withColumn("day", F.unix_date(F.to_date("ts")) * 4096)  # a chunk a day
+    return T.changes_of(rows, "user_id", ["day", "ts", "event_id"], "event_type").select("event_id", "event_type")
 
 
 @registry.query("q_throttle", "SELECT user_id, event_type, slot, min(event_id) AS event_id FROM (SELECT *, CAST(floor(epoch(ts) / 10) AS BIGINT) AS slot FROM events) GROUP BY 1, 2, 3")

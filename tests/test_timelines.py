@@ -53,10 +53,10 @@ def test_nearest_segment_follows_the_scan(spark, seed):
 
 def test_bridge_merge_line_silence(spark):
     df = spark.createDataFrame([("p", 0, 0.0, 3.0), ("p", 1, 4.0, 7.0), ("p", 2, 17.0, 20.0)], "k string, o int, s double, e double")
-    assert [r.bridged_end for r in T.bridge_gaps(df, "k", "o", "s", "e").orderBy("o").collect()] == [4.0, 7.0, 20.0]
-    assert [r.normalized_start for r in T.on_one_line(df, "k", "o", "s", "e").orderBy("o").collect()] == [0.0, 3.0, 6.0]
+    assert [r.bridged_end for r in T.bridge_gaps(df, "k", ["o"], "s", "e").orderBy("o").collect()] == [4.0, 7.0, 20.0]
+    assert [r.normalized_start for r in T.on_one_line(df, "k", ["o"], "s", "e").orderBy("o").collect()] == [0.0, 3.0, 6.0]
     close = spark.createDataFrame([("p", 0, 0.0, 4.0), ("p", 1, 4.0, 8.0), ("p", 2, 8.0005, 11.0), ("p", 3, 12.0, 13.0)], "k string, o int, s double, e double")
-    assert [(r.start, r.end) for r in T.merge_touching(close, "k", "o", "s", "e").orderBy("start").collect()] == [(0.0, 11.0), (12.0, 13.0)]
+    assert [(r.start, r.end) for r in T.merge_touching(close, "k", ["o"], "s", "e").orderBy("start").collect()] == [(0.0, 11.0), (12.0, 13.0)]
     bounds = spark.createDataFrame([("p", 0.0, 30.0)], "k string, lo double, hi double")
     got = {(r["from"], r.to) for r in T.silences(df, "k", "o", "s", "e", bounds, "lo", "hi").collect()}
     assert got == {(3.0, 4.0), (7.0, 17.0), (20.0, 30.0)}
@@ -122,3 +122,27 @@ def test_greedy_name_pairs(spark):
     a = spark.createDataFrame([("g", "a1", 0, "Ανακοίνωση για το έργο Α"), ("g", "a2", 1, "Ανακοίνωση για το έργο Β"), ("g", "a3", 2, "")], s)
     b = spark.createDataFrame([("g", "b1", 0, "Ανακοίνωση για το έργο Β"), ("g", "b2", 1, "Άλλο")], s)
     assert [(r.a_id, r.b_id) for r in D.match_leftovers(a, b, "g", "n", "o", "i").collect()] == [("a1", "b1")]
+
+
+def test_neighbours_over_chunks(spark, monkeypatch):
+    from praktika.operators import chunks
+
+    monkeypatch.setattr(chunks, "CHUNK_POSITIONS", 3)
+    rnd = random.Random(1)
+    rows = [(k, i, rnd.choice(["x", "y", None]), float(i), i + rnd.choice([0.5, 1.0, 0.2])) for k in ("a", None) for i in range(40) if rnd.random() < 0.8]
+    df = spark.createDataFrame(rows, "k string, o int, v string, s double, e double")
+    want, line, bridged = set(), {}, {}
+    for k in ("a", None):
+        own = [r for r in rows if r[0] == k]
+        total = 0.0
+        for n, r in enumerate(own):
+            if n == 0 or own[n - 1][2] != r[2]:
+                want.add((k, r[1]))
+            line[k, r[1]] = round(total, 6)
+            total += r[4] - r[3]
+            after = own[n + 1][3] if n + 1 < len(own) else None
+            bridged[k, r[1]] = after if after is not None and 0 < after - r[4] <= 2 else r[4]
+    got = T.changes_of(df, "k", ["o"], "v").collect()
+    assert {(r.k, r.o) for r in got} == want and len(got) == len(want)
+    assert {(r.k, r.o): round(r.normalized_start, 6) for r in T.on_one_line(df, "k", ["o"], "s", "e").collect()} == line
+    assert {(r.k, r.o): r.bridged_end for r in T.bridge_gaps(df, "k", ["o"], "s", "e").collect()} == bridged
