@@ -23,10 +23,10 @@ RIGHT, WRONG = 1.0, 1.0
 
 # What an item of business is about, by a stem of folded text, the more telling first.
 TOPICS = (
-    ("traffic", r"κυκλοφορια"), ("kiosk", r"περιπτερ"), ("trees", r"δεντρ"), ("space", r"παραχωρ"), ("budget", r"αναμορφωσ"), ("naming", r"ονοματοδοσ"), ("stream", r"ρυπανσ|ρεματοσ"),
-    ("events", r"εκδηλωσε"), ("subsidy", r"επιχορηγ"), ("lease", r"εκμισθωσ|δημοπρασ"), ("committee", r"επιτρ\w*\.? παραλαβ|μελων επιτρ|συγκροτησ"), ("extension", r"παρατασ|προθεσμ"),
+    ("traffic", r"κυκλοφορια"), ("kiosk", r"περιπτερ"), ("trees", r"δεντρ"), ("space", r"παραχωρ|δημοτικου χωρου|^\w+ χωρου σε"), ("budget", r"αναμορφωσ|τεχνικου προγραμματοσ"), ("naming", r"ονοματοδοσ"), ("stream", r"ρυπανσ|ρεματοσ"),
+    ("events", r"εκδηλωσε|πολιτιστικ(?:ων|εσ)\b"), ("subsidy", r"επιχορηγ"), ("lease", r"εκμισθωσ|δημοπρασ"), ("committee", r"επιτρ\w*\.? παραλαβ|μελων επιτρ|συγκροτησ|^ορισμοσ μελων"), ("extension", r"παρατασ|προθεσμ"),
     ("acceptance", r"παραλαβησ? (?:του )?εργου|οριστικησ παραλαβ"), ("minutes", r"συνεδριασ|επικυρωσ"), ("donation", r"δωρεασ"), ("writeoff", r"διαγραφ"), ("phase", r"φασησ? |φαση:"),
-    ("study", r"μελετ"), ("contract", r"συμβασ"), ("purchase", r"προμηθει"),
+    ("study", r"μελετ"), ("contract", r"συμβασ|υλοποιηση πραξησ"), ("purchase", r"προμηθει"),
 )
 _PREFIX = re.compile(r"^(?:αποσπασμα πρακτικου\s*[–-]\s*|αποφαση δ\.?σ\.?:?\s*|θεμα \d+ο:?\s*|περι:?\s*|ληψη αποφασησ για εγκριση\s*)+")
 _AMOUNT = re.compile(r"(?<![\d.,/])(\d{1,3}(?:\.\d{3})+(?:,\d\d)?|\d+(?:,\d\d)?)\s*(?:€|ευρω)")
@@ -58,13 +58,13 @@ def facts(text: str | None) -> dict[str, str | None]:
     if not text:
         return out
     t = _PREFIX.sub("", folded(text))
-    cut_off = t.endswith("…")
+    t = re.sub(r"\S*…$", "", t)  # the last word of a title that was cut is none
     out["topic"] = topic = next((k for k, p in TOPICS if re.search(p, t)), None)
     if m := _AMOUNT.search(t):
         out["amount"] = f"{float(m[1].replace('.', '').replace(',', '.')):.2f}"
     if topic in ("budget", "minutes") and (m := _ORDINAL.search(t)):
         out["ordinal"] = m[1]
-    if (found := list(_STREET.finditer(t))) and not (cut_off and found[-1].end() >= len(t) - 1):
+    if found := list(_STREET.finditer(t)):
         words = found[-1][1].split()
         out["street"], out["house"] = " ".join(w[:5] for w in words) + " " + found[-1][2], found[-1][2]
     if m := _COMPANY.search(t):
