@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 from functools import cached_property
+from hashlib import blake2b
 from itertools import accumulate
 
 import ahocorasick
@@ -27,7 +28,7 @@ OWN_ITEMS, MIN_PATTERNS = 2, 3
 MIN_WORDS, MIN_SHARE, GAP, MIN_STRETCH = 20, 0.85, 3, 6
 #: The share that must agree of the words that belong to no standing formula.
 OWN_SHARE = 0.8
-#: A pattern in more than this share of all documents, and more than so many, is part of a standing formula.
+#: A pattern in more than this share of all texts, and more than so many, is part of a standing formula.
 FORMULA_SHARE, FORMULA_DOCUMENTS = 0.01, 12
 #: Substitutions of a name by a name or a number by a number that a stretch may hold.
 OTHER_NAMES = 1
@@ -194,7 +195,25 @@ def is_leak(parts: list[Stretch], formula: set[int]) -> list[Stretch]:
     return best
 
 
-_SCAN = "kind string, doc bigint, item bigint, gram int, n bigint, parts array<struct<matched array<int>, missed array<int>, extra int, others int, start int, end int>>"
+def in_leaks(doc: Words, hits: list[tuple[int, int]], items: Items, leaks: dict[int, list[Stretch]]) -> list[tuple[int, int]]:
+    """(item, pattern) for the patterns that the document holds only within passages it takes over from the item.
+
+    A passage that it would take over from more than OWN_ITEMS items at once is a formula of theirs.
+    """
+    at: dict[int, list[int]] = defaultdict(list)
+    for d, n in hits:
+        at[n].append(d)
+    found = []
+    for n, begins in at.items() if leaks else ():
+        owners = {i for i, _ in items.places[n]} & leaks.keys()
+        inside = [{i for i in owners if any(s.start <= doc.spans[d][0] and doc.spans[d + GRAM - 1][1] <= s.end for s in leaks[i])} for d in begins]
+        if all(len(x) <= OWN_ITEMS for x in inside):
+            found += [(i, n) for i in sorted(set.intersection(*inside))]
+    return found
+
+
+_PARTS = "array<struct<matched array<int>, missed array<int>, extra int, others int, start int, end int>>"
+_SCAN = f"doc bigint, body bigint, grams array<int>, inside array<struct<item bigint, gram int>>, pairs array<struct<item bigint, parts {_PARTS}>>"
 
 
 def _blocks(items: DataFrame, item: str, text: str) -> Iterator[dict[int, str]]:
@@ -216,8 +235,9 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", doc_
     scanned once per block. Case, accents, punctuation and white space are no difference. Where patterns of an item's
     own meet, the words around them are aligned; a stretch goes on over up to GAP words that differ, MIN_SHARE of its
     words must agree, and names or numbers put in the place of others make it a different sentence. How many
-    documents hold a pattern is counted over all of them in the same scan: the words of standing formulas do not
-    make a leak by themselves.
+    texts hold a pattern is counted over all of them in the same scan: the words of standing formulas do not make a
+    leak by themselves. Documents of the same normalised words are one text, and a text that takes a passage over from
+    an item is no evidence that the item's words in it are a formula, so no number of copies makes a leak one.
 
     Null or empty texts and ids hold and leak nothing; repeated rows of documents or items count once; an empty table
     on either side gives an empty result; other columns are ignored.
@@ -237,43 +257,40 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", doc_
 def _scan_block(docs: DataFrame, block: dict[int, str]) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items = Items({i: normalised(t) for i, t in block.items()})
-        counts: Counter[int] = Counter()
-        docs_seen = 0
-        columns = ["kind", "doc", "item", "gram", "n", "parts"]
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc"], batch["text"]):
                 words = normalised(text)
                 hits = items.scan(words)
-                docs_seen += 1
-                counts.update({n for _, n in hits})
                 own: Counter[int] = Counter(i for _, n in hits if items.owners[n] <= OWN_ITEMS for i in {i for i, _ in items.places[n]})
                 pairs = {i for i, c in own.items() if c >= MIN_PATTERNS}
-                if not pairs:
-                    continue
                 at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-                for d, n in hits:
+                for d, n in hits if pairs else ():
                     for i, p in items.places[n]:
                         if i in pairs:
                             at[i].append((d, p))
-                for i, h in at.items():
-                    parts = stretches(items.texts[i], words, h)
-                    if sum(len(s.matched) for s in parts) >= MIN_WORDS:
-                        rows.append(("pair", doc_id, i, None, None, [vars(s) for s in parts]))
-            if rows:
-                yield pd.DataFrame(rows, columns=columns).astype({"gram": "Int32", "n": "Int64"})
-        yield pd.DataFrame([("docs", None, None, None, docs_seen, None), *(("gram", None, None, g, c, None) for g, c in counts.items())], columns=columns).astype({"doc": "Int64", "item": "Int64", "gram": "Int32", "n": "Int64"})
+                found = {i: stretches(items.texts[i], words, h) for i, h in at.items()}
+                found = {i: parts for i, parts in found.items() if sum(len(s.matched) for s in parts) >= MIN_WORDS}
+                leaks = {i: kept for i, parts in found.items() if (kept := is_leak(parts, set()))}
+                body = int.from_bytes(blake2b(" ".join(words.words).encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
+                rows.append((doc_id, body, sorted({n for _, n in hits}), in_leaks(words, hits, items, leaks), [(i, [vars(s) for s in parts]) for i, parts in found.items()]))
+            yield pd.DataFrame(
+                [(d, b, g, [{"item": i, "gram": n} for i, n in x], [{"item": i, "parts": parts} for i, parts in p]) for d, b, g, x, p in rows],
+                columns=["doc", "body", "grams", "inside", "pairs"],
+            )
 
     scanned = cut(docs.mapInPandas(scan, _SCAN))
-    # at most one row per pattern of the block
-    often = scanned.where("kind != 'pair'").groupBy("kind", "gram").agg(F.sum("n").alias("n")).collect()
-    total = sum(r.n for r in often if r.kind == "docs")
-    frequent = {r.gram for r in often if r.kind == "gram" and r.n > max(FORMULA_SHARE * total, FORMULA_DOCUMENTS)}
+    texts = cut(scanned.groupBy("body").agg(F.min_by(F.struct("grams", "inside"), "doc").alias("t")).select("t.*"))
+    total = texts.count()
+    # at most one row per pattern of the block, and one per pattern of an item
+    often = texts.select(F.explode("grams").alias("gram")).groupBy("gram").count().where(F.col("count") > max(FORMULA_SHARE * total, FORMULA_DOCUMENTS)).collect()
+    inside = {(r.item, r.gram): r["count"] for r in texts.select(F.explode("inside").alias("x")).groupBy("x.item", "x.gram").count().collect()}
     places = Items({i: normalised(t) for i, t in block.items()}).places
     formula: dict[int, set[int]] = defaultdict(set)
-    for g in frequent:
-        for i, p in places[g]:
-            formula[i] |= set(range(p, p + GRAM))
+    for r in often:
+        for i, p in places[r.gram]:
+            if r["count"] - inside.get((i, r.gram), 0) > max(FORMULA_SHARE * total, FORMULA_DOCUMENTS):
+                formula[i] |= set(range(p, p + GRAM))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -284,4 +301,4 @@ def _scan_block(docs: DataFrame, block: dict[int, str]) -> DataFrame:
                     rows.append((d, i, sum(len(s.matched) for s in kept), [{"start": s.start, "end": s.end} for s in kept]))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_words", "spans"])
 
-    return scanned.where("kind = 'pair'").select("doc", "item", "parts").mapInPandas(judge, "doc_id bigint, item_id bigint, n_words int, spans array<struct<start int, end int>>")
+    return scanned.select("doc", F.explode("pairs").alias("p")).select("doc", "p.*").mapInPandas(judge, "doc_id bigint, item_id bigint, n_words int, spans array<struct<start int, end int>>")

@@ -74,3 +74,28 @@ def test_automaton_finds_what_a_search_finds():
     doc = normalised(" ".join(t for i in range(4) for t in [sentence(rnd), *texts[i].words[3:9]]))
     want = {(d, n) for n, places in enumerate(items.places) for d in range(len(doc.words) - 2) if doc.words[d : d + 3] == texts[places[0][0]].words[places[0][1] : places[0][1] + 3]}
     assert set(items.scan(doc)) == want
+
+
+def test_copies_of_a_leak_are_no_formula(spark, case):
+    items, docs, leaks = case
+    once = {d: t for d, t in docs.items() if t and len(t) < 10_000}
+    want = {(d, i) for d, i in leaks if d in once}
+    rnd = random.Random(7)
+    passage = " ".join(items[4].split()[8:40])
+    copies = {1000 + k: once[6] for k in range(len(once) // 2)}  # a third of the rows, leaks items 2 and 3
+    reused = {2000 + k: f"{sentence(rnd)} {passage} {sentence(rnd)}" for k in range(30)}
+    want |= {(d, i) for d in copies for i in (2, 3)} | {(d, 4) for d in reused}
+    d = spark.createDataFrame([*(once | copies | reused).items()], "doc_id bigint, text string")
+    got = find_leaks(d, spark.createDataFrame([*items.items()], "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
+def test_a_long_formula_of_many_items_stays_one(spark):
+    rnd = random.Random(9)
+    formula = " ".join(sentence(rnd, 30).split())
+    items = {i: f"{sentence(rnd, 30)} {formula} {sentence(rnd, 30)}" for i in range(1, 6)}
+    docs = {d: f"{sentence(rnd, 20)} {formula} {sentence(rnd, 20)}" for d in range(1, 41)}
+    docs[99] = items[1]
+    d = spark.createDataFrame([*docs.items()], "doc_id bigint, text string")
+    got = find_leaks(d, spark.createDataFrame([*items.items()], "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(99, 1)}
