@@ -153,6 +153,72 @@ def gap_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.join(first, ["organization_id", "protocol_number"], "left").select("organization_id", "missing", "ada")
 
 
+_PARSED = r"""
+    WITH w AS (SELECT organization_id, ada, ord, issue_date_ms, publish_timestamp_ms, regexp_extract(protocol_number, '^\s*(\D*?)\s*(\d+)\s*(?:[/-]\s*(\d{4}|\d{2}))?\s*$', ['p', 'n', 'y']) AS m FROM decisions WHERE regexp_matches(protocol_number, '^\s*\D*?\s*\d+\s*(?:[/-]\s*(\d{4}|\d{2}))?\s*$')),
+    y AS (SELECT organization_id, ada, ord, publish_timestamp_ms, CAST(m.n AS BIGINT) AS num, CASE length(m.y) WHEN 4 THEN '/' || m.y WHEN 2 THEN '/20' || m.y ELSE coalesce('/' || year(epoch_ms(issue_date_ms)), '') END AS suffix FROM w WHERE organization_id IS NOT NULL),
+    n AS (SELECT DISTINCT organization_id, ada, num, '' AS prefix, suffix FROM y),
+    c AS (SELECT organization_id, suffix FROM n GROUP BY 1, 2 HAVING count(*) >= 3),
+    f AS (SELECT n.*, CASE WHEN num - lag(num) OVER w - 1 < 3 THEN 0 ELSE 1 END AS new FROM n JOIN c USING (organization_id, suffix) WINDOW w AS (PARTITION BY organization_id, suffix ORDER BY num)),
+    r AS (SELECT *, sum(new) OVER (PARTITION BY organization_id, suffix ORDER BY num ROWS UNBOUNDED PRECEDING) AS run FROM f),
+    z AS (SELECT *, count(*) OVER (PARTITION BY organization_id, suffix, run) AS size FROM r),
+    b AS (SELECT *, first_value(run) OVER (PARTITION BY organization_id, suffix ORDER BY size DESC, run) AS best FROM z),
+    g AS (SELECT DISTINCT organization_id, suffix, num FROM b WHERE run = best AND size >= 3), l AS (SELECT *, lead(num) OVER (PARTITION BY organization_id, suffix ORDER BY num) AS nx FROM g),
+    m AS (SELECT organization_id, suffix, unnest(range(num + 1, nx)) AS missing FROM l WHERE nx - num > 1)"""
+
+
+def all_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every protocol number of the table that holds one: blanks, words before it and the year in two or four digits aside.
+
+    ``suffix`` is the year, as written or else that of the issue; empty where neither is there.
+    """
+    pattern = r"^\s*(\D*?)\s*(\d+)\s*(?:[/-]\s*(\d{4}|\d{2}))?\s*$"
+    part = lambda k: F.regexp_extract("protocol_number", pattern, k)
+    issued = F.concat(F.lit("/"), F.year(F.timestamp_millis("issue_date_ms")).cast("string"))
+    suffix = F.when(F.length(part(3)) == 4, F.concat(F.lit("/"), part(3))).when(F.length(part(3)) == 2, F.concat(F.lit("/20"), part(3))).otherwise(F.coalesce(issued, F.lit("")))
+    rows = table(spark, sf_dir, "decisions").where(F.col("protocol_number").rlike(pattern) & F.col("organization_id").isNotNull())
+    return rows.select("organization_id", "ada", "ord", "publish_timestamp_ms", part(2).try_cast("bigint").alias("num"), suffix.alias("suffix")).where("num is not null")
+
+
+def _series(numbers: DataFrame) -> DataFrame:
+    """The runs of an organisation's numbers of one year, whatever form each is written in."""
+    written = numbers.select("organization_id", "suffix", "ada", "num").distinct()
+    return S.protocol_pattern(written.select(F.struct("organization_id", "suffix").alias("series"), F.concat(F.col("num").cast("string"), "suffix").alias("number")), "series", "number")
+
+
+def _series_gaps(numbers: DataFrame) -> DataFrame:
+    return S.missing_numbers(_series(numbers).where("in_run and run_size >= 3"), "series", "num").select("series.organization_id", "series.suffix", "missing")
+
+
+@registry.query("q_islands_protocol_all", _PARSED + " SELECT organization_id, prefix, suffix, num, run = best AS in_run, CASE WHEN run = best THEN size END AS run_size FROM b")
+def islands_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _series(all_numbers(spark, sf_dir)).select("series.organization_id", "prefix", "suffix", "num", "in_run", "run_size")
+
+
+@registry.query("q_sequence_gaps_all", _PARSED + " SELECT organization_id, suffix, missing FROM m")
+def sequence_gaps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _series_gaps(all_numbers(spark, sf_dir))
+
+
+@registry.query(
+    "q_gap_candidates_all",
+    _PARSED
+    + """ SELECT m.organization_id, m.suffix, m.missing, arg_min(y.ada, (y.ord, y.ada)) AS ada FROM m LEFT JOIN y ON y.organization_id = m.organization_id AND y.num = m.missing AND (m.suffix = '' OR y.suffix = '')
+      AND (m.suffix = '' OR y.publish_timestamp_ms IS NULL OR year(epoch_ms(y.publish_timestamp_ms)) - CAST(substr(m.suffix, 2) AS INT) BETWEEN 0 AND 1) GROUP BY 1, 2, 3""",
+)
+def gap_candidates_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions that may be the missing one: of its number, in any form, where one of the two has no year; gaps without one stay.
+
+    A decision without year is published in the year of the series or the next, if that date is known.
+    """
+    numbers = all_numbers(spark, sf_dir)
+    found = numbers.select("organization_id", F.col("num").alias("missing"), "ada", "ord", F.col("suffix").alias("written"), F.year(F.timestamp_millis("publish_timestamp_ms")).alias("published"))
+    gaps = _series_gaps(numbers)
+    late = F.col("published") - F.substring("suffix", 2, 4).try_cast("int")
+    may = (F.col("suffix") == "") | ((F.col("written") == "") & (F.col("published").isNull() | late.between(0, 1)))
+    first = gaps.join(found, ["organization_id", "missing"]).where(may).groupBy("organization_id", "suffix", "missing").agg(F.min_by("ada", F.struct("ord", "ada")).alias("ada"))
+    return gaps.join(first, ["organization_id", "suffix", "missing"], "left").select("organization_id", "suffix", "missing", "ada")
+
+
 @registry.query("q_ada_lookup", "SELECT r.pdf_id, d.ada, d.status FROM (SELECT DISTINCT pdf_id, decision_number FROM raw_extractions) r LEFT JOIN (SELECT protocol_number, arg_min(ada, (ord, ada)) AS ada, arg_min(status, (ord, ada)) AS status FROM decisions WHERE protocol_number IS NOT NULL GROUP BY 1) d ON d.protocol_number = r.decision_number")
 def ada_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = table(spark, sf_dir, "decisions").where("protocol_number is not null").groupBy(F.col("protocol_number").alias("decision_number")).agg(F.min_by(F.struct("ada", "status"), F.struct("ord", "ada")).alias("d"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from praktika.operators import matching as M
 from praktika.operators import records as R
 from praktika.plans.counts import STATUSES_SQL, statuses
-from praktika.plans.names import gap_candidates, subjects, token_similarity
+from praktika.plans.names import gap_candidates, gap_candidates_all, subjects, token_similarity
 from praktika.registry import Registry
 from praktika.sources.tables import table
 
@@ -39,7 +39,7 @@ def accept_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidate_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five most similar decisions of each subject and, for subjects of the same city, those of number gaps."""
     similar = token_similarity(spark, sf_dir).select("subject_id", "ada")
-    gaps = gap_candidates(spark, sf_dir).where("ada is not null")
+    gaps = gap_candidates(spark, sf_dir).select("organization_id", "ada").unionByName(gap_candidates_all(spark, sf_dir).select("organization_id", "ada")).where("ada is not null").distinct()
     offered = similar.join(table(spark, sf_dir, "decisions").select("ada", "organization_id").distinct(), "ada").select("subject_id", "organization_id").distinct().join(gaps, "organization_id").select("subject_id", "ada")
     return R.candidate_pool(similar, offered, "subject_id", "ada")
 
