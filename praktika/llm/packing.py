@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -54,41 +53,48 @@ def pack(sizes: list[int], capacity: int) -> list[int]:
     """A container for each item, by descending size: the one of least cost among those with room, then a new one.
 
     There are as many containers as the tokens need at least; as the costs are level, long documents are spread and
-    short ones fill up. What then fits nowhere goes where the least room is left over, or opens a container.
+    short ones fill up. What fits nowhere opens a container. A tree over the room left holds the cheapest container of
+    every range of it, so the least cost is found exactly, in as many steps as the capacity has bits.
     """
     order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
     where = [-1] * len(sizes)
     count = max(1, -(-sum(sizes) // capacity)) if sizes else 0
     room, spent = [capacity] * count, [0.0] * count
-    heap = [(0.0, c) for c in range(count)]
-    rooms: list[tuple[int, int]] = [(capacity, c) for c in range(count)]  # ascending room, to find the best fit
+    width = 1 << capacity.bit_length()
+    none = (float("inf"), -1)
+    heaps: dict[int, list[tuple[float, int]]] = {capacity: [(0.0, c) for c in range(count)]}  # by room
+    least = [none] * (2 * width)
+
+    def settle(left: int) -> None:
+        k = width + left
+        least[k] = heaps[left][0] if heaps[left] else none
+        while k > 1:
+            k >>= 1
+            least[k] = min(least[2 * k], least[2 * k + 1])
+
+    if count:
+        settle(capacity)
     for i in order:
-        size, aside, chosen = sizes[i], [], None
-        while heap and chosen is None:
-            entry = heapq.heappop(heap)
-            if entry[0] != spent[entry[1]]:
-                continue
-            aside.append(entry)
-            if room[entry[1]] >= size:
-                chosen = entry[1]
-            elif len(aside) >= 8:
-                # the cheapest ones are full: the tightest that has room
-                k = bisect_left(rooms, (size, -1))
-                chosen = rooms[k][1] if k < len(rooms) else None
-                break
-        if chosen is None:
+        found, low, high = none, width + sizes[i], 2 * width
+        while low < high:
+            if low & 1:
+                found, low = min(found, least[low]), low + 1
+            if high & 1:
+                high -= 1
+                found = min(found, least[high])
+            low, high = low >> 1, high >> 1
+        chosen = found[1]
+        if chosen < 0:
             chosen = len(room)
             room.append(capacity)
             spent.append(0.0)
-            rooms.append((capacity, chosen))
-            rooms.sort()
-        for entry in aside:
-            heapq.heappush(heap, entry)
-        rooms.pop(bisect_left(rooms, (room[chosen], chosen)))
-        room[chosen] -= size
-        spent[chosen] += cost(size)
-        insort(rooms, (room[chosen], chosen))
-        heapq.heappush(heap, (spent[chosen], chosen))
+        else:
+            heapq.heappop(heaps[room[chosen]])
+            settle(room[chosen])
+        room[chosen] -= sizes[i]
+        spent[chosen] += cost(sizes[i])
+        heapq.heappush(heaps.setdefault(room[chosen], []), (spent[chosen], chosen))
+        settle(room[chosen])
         where[i] = chosen
     return where
 

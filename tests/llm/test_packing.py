@@ -65,3 +65,21 @@ def test_documents(spark):
     assert counts[2] is None and counts[3] == 0 and counts[1] > 5
     got = pack_documents(df).collect()
     assert sum(r.size for r in got) == counts[1] + counts[4] and {r.item for r in got} == {1, 4}
+
+
+def test_each_item_goes_to_the_cheapest_with_room():
+    rnd = random.Random(8)
+    sizes = [int(min(4096, rnd.lognormvariate(6, 1.2))) + 1 for _ in range(1500)]
+    sizes = [min(s, 4096) for s in sizes]
+    count = -(-sum(sizes) // 4096)
+    room, spent, want = [4096] * count, [0.0] * count, {}
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        fits = [c for c in range(len(room)) if room[c] >= sizes[i]]
+        if not fits:
+            fits = [len(room)]
+            room.append(4096)
+            spent.append(0.0)
+        want[i] = c = min(fits, key=lambda c: (spent[c], c))
+        room[c] -= sizes[i]
+        spent[c] += cost(sizes[i])
+    assert pack(sizes, 4096) == [want[i] for i in range(len(sizes))]
