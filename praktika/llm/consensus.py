@@ -14,6 +14,8 @@ CLASS_PRIOR, SPACE_PRIOR, NEUTRAL = 20.0, 4.0, 0.7
 #: Reliabilities are broadcast to the label edges up to this many rows; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 TOLERANCE, MAX_ROUNDS = 2e-3, 25
+#: Rounds of halved steps that may follow MAX_ROUNDS whole ones.
+DAMPED_ROUNDS = 75
 
 
 @dataclass
@@ -21,7 +23,8 @@ class Consensus:
     items: DataFrame  # item, label, confidence, n_labels, agreement, disputed
     annotators: DataFrame  # annotator, space, reliability, n_labels
     rounds: int
-    change: float
+    change: float  # of a reliability in the last round
+    moved: float  # of a belief in the last round
 
 
 def label_edges(df: DataFrame, item: str, annotator: str, space: Column, label: Column) -> DataFrame:
@@ -38,6 +41,11 @@ def _clip(x: Column) -> Column:
     return F.greatest(F.lit(0.005), F.least(F.lit(0.995), x))
 
 
+def _odds(x: Column) -> Column:
+    """The probability of log-odds."""
+    return 1 / (1 + F.exp(-x))
+
+
 def _reliabilities(edges: DataFrame) -> DataFrame:
     """Per annotator, space and class: soft counts, and what belongs to the space and the class as a whole."""
     by_class = edges.groupBy("_space", "_cls", "_ann").agg(
@@ -60,7 +68,9 @@ def consensus(df: DataFrame, item: str, annotator: str, space: Column, label: Co
     belief from the other messages. An annotator's rates of right and false hits on a class come from the beliefs of
     its items without the one the message goes to, drawn towards its rate in the whole ``space`` (labels that can
     stand for one another). So one who always gives the same label sends nothing, one who is mostly wrong counts
-    against its label. Rounds repeat until no reliability changes by more than TOLERANCE, at most MAX_ROUNDS.
+    against its label. Rounds repeat until no reliability and no belief changes by more than TOLERANCE. After
+    MAX_ROUNDS, where they may swing to and fro, beliefs go half the way only; if they have not settled within
+    DAMPED_ROUNDS more, there is an error and no label.
 
     Sums are aggregated before they are shuffled, items and annotators of any size included. Rows with a null item,
     annotator or label are ignored; exact repetitions count once, two different labels of one annotator both count.
@@ -73,7 +83,7 @@ def consensus(df: DataFrame, item: str, annotator: str, space: Column, label: Co
     edges = labels.join(classes.select("_item", "_space", F.col("_label").alias("_cls"), (F.col("_votes") / F.col("_n")).alias("_p")), ["_item", "_space"])
     edges = cut(edges.select("_item", "_space", "_ann", "_cls", (F.col("_label") == F.col("_cls")).alias("_hit"), "_p"))
 
-    before, rounds, change, small = None, 0, 0.0, None
+    before, rounds, change, moved, small = None, 0, 0.0, 0.0, None
     while True:
         rates = cut(_reliabilities(edges))
         now = rates.select("_space", "_ann", (F.col("tp_s") / F.col("n_s")).alias("now")).distinct()
@@ -83,11 +93,16 @@ def consensus(df: DataFrame, item: str, annotator: str, space: Column, label: Co
             small = rates.count() <= BROADCAST_ROWS  # there are as many rows in every round
         beliefs = _messages(edges, F.broadcast(rates) if small else rates)
         total = beliefs.groupBy("_item", "_space", "_cls").agg((F.sum("_w") + F.max("_prior")).alias("_total"))
-        if (before is not None and change <= TOLERANCE) or rounds == MAX_ROUNDS:
+        if before is not None and change <= TOLERANCE and moved <= TOLERANCE:
             break
+        if rounds >= MAX_ROUNDS + DAMPED_ROUNDS:
+            raise RuntimeError(f"labels have not settled in {rounds} rounds: a reliability changes by {change:.2g}, a belief by {moved:.2g}")
         before, rounds = now.withColumnRenamed("now", "was"), rounds + 1
-        own = F.col("_total") - F.col("_w")
-        old, edges = edges, cut(beliefs.join(total, ["_item", "_space", "_cls"]).select("_item", "_space", "_ann", "_cls", "_hit", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), own))))).alias("_p")))
+        own = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("_total") - F.col("_w")))
+        step = own if rounds <= MAX_ROUNDS else (own + F.log(F.col("_p") / (1 - F.col("_p")))) / 2
+        answers = beliefs.join(total, ["_item", "_space", "_cls"]).select("_item", "_space", "_ann", "_cls", "_hit", _odds(step).alias("_p"), F.abs(_odds(own) - F.col("_p")).alias("_moved"))
+        old, edges = edges, cut(answers)
+        moved = edges.agg(F.max("_moved")).first()[0] or 0.0
         drop(old)
 
     best = total.join(votes.withColumnRenamed("_label", "_cls"), ["_item", "_space", "_cls"]).groupBy("_item", "_space").agg(F.max(F.struct("_total", "_votes", "_cls")).alias("_best"))
@@ -101,7 +116,7 @@ def consensus(df: DataFrame, item: str, annotator: str, space: Column, label: Co
         (F.col("_classes") > 1).alias("disputed"),
     )
     annotators = rates.select(F.col("_ann").alias("annotator"), F.col("_space").alias("space"), (F.col("tp_s") / F.col("n_s")).alias("reliability"), F.col("n_s").cast("bigint").alias("n_labels")).distinct()
-    return Consensus(items, annotators, rounds, change)
+    return Consensus(items, annotators, rounds, change, moved)
 
 
 def _messages(edges: DataFrame, rates: DataFrame) -> DataFrame:
@@ -116,5 +131,5 @@ def _messages(edges: DataFrame, rates: DataFrame) -> DataFrame:
     fall = (F.greatest(F.col("fp") - (1 - p) * hit, F.lit(0.0)) + CLASS_PRIOR * wrong_s) / (negative + CLASS_PRIOR)
     share = _clip(F.col("pos_c") / F.col("pos_all"))
     return edges.join(rates, ["_space", "_cls", "_ann"]).select(
-        "_item", "_space", "_ann", "_cls", "_hit", _log_ratio(F.col("_hit"), _clip(sens), _clip(fall)).alias("_w"), F.log(share / (1 - share)).alias("_prior")
+        "_item", "_space", "_ann", "_cls", "_hit", "_p", _log_ratio(F.col("_hit"), _clip(sens), _clip(fall)).alias("_w"), F.log(share / (1 - share)).alias("_prior")
     )

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from praktika.llm.consensus import consensus
@@ -41,3 +42,21 @@ def test_agreement_ties_single_and_empty(spark):
     assert items[3].label == "Y" * 3000
     none = run(spark, [])
     assert none.items.count() == 0 and none.annotators.count() == 0
+
+
+def test_rounds_go_on_until_labels_settle_or_fail(spark, monkeypatch):
+    import praktika.llm.consensus as m
+
+    rnd = random.Random(5)
+    skill = {"a": 0.9, "b": 0.75, "c": 0.6, "d": 0.2}
+    rows = [(i, who, "s", "AB"[(i % 3 == 0) == (rnd.random() < p)], None, None) for i in range(150) for who, p in skill.items()]
+    whole = run(spark, rows)
+    assert whole.change <= m.TOLERANCE and whole.moved <= m.TOLERANCE
+    want = {r.item: r.label for r in whole.items.collect()}
+    monkeypatch.setattr(m, "MAX_ROUNDS", 1)
+    damped = run(spark, rows)
+    assert damped.rounds > 1 and damped.change <= m.TOLERANCE and damped.moved <= m.TOLERANCE
+    assert {r.item: r.label for r in damped.items.collect()} == want
+    monkeypatch.setattr(m, "DAMPED_ROUNDS", 0)
+    with pytest.raises(RuntimeError, match="not settled"):
+        run(spark, rows)
