@@ -187,7 +187,7 @@ def person_keys(name: str) -> list[str]:
         # a surname beside an abbreviated given name is looked up together with the latter's initial
         for initial in {g[0] for g in p.given}:
             keys |= {k for s in surnames for k in index_keys(s, f"S{kind}{initial}")}
-            keys |= {f"P{kind}{initial}{s[:n]}" for s in surnames for n in range(STEM, min(len(s), 9) + 1)}
+            keys |= {f"P{kind}{initial}{s[:n]}" for s in surnames for n in range(STEM, len(s) + 1)}
     return sorted(keys)
 
 

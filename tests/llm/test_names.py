@@ -60,3 +60,10 @@ def test_banded_distance():
 @pytest.mark.parametrize("raw,name", [("Λένα Μελογέα", "Ρένα Μελογέα"), ("Θεοδώρα Λαμέα", "Θεόδωρος Λαμέας"), ("Πέτρος Φιλομάτος", "Μιχαήλ Φιλομάτος")])
 def test_other_given_names(raw, name):
     assert distance(raw, name) is None
+
+
+def test_long_beginnings_of_surnames_are_looked_up(spark):
+    raws = ["Παπακωνσταντ. Γ.", "Γ. ΠΑΠΑΚΩΝΣΤΑΝΤΙΝ.", "Παπακ. Γ."]
+    typed = spark.createDataFrame([("c", r) for r in raws], "city string, raw_name string")
+    people = spark.createDataFrame([("c", "p1", "Γεώργιος Παπακωνσταντίνου"), ("c", "p2", "Άννα Παπακωνσταντίνου")], "city string, person_id string, name string")
+    assert {r.raw_name: r.person_id for r in link_spellings(typed, people, "city").collect()} == dict.fromkeys(raws, "p1")
