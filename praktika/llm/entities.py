@@ -39,7 +39,7 @@ _WORK = {"extension": r"εργου", "acceptance": r"εργου", "phase": r"φ
 _WORKS = {k: re.compile(rf"(?:{v})\s+(?:τησ\s+|του\s+)?([^\W\d]+)\s+([^\W\d]+)") for k, v in _WORK.items()}
 _CITY = re.compile(r"^(?:δημοσ|δημου|δ\.)\s*")
 
-FACTS = ("topic", "amount", "ordinal", "street", "house", "company", "club", "place", "work", "gist")
+FACTS = ("topic", "amount", "ordinal", "street", "house", "company", "club", "place", "work", "gist", "title")
 
 
 def folded(text: str) -> str:
@@ -76,6 +76,7 @@ def facts(text: str | None) -> dict[str, str | None]:
     if topic in _WORKS and (m := _WORKS[topic].search(t)):
         out["work"] = f"{m[1][:5]} {m[2][:5]}"
     out["gist"] = " ".join(sorted({w[:4] for w in re.findall(r"[^\W\d]{4,}", t)}))
+    out["title"] = " ".join(re.findall(r"\w+", t)) if out["gist"] else None
     return out
 
 
@@ -100,7 +101,7 @@ PASSES: tuple[tuple[tuple[str, tuple[str, ...]], ...], ...] = (
     (("work_company", ("topic", "work", "company")), ("work_street", ("topic", "work", "street")), ("work_place", ("topic", "work", "place")), ("work_amount", ("topic", "work", "amount")), ("place_amount", ("topic", "place", "amount")), ("club_amount", ("topic", "club", "amount"))),
     (("street", ("topic", "street")), ("amount", ("topic", "amount")), ("ordinal", ("topic", "ordinal")), ("club", ("topic", "club"))),
     (("work", ("topic", "work")), ("place", ("topic", "place")), ("company", ("topic", "company"))),
-    (("house", ("topic", "house")), ("street_only", ("street",)), ("amount_only", ("amount",))),
+    (("house", ("topic", "house")), ("street_only", ("street",)), ("amount_only", ("amount",)), ("title", ("title",))),
     (("topic_in_run", ("topic",)),),
 )
 

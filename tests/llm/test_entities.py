@@ -63,3 +63,10 @@ def test_facts():
     assert facts("Μετατόπιση περιπτέρου, οδός Ανθέων Άνω 38")["street"] == facts("από την οδό Ανθέων Άνω 38, κατόπιν γνωμοδότησης")["street"]
     assert facts(None)["topic"] is None and facts("")["gist"] is None and len(facts("έργο " * 50_000)["gist"]) == 4
     assert city_key("Δ. Καρλερής - Καρλούσας") == city_key("ΔΗΜΟΣ ΚΑΡΛΕΡΗΣ-ΚΑΡΛΟΥΣΑΣ") and city_key(None) is None
+
+
+def test_the_same_title_of_an_unlisted_kind_is_linked(spark):
+    s = spark.createDataFrame([("s1", "m1", "Δήμος Άλλης", DAY, 1, "Ωράριο νεκροταφείου Άνω Πόλης"), ("s2", "m1", "Δήμος Άλλης", DAY, 2, "Το α΄"), ("s3", "m2", "Δήμος Άλλης", day(30), 1, "Ωράριο νεκροταφείου Άνω Πόλης")], S)
+    d = spark.createDataFrame([("a1", "Δ. Άλλης", day(1), None, None, "ΑΠΟΦΑΣΗ Δ.Σ.: ΩΡΑΡΙΟ ΝΕΚΡΟΤΑΦΕΙΟΥ, ΑΝΩ ΠΟΛΗΣ"), ("a2", "Δ. Άλλης", DAY, None, None, "Το α΄"), ("a3", "Δ. Άλλης", day(1), None, None, "Ωράριο βιβλιοθήκης Άνω Πόλης")], D)
+    got = link_records(s, d).collect()
+    assert [(r.subject_id, r.ada, r.rule) for r in got] == [("s1", "a1", "title")]
