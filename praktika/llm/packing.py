@@ -104,47 +104,43 @@ def pack_items(df: DataFrame, item: str, size: str, capacity: int = CAPACITY, co
 
     An item above the capacity is split into full containers and a rest; no other is. What is left is dealt out by
     hash over tasks of a bounded number of containers, so that each packs a like mixture and none sees all items.
-    Within a task items go in descending order to the container of least attention cost with room. Containers that a task leaves less than half full are emptied and
-    their items packed again by all together, so that no task's rest stays open.
+    Within a task items go in descending order to the container of least attention cost with room. Containers that are
+    left less than half full are emptied and their items dealt and packed once more, whatever the number of tasks, so
+    that no task's rest stays open.
 
     Rows with a null item or a size that is null or below one are no items; repeated rows count once; ties go by
     item; an empty table gives none; other columns are ignored.
     Out: ``item``, ``part`` (0 for a whole item), ``container`` (string), ``start`` (token in the container), ``size``.
     """
-    items = df.select(F.col(item).alias("item"), F.col(size).cast("bigint").alias("size")).where("item is not null and size >= 1").distinct()
+    # the sizes may have cost a pass over all texts: they are kept, not counted anew for each use
+    items = cut(df.select(F.col(item).alias("item"), F.col(size).cast("bigint").alias("size")).where("item is not null and size >= 1").distinct())
     full = items.where(F.col("size") > capacity).select(
         "item", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("size") / capacity) - 1).cast("int"))).alias("part"), F.col("size").alias("whole")
     )
     full = full.select("item", (F.col("part") + 1).alias("part"), F.least(F.lit(capacity), F.col("whole") - F.col("part") * capacity).cast("bigint").alias("size"))
     loose = items.where(F.col("size") <= capacity).select("item", F.lit(0).alias("part"), "size").unionByName(full.where(F.col("size") < capacity))
     done = full.where(F.col("size") == capacity).select("item", "part", F.concat_ws("-", F.lit("full"), F.col("item").cast("string"), F.col("part").cast("string")).alias("container"), F.lit(0).cast("bigint").alias("start"), "size")
+    schema = f"item {df.schema[item].dataType.simpleString()}, part int, container string, start bigint, size bigint, used bigint"
 
-    total = loose.agg(F.sum("size")).first()[0] or 0
-    tasks = max(1, round(total / (capacity * containers_per_task)))
-    dealt = loose.withColumn("task", F.pmod(F.xxhash64("item", "part"), F.lit(tasks)))
+    def filled(rows: DataFrame, name: str) -> DataFrame:
+        """``rows`` dealt by hash over as many tasks as their tokens need, each task's packed."""
+        total = rows.agg(F.sum("size")).first()[0] or 0
+        tasks = max(1, -(-total // (capacity * containers_per_task)))
 
-    def fill(task: str):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(["size", "item", "part"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
             pdf["container"] = pack(pdf["size"].tolist(), capacity)
             pdf["start"] = pdf.groupby("container")["size"].cumsum() - pdf["size"]
             pdf["used"] = pdf.groupby("container")["size"].transform("sum")
-            pdf["container"] = task + "-" + pdf["task"].astype(str) + "-" + pdf["container"].astype(str)
+            pdf["container"] = name + "-" + pdf["task"].astype(str) + "-" + pdf["container"].astype(str)
             return pdf[["item", "part", "container", "start", "size", "used"]]
 
-        return run
-
-    kind = df.schema[item].dataType.simpleString()
-    schema = f"item {kind}, part int, container string, start bigint, size bigint, used bigint"
-    first = dealt.groupBy("task").applyInPandas(fill("t"), schema)
-    if tasks == 1:
-        return done.unionByName(first.drop("used"))
-    first = cut(first)
-    open_ = first.where(F.col("used") * 2 < capacity)
-    left = open_.agg(F.sum("size")).first()[0] or 0
-    again_tasks = max(1, round(left / (capacity * containers_per_task)))
-    again = open_.select("item", "part", "size", F.pmod(F.xxhash64("item", "part"), F.lit(again_tasks)).alias("task")).groupBy("task").applyInPandas(fill("r"), schema)
-    return done.unionByName(first.where(F.col("used") * 2 >= capacity).drop("used")).unionByName(again.drop("used"))
+        return rows.withColumn("task", F.pmod(F.xxhash64("item", "part"), F.lit(tasks))).groupBy("task").applyInPandas(run, schema)
+
+    first = cut(filled(loose, "t"))
+    open_ = F.col("used") * 2 < capacity
+    again = filled(first.where(open_).select("item", "part", "size"), "r")
+    return done.unionByName(first.where(~open_).drop("used")).unionByName(again.drop("used"))
 
 
 def pack_documents(df: DataFrame, doc: str = "doc_id", text: str = "text", capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sequences", "consensus", "unify", "encoding", "leaks", "names", "entities"]
+MODULES = ["sequences", "consensus", "unify", "encoding", "leaks", "names", "entities", "packing"]
 
 
 def registries() -> list:

@@ -50,6 +50,31 @@ def test_costs_are_level():
     assert fixed[-1] < 2 * fixed[0]
 
 
+def brute(sizes, capacity):
+    """The rule by looking at every container each time."""
+    room, spent, where = [capacity] * max(1, -(-sum(sizes) // capacity)), [], [-1] * len(sizes)
+    spent = [0.0] * len(room)
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        fits = [(spent[c], c) for c in range(len(room)) if room[c] >= sizes[i]]
+        if not fits:
+            room.append(capacity)
+            spent.append(0.0)
+            fits = [(0.0, len(room) - 1)]
+        c = min(fits)[1]
+        room[c] -= sizes[i]
+        spent[c] += cost(sizes[i])
+        where[i] = c
+    return where
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_always_the_cheapest_container_with_room(seed):
+    rnd = random.Random(seed)
+    capacity = rnd.choice([7, 64, 4096])
+    sizes = [rnd.randint(1, max(1, int(capacity * rnd.random() ** 2))) for _ in range(900)]
+    assert pack(sizes, capacity) == brute(sizes, capacity)
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, 4096), (2, 4097), (3, 1), (3, 1)], "doc bigint, size bigint")
     got = {(r.item, r.part): r for r in pack_items(df, "doc", "size").collect()}
