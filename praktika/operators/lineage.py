@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. A temporary one is made only where it is unset, as in tests."""
+    """The folder named by spark.checkpoint.dir; where it is unset, a temporary one if the master is local, as in tests.
+
+    On a cluster a folder of one machine would lose rows without a word: there an unset one is an error.
+    """
     wanted = spark.conf.get("spark.checkpoint.dir", None)
     if not wanted:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is unset and the master is {master}: name a folder that all executors share")
         wanted = tempfile.mkdtemp(prefix="praktika-")
         spark.conf.set("spark.checkpoint.dir", wanted)
     return wanted.rstrip("/")
