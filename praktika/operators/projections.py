@@ -7,9 +7,20 @@ from pyspark.sql import functions as F
 
 from praktika.functions.text import fold, falsy
 
-# The reasons for which an item has no place on the agenda, and names of municipal bodies.
+# The reasons for which an item has no place on the agenda.
 OFF_AGENDA = ("BEFORE_AGENDA", "OUT_OF_AGENDA")
-MUNICIPAL, NOT_MUNICIPAL = r"^(?:δημοσ|δ\.)\s", r"(?<!αντι)(?:περιφερεια|συνδεσμοσ|δημοτικη επιχειρηση|νομικο προσωπο|δευα)"
+# How the names of municipalities begin, and the units of one whose decisions are a council's.
+MUNICIPALITY = ("ΔΗΜΟΣ ", "ΔΗΜΟΣ-")
+COUNCIL_UNITS = (
+    r"ΔΗΜΟΤΙΚΟ ΣΥΜΒΟΥΛΙΟ",
+    r"^Δ\.?Σ\.?\s+ΔΗΜΟΥ",
+    r"ΔΗΜΟΤΙΚΗ ΕΠΙΤΡΟΠΗ",
+    r"ΟΙΚΟΝΟΜΙΚΗ ΕΠΙΤΡΟΠΗ",
+    r"ΕΠΙΤΡΟΠΗ ΠΟΙΟΤΗΤΑΣ ΖΩΗΣ",
+    r"(?<!ΑΝΤΙ)ΔΗΜΑΡΧΟ[ΣΥ]",
+)
+# Signs that a filter of a media tool reads, and what stands for them, in the order of replacement.
+FILTER_SIGNS = (("\\", "\\\\"), ("[", "\\["), ("]", "\\]"), (",", "\\,"), (";", "\\;"), (":", "\\:"), ("'", "’"), ("%", "\\%"))
 
 
 def split_index(index: Column) -> Column:
@@ -66,8 +77,14 @@ def voice_known(match: Column, confidence: Column, least: float = 50.0) -> Colum
 
 
 def is_municipality(label: Column) -> Column:
-    text = fold(label)
-    return text.rlike(MUNICIPAL) & ~text.rlike(NOT_MUNICIPAL)
+    """Whether an organisation is a municipality by how its name begins; accents count."""
+    upper = F.upper(label)
+    return upper.startswith(MUNICIPALITY[0]) | upper.startswith(MUNICIPALITY[1])
+
+
+def is_council_unit(label: Column) -> Column:
+    """Whether a unit of a municipality is its council, a committee of it or its mayor."""
+    return label.rlike("(?iu)" + "|".join(COUNCIL_UNITS))
 
 
 def label_contains(label: Column, latin: Column, query: str) -> Column:
@@ -88,8 +105,8 @@ def is_prefix(shorter: Column, longer: Column) -> Column:
 
 
 def escape_filter_text(text: Column) -> Column:
-    """Text that can stand inside a filter of a media tool: signs escaped, quotes made typographic, in this order."""
-    for sign, instead in (("\\", "\\\\"), (":", "\\:"), ("'", "’"), ('"', "”"), ("%", "\\%"), (",", "\\,"), ("[", "\\["), ("]", "\\]"), (";", "\\;")):
+    """Text that can stand inside a filter of a media tool."""
+    for sign, instead in FILTER_SIGNS:
         text = F.replace(text, F.lit(sign), F.lit(instead))
     return text
 

@@ -19,11 +19,13 @@ def test_predicates(spark):
     assert values(spark, P.tag(F.col("t"), "meeting"), [(["a:b", "meeting:m1", "meeting:m2"],), ([],), (None,)], "t array<string>") == ["m1", None, None]
     assert values(spark, P.too_quiet_or_loud(F.col("x")), [("-14.5",), ("-23",), ("-inf",), ("x",), (None,)], "x string") == [False, True, True, True, True]
     assert values(spark, P.voice_known(F.col("m"), F.col("c")), [("a", {"a": 50.0}), ("b", {"a": 50.0}), (None, {"a": 90.0}), ("a", {"a": 49.0})], "m string, c map<string, double>") == [True, False, False, False]
-    assert values(spark, P.is_municipality(F.col("l")), [("ΔΗΜΟΣ ΧΙΟΥ",), ("Περιφέρεια Αττικής",), ("Δ. Χίου",)], "l string") == [True, False, True]
+    assert values(spark, P.is_municipality(F.col("l")), [("ΔΗΜΟΣ ΧΙΟΥ",), ("δημος-χιου",), ("Δήμος Χίου",), ("Περιφέρεια Αττικής",), ("Δ. Χίου",), ("ΔΗΜΟΣΙΑ ΥΠΗΡΕΣΙΑ",)], "l string") == [True, True, False, False, False, False]
+    units = ["Δημοτικο Συμβουλιο Χιου", "Δ.Σ. ΔΗΜΟΥ ΧΙΟΥ", "ΔΣ ΔΗΜΟΥ", "ΤΟ Δ.Σ. ΔΗΜΟΥ", "οικονομικη επιτροπη", "ΕΠΙΤΡΟΠΗ ΠΟΙΟΤΗΤΑΣ ΖΩΗΣ", "ΔΗΜΑΡΧΟΥ", "ΑΝΤΙΔΗΜΑΡΧΟΣ ΚΑΘΑΡΙΟΤΗΤΑΣ", "ΤΜΗΜΑ ΕΣΟΔΩΝ"]
+    assert values(spark, P.is_council_unit(F.col("l")), [(u,) for u in units], "l string") == [True, True, True, False, True, True, True, False, False]
     assert values(spark, P.label_contains(F.col("l"), F.col("x"), "Χίου"), [("ΔΗΜΟΣ ΧΙΟΥ", None), (None, "chios")], "l string, x string") == [True, False]
     assert values(spark, P.is_public(F.col("p"), ["/docs", "/health"]), [("/docs",), ("/docs/a",), ("/docsx",)], "p string") == [True, True, False]
     assert values(spark, P.is_prefix(F.col("a"), F.col("b")), [([1], [1, 2]), ([2], [1, 2]), ([], [1]), ([1, 2], [1])], "a array<int>, b array<int>") == [True, False, True, False]
-    assert values(spark, P.escape_filter_text(F.col("t")), [("a:b'c",)], "t string") == ["a\\:b’c"]
+    assert values(spark, P.escape_filter_text(F.col("t")), [("a:b'c",), ('[x], "50%"; \\',)], "t string") == ["a\\:b’c", '\\[x\\]\\, "50\\%"\\; \\\\']
     assert values(spark, P.fitting_size(F.col("n"), 100.0, 40, 10), [(4,), (10,), (1000,)], "n int") == [40, 16, 10]
     assert values(spark, P.bullet_list(F.col("a")), [(["x", "y"],)], "a array<string>") == ["- x\n- y"]
     assert values(spark, P.display_name(F.col("n")), [("",), ("Α",), (None,)], "n string") == ["Unknown Speaker", "Α", "Unknown Speaker"]
