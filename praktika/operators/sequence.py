@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from praktika.functions.numbers import confidence, round_half_up
 from praktika.functions.text import ends_sentence, protocol_parts
+from praktika.operators.chunks import carried, neighbours, position_chunk, prefix_sum
+from praktika.operators.lineage import cut
 
 #: Numbers that may be missing inside a run is one less than this; members that make it a sequence.
 MAX_GAP, LEAST_RUN = 3, 3
 #: Seconds of silence and of speech after which an utterance ends.
 PAUSE_SECONDS, MAX_SECONDS = 1.0, 30.0
+#: Waits of a throttle in one chunk of time.
+CHUNK_WAITS = 1024
 
 
 def protocol_pattern(df: DataFrame, key: str, number: str) -> DataFrame:
@@ -69,46 +75,80 @@ def pause_sessions(df: DataFrame, keys: list[str], order: str, start: str, end:
     return numbered.groupBy(*keys, "session").agg(F.min(order).alias("first_ord"), F.max(order).alias("last_ord"), F.count("*").alias("n_words"), F.min(start).alias("start"), F.max(end).alias("end"))
 
 
+def paced(df: DataFrame, keys: list[str], at: str, order: str, wait: float) -> DataFrame:
+    """Rows that pass a throttle: the first of a key, then always the first that comes ``wait`` seconds or more after the last to pass.
+
+    What comes ``wait`` or more after the row before it passes whatever went before, so the rows between two such
+    pauses stand alone. Of a stretch shorter than ``wait`` only the first passes; only longer ones are followed row by
+    row. Rows without a time pass never; of equal times the lower ``order`` is first.
+    """
+    # whole microseconds, so that sums are exact
+    moment, pause = F.round(F.col(at) * 1_000_000) if dict(df.dtypes)[at] in ("double", "float") else F.unix_micros(F.col(at).cast("timestamp")), round(wait * 1_000_000)
+    rows = df.where(F.col(at).isNotNull()).withColumns({"_key": F.struct(*keys), "_t": moment.cast("bigint")})
+    rows = rows.withColumn("_chunk", F.floor(F.col("_t") / (CHUNK_WAITS * pause)))
+    known = neighbours(rows, "_key", "_chunk", ["_t", order], ["_t"])
+    new = F.coalesce((F.col("_t") - F.col("_before._t") >= pause).cast("int"), F.lit(1))
+    numbered = cut(prefix_sum(known.withColumn("_new", new), "_key", "_chunk", [F.col("_t"), F.col(order)], "_new", "_stretch").drop("_before", "_after"))
+    spans = numbered.groupBy("_key", "_stretch").agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"))
+    long = numbered.join(spans.where(F.col("_t1") - F.col("_t0") >= pause).select("_key", "_stretch"), ["_key", "_stretch"], "left_semi")
+
+    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = 0
+        for batch in batches:
+            passes = []
+            for new, t in zip(batch["_new"], batch["_t"]):
+                passes.append(bool(new) or t - last >= pause)
+                last = t if passes[-1] else last
+            yield batch[passes]
+
+    # in order, batch by batch: no stretch is ever held as a whole
+    ids = ["_key", "_stretch"]
+    passed = long.repartition(*ids).sortWithinPartitions(*ids, "_t", order).mapInPandas(follow, long.schema)
+    return numbered.where("_new = 1").unionByName(passed.where("_new = 0")).select(*df.columns)
+
+
 def words_to_utterances(df: DataFrame, keys: list[str], order: str = "ord", text: str = "text", kind: str = "word_type", start: str = "start_sec", end: str = "end_sec", logprob: str = "logprob") -> DataFrame:
     """Utterances of a word stream: parted by pauses before, and sentence ends or MAX_SECONDS after a word.
 
-    The last rule depends on where the utterance began, so a stream (a recording of bounded length) is folded in one
-    pass. A missing start is the end of the word before, a missing end the start.
+    A missing end is the start, a missing start the end of the word before. Pauses and sentence ends are marked first,
+    over chunks of positions; only the sessions between them that last MAX_SECONDS or more are parted further, where
+    each part depends on the one before. Spacing belongs to the utterance of the last word unless that word closed it.
     """
-    rows = df.where(F.col(kind).isin("word", "spacing")).select(*keys, F.col(order).alias("o"), F.col(text).alias("t"), (F.col(kind) == "word").alias("w"), F.col(start).cast("double").alias("s"), F.col(end).cast("double").alias("e"), confidence(F.col(logprob)).alias("c"), F.coalesce(ends_sentence(F.col(text)), F.lit(False)).alias("stop"))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("o", kind="stable")
-        out, words, said, last_end = [], [], "", 0.0
-
-        def flush() -> None:
-            nonlocal words, said
-            if words:
-                out.append((said.strip(), words[0][0], words[-1][1], sum(c for *_, c in words) / len(words), len(words), words[0][2], words[-1][2]))
-            words, said = [], ""
-
-        for o, t, is_word, s, e, c, stop in zip(pdf.o, pdf.t, pdf.w, pdf.s, pdf.e, pdf.c, pdf.stop):
-            t = t or ""
-            if not is_word:
-                said += t if words else ""
-                continue
-            s = last_end if pd.isna(s) else s
-            e = s if pd.isna(e) else e
-            if words and s - last_end > PAUSE_SECONDS:
-                flush()
-            last_end = e
-            words.append((s, e, o, c))
-            said += t
-            if stop or e - words[0][0] >= MAX_SECONDS:
-                flush()
-        flush()
-        result = pd.DataFrame(out, columns=["text", "start", "end", "confidence", "n_words", "first_ord", "last_ord"])
-        for k in keys[::-1]:
-            result.insert(0, k, pdf[k].iloc[0])
-        return result
-
-    types = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return rows.groupBy(*keys).applyInPandas(fold, f"{types}, text string, start double, end double, confidence double, n_words int, first_ord bigint, last_ord bigint")
+    columns = [F.struct(*keys).alias("stream"), F.col(order).cast("bigint").alias("o"), F.col(text).alias("t"), (F.col(kind) == "word").alias("w"), F.col(start).cast("double").alias("s"), F.col(end).cast("double").alias("e"), confidence(F.col(logprob)).alias("c")]
+    # one exchange: repeated rows are dropped, and all that follows is done, where a chunk's rows lie
+    rows = df.where(F.col(kind).isin("word", "spacing")).select(*columns).withColumn("_chunk", position_chunk("o")).repartition("stream", "_chunk").distinct()
+    words = carried(rows.where("w").withColumn("stop", F.coalesce(ends_sentence(F.col("t")), F.lit(False))), "stream", "_chunk", ["o"], F.coalesce("e", "s"), "e1")
+    words = neighbours(words.withColumn("e1", F.coalesce("e1", F.lit(0.0))), "stream", "_chunk", ["o"], ["e1", "stop"])
+    words = words.withColumn("s1", F.coalesce("s", "_before.e1", F.lit(0.0)))
+    new = F.col("_before").isNull() | (F.col("s1") - F.col("_before.e1") > PAUSE_SECONDS) | F.col("_before.stop")
+    words = prefix_sum(words.withColumn("_new", new.cast("int")), "stream", "_chunk", [F.col("o")], "_new", "session")
+    words = cut(words.select("stream", "session", "_chunk", "o", "t", "c", "s1", "e1", "stop"))
+    session = Window.partitionBy("stream", "session")
+    whole = words.withColumns({"from": F.min_by("s1", "o").over(session), "to": F.max("e1").over(session)})
+    lasting = F.col("to") - F.col("from") >= MAX_SECONDS
+
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("o", kind="stable").reset_index(drop=True)
+        starts, ends, first, parts = pdf["s1"].to_numpy(), pdf["e1"].to_numpy(), 0, np.zeros(len(pdf), "int32")
+        while len(over := np.flatnonzero(ends[first:] - starts[first] >= MAX_SECONDS)) and first + over[0] + 1 < len(pdf):
+            first += over[0] + 1
+            parts[first:] += 1
+        return pdf.assign(part=parts)
+
+    long = whole.where(lasting).drop("from", "to")
+    parted = long.groupBy("stream", "session").applyInPandas(part, T.StructType([*long.schema, T.StructField("part", T.IntegerType())]))
+    placed = cut(whole.where(~lasting).drop("from", "to").withColumn("part", F.lit(0)).unionByName(parted))
+    ids = ["stream", "session", "part"]
+    heads = placed.groupBy(*ids).agg(F.min_by("s1", "o").alias("start"), F.max_by("e1", "o").alias("end"), F.avg("c").alias("confidence"), F.count("*").cast("int").alias("n_words"), F.min("o").alias("first_ord"), F.max("o").alias("last_ord"))
+    # a sentence's last word, or one with which the time is up, lets no spacing in
+    closed = F.col("stop") | (F.col("e1") - F.col("start") >= MAX_SECONDS)
+    said = placed.join(heads.select(*ids, "start"), ids).select("stream", "_chunk", "o", "t", F.struct("session", "part", closed.alias("closed")).alias("at"))
+    spacing = rows.where("not w").select("stream", "_chunk", "o", "t", F.lit(None).cast(said.schema["at"].dataType).alias("at"))
+    both = carried(said.withColumn("word", F.lit(0)).unionByName(spacing.withColumn("word", F.lit(1))), "stream", "_chunk", ["o", "word"], F.col("at"), "of")
+    kept = both.where("of is not null and (word = 0 or not of.closed)").select("stream", "of.session", "of.part", "o", "word", F.coalesce("t", F.lit("")).alias("t"))
+    texts = kept.groupBy(*ids).agg(F.array_sort(F.collect_list(F.struct("o", "word", "t"))).alias("x"))
+    texts = texts.select(*ids, F.regexp_replace(F.array_join("x.t", ""), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "").alias("text"))
+    return heads.join(texts, ids).select("stream.*", "text", "start", "end", "confidence", "n_words", "first_ord", "last_ord")
 
 
 def greedy_batches(df: DataFrame, key: str, order: str, size: Column, limit: int) -> DataFrame:

@@ -2,38 +2,62 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from praktika.operators.chunks import neighbours, position_chunk, prefix_sum
 
-#: Seconds of a bucket of the interval joins.
-BUCKET_SECONDS = 60.0
+#: Seconds of a bucket of the interval joins, buckets that an interval may span, and by how much wider those of longer ones are.
+BUCKET_SECONDS, MOST_BUCKETS, WIDER = 60.0, 64, 4096
 
 
-def _buckets(start: str, end: str, width: float) -> Column:
-    return F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.greatest(F.col(start), F.col(end)) / width)))
+def _sequence(start: Column, end: Column, width: float) -> Column:
+    return F.sequence(F.floor(start / width), F.floor(F.greatest(start, end) / width))
+
+
+def _long(start: Column, end: Column, width: float) -> Column:
+    """Whether an interval is too long for buckets of ``width``."""
+    return F.coalesce(end - start > F.lit(width * MOST_BUCKETS), F.lit(False))
+
+
+def _places(kind: str, buckets: Column) -> Column:
+    return F.transform(buckets, lambda b: F.struct(F.lit(kind).alias("kind"), b.alias("at")))
+
+
+def _overlap_places(start: str, end: str, width: float, side: str) -> Column:
+    """Where an interval looks for partners: short meets short in narrow buckets; wherever one is long, in wide ones."""
+    s, e = F.col(start), F.col(end)
+    wide, mine, other = _sequence(s, e, width * WIDER), "L" if side == "left" else "R", "R" if side == "left" else "L"
+    short = F.concat(_places("S", _sequence(s, e, width)), _places(other, wide))  # a long partner on the other side
+    long = F.concat(_places(mine, wide), _places("B", wide))
+    return F.explode(F.when(_long(s, e, width), long).otherwise(short))
 
 
 def overlap_join(a: DataFrame, b: DataFrame, key: str, a_span: tuple[str, str], b_span: tuple[str, str], width: float = BUCKET_SECONDS) -> DataFrame:
     """Pairs of one key whose closed intervals share a moment.
 
     Both sides are cut into time buckets, so that a join on (key, bucket) finds them and no key sits in one task. A
-    pair that shares several buckets is kept in the one where the later of the two starts.
+    pair that shares several buckets is kept in the one where the later of the two starts. An interval of more than
+    MOST_BUCKETS buckets goes into buckets WIDER times as wide, where the short ones of the other side look for it as
+    well, so that one wrong end makes no millions of rows.
     """
-    left = a.withColumn("_b", _buckets(*a_span, width))
-    right = b.withColumn("_b", _buckets(*b_span, width))
     (s0, e0), (s1, e1) = a_span, b_span
+    left = a.withColumn("_b", _overlap_places(s0, e0, width, "left"))
+    right = b.withColumn("_b", _overlap_places(s1, e1, width, "right"))
     meets = (F.col(s1) <= F.col(e0)) & (F.col(e1) >= F.col(s0))
-    return left.join(right, [key, "_b"]).where(meets & (F.col("_b") == F.floor(F.greatest(F.col(s0), F.col(s1)) / width))).drop("_b")
+    home = F.floor(F.greatest(F.col(s0), F.col(s1)) / F.when(F.col("_b.kind") == "S", F.lit(width)).otherwise(F.lit(width * WIDER)))
+    return left.join(right, [key, "_b"]).where(meets & (F.col("_b.at") == home)).drop("_b")
 
 
 def contained_join(a: DataFrame, b: DataFrame, key: str, a_span: tuple[str, str], b_span: tuple[str, str], width: float = BUCKET_SECONDS) -> DataFrame:
-    """Pairs of one key in which the interval of ``b`` holds that of ``a``: only the container is cut into buckets."""
-    left = a.withColumn("_b", F.floor(F.col(a_span[0]) / width))
-    right = b.withColumn("_b", _buckets(*b_span, width))
-    return left.join(right, [key, "_b"]).where((F.col(b_span[0]) <= F.col(a_span[0])) & (F.col(b_span[1]) >= F.col(a_span[1]))).drop("_b")
+    """Pairs of one key in which the interval of ``b`` holds that of ``a``: only the container is cut into buckets, a long one into wide ones."""
+    at = lambda w: F.array(F.floor(F.col(a_span[0]) / w))
+    left = a.withColumn("_b", F.explode(F.concat(_places("S", at(width)), _places("L", at(width * WIDER)))))
+    s, e = F.col(b_span[0]), F.col(b_span[1])
+    right = b.withColumn("_b", F.explode(F.when(_long(s, e, width), _places("L", _sequence(s, e, width * WIDER))).otherwise(_places("S", _sequence(s, e, width)))))
+    return left.join(right, [key, "_b"]).where((s <= F.col(a_span[0])) & (e >= F.col(a_span[1]))).drop("_b")
 
 
 def nearest_segment(items: DataFrame, segments: DataFrame, key: str, item: str, span: tuple[str, str], seg_span: tuple[str, str], order: str, width: float = BUCKET_SECONDS) -> DataFrame:
@@ -54,9 +78,10 @@ def nearest_segment(items: DataFrame, segments: DataFrame, key: str, item: str,
     since = met.withColumn("_since", F.coalesce(F.max("_k").over(Window.partitionBy(key, item, "speaker")), F.lit(0)))
     # where only earlier ones overlap, the segment on from which the choice is made is itself among them
     reach = since.where("_i >= _since").groupBy(key, item, s, e, "speaker").agg(F.min("_since").alias("_since"), F.min("_far").alias("_most"))
-    at = lambda x: F.floor(x / F.lit(width))
-    asked = reach.withColumn("_b", F.explode(F.sequence(at(F.col(s) - F.col("_most")), at(F.col(s) + F.col("_most")))))
-    pairs = asked.join(ranked.withColumn("_b", at(F.col(a))), [key, "speaker", "_b"]).withColumn("_far", far).where("_i >= _since and _far <= _most")
+    low, high = F.col(s) - F.col("_most"), F.col(s) + F.col("_most")
+    asked = reach.withColumn("_b", F.explode(F.when(_long(low, high, width), _places("L", _sequence(low, high, width * WIDER))).otherwise(_places("S", _sequence(low, high, width)))))
+    starts = F.explode(F.concat(*[_places(kind, F.array(F.floor(F.col(a) / w))) for kind, w in (("S", width), ("L", width * WIDER))]))
+    pairs = asked.join(ranked.withColumn("_b", starts), [key, "speaker", "_b"]).withColumn("_far", far).where("_i >= _since and _far <= _most")
     best = pairs.groupBy(key, item, "speaker").agg(F.min_by(F.struct(s, e, a, b), F.struct("_far", "_i")).alias("_m"))
     return best.select(key, item, "speaker", "_m.*")
 
@@ -103,52 +128,40 @@ def silences(df: DataFrame, key: str, order: str, start: str, end: str, bounds:
 
 
 def split_at_silences(df: DataFrame, key: str, start: str, end: str, longest: float, long_pause: float = 5.0, short_pause: float = 0.5) -> DataFrame:
-    """Parts of at most about ``longest`` seconds per key, cut at the end of a long pause or else of a short one.
+    """Parts of at most ``longest`` seconds per key, cut at the end of a long pause or else of a short one.
 
-    The search goes back from the latest moment in sections of twenty pauses; each cut depends on the one before, so
-    a key (one recording) is one group. A key without any pause to cut at has no parts.
+    The stretch that may still be heard in one part is looked through in slices of twenty pauses' length, the latest
+    slice first; the first pause of the first slice that has one is taken. A slice knows only the segments that lie
+    wholly in it. Each cut depends on the one before, so a key (one recording) is one group. What is left where no
+    pause can be found is one part with ``uncut`` true, so that no recording is lost.
     """
 
-    def pauses(spans: list[tuple[float, float]], low: float, high: float) -> list[tuple[float, float]]:
-        out, last = [], low
-        for s, e in spans:
-            if s >= low and e <= high:
-                if s > last:
-                    out.append((last, s))
-                last = e
-            elif s > high:
-                break
-        if last < high:
-            out.append((last, high))
-        return [p for p in out if p[1] - p[0] >= short_pause]
-
-    def search(spans: list[tuple[float, float]], low: float, high: float, least: float) -> tuple[float, float] | None:
-        section = min(least * 20, high - low)
-        right = high
-        for _ in range(int(-(-(high - low) // section))):
-            left = max(low, right - section)
-            for p in pauses(spans, left, right):
-                if p[1] - p[0] >= least:
-                    return p
-            right = left
-        return None
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        spans = sorted(zip(pdf[start], pdf[end]))
-        total, at, out = max((e for _, e in spans), default=0.0), 0.0, []
-        while total - at > longest:
-            stop = min(at + longest, total)
-            found = search(spans, at, stop, long_pause) or search(spans, at, stop, short_pause)
-            if found is None or found[1] <= at:
-                return pd.DataFrame([], columns=[key, "part", "start", "end"])
-            out.append((at, found[1]))
-            at = found[1]
-        if at < total:
-            out.append((at, total))
-        return pd.DataFrame([(pdf[key].iloc[0], i, s, e) for i, (s, e) in enumerate(out)], columns=[key, "part", "start", "end"])
+    def first_pause(starts: np.ndarray, ends: np.ndarray, low: float, high: float, least: float) -> float | None:
+        inside = (starts >= low) & (ends <= high)
+        begins, stops = np.append(low, ends[inside]), np.append(starts[inside], high)
+        long = np.flatnonzero(stops - begins >= least)
+        return float(stops[long[0]]) if len(long) else None
+
+    def slices(low: float, high: float, least: float) -> list[tuple[float, float]]:
+        edges = np.append(np.arange(high, low, -min(20 * least, high - low)), low)
+        return [(b, a) for a, b in zip(edges, edges[1:])]
+
+    def parts(pdf: pd.DataFrame) -> pd.DataFrame:
+        spans = pdf.sort_values([start, end])
+        starts, ends = spans[start].to_numpy(float), spans[end].to_numpy(float)
+        total, bounds, uncut = float(ends.max()), [0.0], False
+        while total - bounds[-1] > longest and not uncut:
+            low, high = bounds[-1], bounds[-1] + longest
+            pauses = (first_pause(starts, ends, a, b, least) for least in (long_pause, short_pause) for a, b in slices(low, high, least))
+            found = next((p for p in pauses if p is not None), None)
+            uncut = found is None or found <= low
+            bounds += [] if uncut else [found]
+        bounds += [total] if total > bounds[-1] else []
+        n = len(bounds) - 1
+        return pd.DataFrame({key: [pdf[key].iloc[0]] * n, "part": range(n), "start": bounds[:-1], "end": bounds[1:], "uncut": [uncut and i == n - 1 for i in range(n)]})
 
     rows = df.where(F.col(end) > F.col(start)).select(key, start, end).distinct()
-    return rows.groupBy(key).applyInPandas(cut, f"{key} {df.schema[key].dataType.simpleString()}, part int, start double, end double")
+    return rows.groupBy(key).applyInPandas(parts, f"{key} {df.schema[key].dataType.simpleString()}, part int, start double, end double, uncut boolean")
 
 
 def attendance_at(people: DataFrame, events: DataFrame, positions: DataFrame) -> DataFrame:

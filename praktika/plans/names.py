@@ -219,10 +219,20 @@ def gap_candidates_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.join(first, ["organization_id", "suffix", "missing"], "left").select("organization_id", "suffix", "missing", "ada")
 
 
-@registry.query("q_ada_lookup", "SELECT r.pdf_id, d.ada, d.status FROM (SELECT DISTINCT pdf_id, decision_number FROM raw_extractions) r LEFT JOIN (SELECT protocol_number, arg_min(ada, (ord, ada)) AS ada, arg_min(status, (ord, ada)) AS status FROM decisions WHERE protocol_number IS NOT NULL GROUP BY 1) d ON d.protocol_number = r.decision_number")
+@registry.query(
+    "q_ada_lookup",
+    f"""
+    WITH c AS (SELECT meeting_id, min({_CITY.format('city_name')}) AS city FROM match_subjects GROUP BY 1),
+    d AS (SELECT {_CITY.format('organization_label')} AS city, protocol_number AS decision_number, arg_min(ada, (ord, ada)) AS ada, arg_min(status, (ord, ada)) AS status FROM decisions WHERE protocol_number IS NOT NULL GROUP BY 1, 2)
+    SELECT pdf_id, ada, status FROM (SELECT DISTINCT pdf_id, meeting_id, decision_number FROM raw_extractions) LEFT JOIN c USING (meeting_id) LEFT JOIN d USING (city, decision_number)
+    """,
+)
 def ada_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = table(spark, sf_dir, "decisions").where("protocol_number is not null").groupBy(F.col("protocol_number").alias("decision_number")).agg(F.min_by(F.struct("ada", "status"), F.struct("ord", "ada")).alias("d"))
-    return table(spark, sf_dir, "raw_extractions").select("pdf_id", "decision_number").distinct().join(first, "decision_number", "left").select("pdf_id", "d.ada", "d.status")
+    """The first decision of a document's number in the organisation of its own city; organisations share numbers."""
+    cities = table(spark, sf_dir, "match_subjects").groupBy("meeting_id").agg(F.min(city("city_name")).alias("city"))
+    first = table(spark, sf_dir, "decisions").where("protocol_number is not null").groupBy(city("organization_label").alias("city"), F.col("protocol_number").alias("decision_number")).agg(F.min_by(F.struct("ada", "status"), F.struct("ord", "ada")).alias("d"))
+    documents = table(spark, sf_dir, "raw_extractions").select("pdf_id", "meeting_id", "decision_number").distinct().join(cities, "meeting_id", "left")
+    return documents.join(first, ["city", "decision_number"], "left").select("pdf_id", "d.ada", "d.status")
 
 
 @registry.query("q_document_urls", "SELECT DISTINCT ada, coalesce(nullif(document_url, ''), 'https://example.org/doc/' || ada) AS url, substr(sha256(ada), 1, 16) AS cache_key FROM decisions")

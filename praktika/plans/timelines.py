@@ -170,9 +170,28 @@ def pause_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.pause_sessions(words, ["meeting_id", "segment_index"], "ord", "start_sec", "end_sec", "text")
 
 
-@registry.query("q_words_to_utterances")
+@registry.query(
+    "q_words_to_utterances",
+    rf"""
+    WITH RECURSIVE x AS (SELECT DISTINCT meeting_id, segment_index, ord::BIGINT AS o, text AS t, word_type = 'word' AS w, start_sec AS s, end_sec AS e, coalesce(least(1, exp(logprob)), 1) AS c, coalesce({_ENDS}, false) AS stop FROM asr_words WHERE word_type IN ('word', 'spacing')),
+    a AS (SELECT *, coalesce(last_value(coalesce(e, s) IGNORE NULLS) OVER (PARTITION BY meeting_id, segment_index ORDER BY o ROWS UNBOUNDED PRECEDING), 0) AS e1 FROM x WHERE w),
+    b AS (SELECT *, coalesce(s, lag(e1) OVER k, 0) AS s1, (row_number() OVER k = 1 OR coalesce(s, lag(e1) OVER k, 0) - lag(e1) OVER k > 1 OR lag(stop) OVER k)::INT AS new FROM a WINDOW k AS (PARTITION BY meeting_id, segment_index ORDER BY o)),
+    n AS (SELECT *, sum(new) OVER (PARTITION BY meeting_id, segment_index ORDER BY o ROWS UNBOUNDED PRECEDING) AS session FROM b),
+    r AS (SELECT *, row_number() OVER (PARTITION BY meeting_id, segment_index, session ORDER BY o) AS rn FROM n),
+    j AS (SELECT p.meeting_id, p.segment_index, p.session, p.rn, min(q.rn) + 1 AS nx FROM r p JOIN r q ON p.meeting_id = q.meeting_id AND p.segment_index = q.segment_index AND p.session = q.session AND q.rn >= p.rn AND q.e1 - p.s1 >= 30 GROUP BY ALL),
+    h AS (SELECT meeting_id, segment_index, session, rn, 0 AS part, s1 AS first_s FROM r WHERE rn = 1
+      UNION ALL SELECT r.meeting_id, r.segment_index, r.session, r.rn, h.part + 1, r.s1 FROM h JOIN j USING (meeting_id, segment_index, session, rn) JOIN r ON r.meeting_id = h.meeting_id AND r.segment_index = h.segment_index AND r.session = h.session AND r.rn = j.nx),
+    y AS (SELECT r.*, last_value(h.part IGNORE NULLS) OVER k AS part, last_value(h.first_s IGNORE NULLS) OVER k AS first_s FROM r LEFT JOIN h USING (meeting_id, segment_index, session, rn) WINDOW k AS (PARTITION BY r.meeting_id, r.segment_index, r.session ORDER BY r.rn ROWS UNBOUNDED PRECEDING)),
+    u AS (SELECT meeting_id, segment_index, o, 0 AS k, t, {{'session': session, 'part': part, 'closed': stop OR e1 - first_s >= 30}} AS pl FROM y UNION ALL SELECT meeting_id, segment_index, o, 1, t, NULL FROM x WHERE NOT w),
+    v AS (SELECT *, last_value(pl IGNORE NULLS) OVER (PARTITION BY meeting_id, segment_index ORDER BY o, k ROWS UNBOUNDED PRECEDING) AS f FROM u),
+    z AS (SELECT meeting_id, segment_index, f.session AS session, f.part AS part, string_agg(coalesce(t, ''), '' ORDER BY o, k, t) AS text FROM v WHERE f IS NOT NULL AND (k = 0 OR NOT f.closed) GROUP BY ALL),
+    g AS (SELECT meeting_id, segment_index, session, part, arg_min(s1, o) AS "start", arg_max(e1, o) AS "end", round(avg(c), 6) AS confidence, count(*)::INT AS n_words, min(o) AS first_ord, max(o) AS last_ord FROM y GROUP BY 1, 2, 3, 4)
+    SELECT meeting_id, segment_index, regexp_replace(text, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g') AS text, "start", "end", confidence, n_words, first_ord, last_ord FROM g JOIN z USING (meeting_id, segment_index, session, part)
+    """,
+)
 def words_to_utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.words_to_utterances(table(spark, sf_dir, "asr_words").distinct(), ["meeting_id", "segment_index"])
+    words = S.words_to_utterances(table(spark, sf_dir, "asr_words"), ["meeting_id", "segment_index"])
+    return words.withColumn("confidence", F.round("confidence", 6))
 
 
 @registry.query("q_chronological_index", f"SELECT utterance_id, row_number() OVER (PARTITION BY meeting_id ORDER BY ord, utterance_id)::INT - 1 AS idx FROM {_UTT}")
@@ -264,10 +283,26 @@ def live_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.changes_of(rows, "user_id", ["day", "ts", "event_id"], "event_type").select("event_id", "event_type")
 
 
-@registry.query("q_throttle", "SELECT user_id, event_type, slot, min(event_id) AS event_id FROM (SELECT *, CAST(floor(epoch(ts) / 10) AS BIGINT) AS slot FROM events) GROUP BY 1, 2, 3")
+def _throttled(keys: str, rows: str, out: str) -> str:
+    """SQL of a throttle of ten seconds; ``rows`` have ``keys``, id and t in microseconds."""
+    same = " AND ".join(f"a.{k} = b.{k}" for k in keys.split(", "))
+    return f"""
+    WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY t, id) AS rn FROM {rows}),
+    n AS (SELECT {', '.join(f'a.{k}' for k in keys.split(', '))}, a.rn, min(b.rn) AS nx FROM e a JOIN e b ON {same} AND b.t >= a.t + 10000000 GROUP BY ALL),
+    r AS (SELECT {keys}, rn FROM e WHERE rn = 1 UNION ALL SELECT {keys}, nx FROM r JOIN n USING ({keys}, rn))
+    SELECT {out} FROM r JOIN e USING ({keys}, rn)"""
+
+
+@registry.query("q_throttle", _throttled("user_id, event_type", "(SELECT user_id, event_type, event_id AS id, epoch_us(ts) AS t FROM events WHERE ts IS NOT NULL)", "user_id, event_type, id AS event_id"))
 def throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slot = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 10_000_000).cast("bigint")
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type", slot.alias("slot")).agg(F.min("event_id").alias("event_id"))
+    """At most one event of a user and kind in ten seconds, counted from the last one let through."""
+    return S.paced(table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", "event_id", 10.0).select("user_id", "event_type", "event_id")
+
+
+@registry.query("q_throttle_status", _throttled("meeting_id, status", f"(SELECT meeting_id, status, ord AS id, CAST(round(start_timestamp * 1000000) AS BIGINT) AS t FROM {STATUSES_SQL} WHERE start_timestamp IS NOT NULL)", "meeting_id, status, id AS ord"))
+def throttle_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over utterance states, which follow each other within seconds."""
+    return S.paced(statuses(spark, sf_dir), ["meeting_id", "status"], "start_timestamp", "ord", 10.0).select("meeting_id", "status", "ord")
 
 
 @registry.query("q_latest_state", "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, count(*) AS n FROM events GROUP BY 1")

@@ -66,3 +66,54 @@ def test_greedy_batches(spark):
     got = S.greedy_batches(df, "m", "o", F.length("t"), 250).orderBy("o").collect()
     assert [r.batch for r in got] == [0, 0, 1, 2, 3]
     assert S.greedy_batches(df.limit(0), "m", "o", F.length("t"), 250).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_paced(spark, seed):
+    rnd = random.Random(seed)
+    rows, at = [], 0.0
+    for i in range(400):
+        at += rnd.choice([0, 0.5, 1.0, 3.0, 9.999999, 10.0, 25.0])
+        rows.append((rnd.choice("ab"), i, at))
+    df = spark.createDataFrame([*rows, ("a", 999, None)], "k string, id int, at double")
+    want, last = [], {}
+    for k, i, t in rows:
+        if k not in last or round(t * 1e6) - last[k] >= 10_000_000:
+            want.append((k, i))
+            last[k] = round(t * 1e6)
+    assert sorted((r.k, r.id) for r in S.paced(df, ["k"], "at", "id", 10.0).collect()) == sorted(want)
+    assert S.paced(df.limit(0), ["k"], "at", "id", 10.0).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_words_to_utterances_word_by_word(spark, seed):
+    rnd = random.Random(seed)
+    rows, at = [], 0.0
+    for i in range(600):
+        kind = rnd.choice(["word", "word", "spacing", "audio_event"])
+        at += rnd.choice([0.1, 0.4, 0.9, 3.0 if rnd.random() < 0.1 else 0.2])
+        long = rnd.choice([0.2, 0.5, 12.0 if rnd.random() < 0.1 else 0.3])
+        rows.append(("m", i, rnd.choice(["ένα", "δύο.", "κ.", "τρία;"]) if kind == "word" else " ", kind, None if rnd.random() < 0.1 else at, None if rnd.random() < 0.1 else at + long, rnd.choice([None, -0.1])))
+    want, open_, text, last = [], [], "", 0.0
+    for _, i, t, kind, s, e, _ in rows:
+        if kind == "spacing" and open_:
+            text += t
+        if kind != "word":
+            continue
+        s = last if s is None else s
+        e = s if e is None else e
+        if open_ and s - last > 1:
+            want.append((open_[0], open_[-1], text.strip()))
+            open_, text = [], ""
+        if not open_:
+            begun = s
+        open_.append(i)
+        text, last = text + t, e
+        if t in ("δύο.", "τρία;") or e - begun >= 30:
+            want.append((open_[0], open_[-1], text.strip()))
+            open_, text = [], ""
+    if open_:
+        want.append((open_[0], open_[-1], text.strip()))
+    df = spark.createDataFrame(rows, "m string, ord int, text string, word_type string, start_sec double, end_sec double, logprob double")
+    got = S.words_to_utterances(df, ["m"]).orderBy("first_ord").collect()
+    assert [(r.first_ord, r.last_ord, r.text) for r in got] == want

@@ -66,6 +66,22 @@ def test_split_at_silences(spark):
     rows = [("m", float(s), float(s + 50)) for s in range(0, 600, 60)]
     got = sorted((r.start, r.end) for r in T.split_at_silences(spark.createDataFrame(rows, "m string, a double, b double"), "m", "a", "b", 200.0).collect())
     assert got[0][0] == 0.0 and got[-1][1] == 590.0 and all(e - s <= 200 for s, e in got) and all(x[1] == y[0] for x, y in zip(got, got[1:]))
+    # one who never pauses: nothing is lost, and what could not be cut says so
+    rows = [("m", 0.0, 190.0), ("m", 190.9, 700.0), ("m", 700.0, 900.0)]
+    got = [(r.start, r.end, r.uncut) for r in T.split_at_silences(spark.createDataFrame(rows, "m string, a double, b double"), "m", "a", "b", 200.0).orderBy("part").collect()]
+    assert got[0][0] == 0.0 and got[-1][1] == 900.0 and [u for *_, u in got] == [False] * (len(got) - 1) + [got[-1][1] - got[-1][0] > 200]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_interval_joins_with_very_long_intervals(spark, seed):
+    rnd = random.Random(seed)
+    span = lambda: (s := rnd.uniform(0, 40_000), s + rnd.choice([0, 1, 30, 500, 5_000, 3e8]) * rnd.random())
+    a, b = ([(i, "k", *span()) for i in range(120)] for _ in range(2))
+    left, right = spark.createDataFrame(a, "i int, k string, s double, e double"), spark.createDataFrame(b, "j int, k string, x double, y double")
+    want = sorted((i, j) for i, _, s, e in a for j, _, x, y in b if x <= e and y >= s)
+    assert sorted((r.i, r.j) for r in T.overlap_join(left, right, "k", ("s", "e"), ("x", "y")).collect()) == want
+    want = sorted((i, j) for i, _, s, e in a for j, _, x, y in b if x <= s and y >= e)
+    assert sorted((r.i, r.j) for r in T.contained_join(left, right, "k", ("s", "e"), ("x", "y")).collect()) == want
 
 
 def present(spark, events, position, positions=(1, 2, 3, 4, 5)):
