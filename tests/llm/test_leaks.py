@@ -72,6 +72,7 @@ def test_automaton_finds_what_a_search_finds():
     texts = {i: normalised(sentence(rnd)) for i in range(4)}
     items = Items(texts)
     doc = normalised(" ".join(t for i in range(4) for t in [sentence(rnd), *texts[i].words[3:9]]))
+    assert all(len(items.gram(n).split()) == 3 for n in range(len(items.places)))
     want = {(d, n) for n, places in enumerate(items.places) for d in range(len(doc.words) - 2) if doc.words[d : d + 3] == texts[places[0][0]].words[places[0][1] : places[0][1] + 3]}
     assert set(items.scan(doc)) == want
 
@@ -99,3 +100,40 @@ def test_a_long_formula_of_many_items_stays_one(spark):
     d = spark.createDataFrame([*docs.items()], "doc_id bigint, text string")
     got = find_leaks(d, spark.createDataFrame([*items.items()], "item_id bigint, text string"))
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(99, 1)}
+
+
+@pytest.mark.parametrize("n_docs", [12, 13, 40, 100])
+@pytest.mark.parametrize("n_items", [1, 2, 3, 5])
+def test_no_number_of_leaks_or_of_equal_items_hides_them(spark, n_docs, n_items):
+    rnd = random.Random(n_docs * 10 + n_items)
+    text = " ".join(sentence(rnd) for _ in range(4))
+    items = {f"i{k}": text for k in range(n_items)} | {"other": " ".join(sentence(rnd) for _ in range(4))}
+    docs = {f"d{k}": f"{sentence(rnd)} {text if k < n_docs else ''} {sentence(rnd)}" for k in range(100)}
+    got = find_leaks(spark.createDataFrame([*docs.items()], "doc_id string, text string"), spark.createDataFrame([*items.items()], "item_id string, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(f"d{k}", f"i{j}") for k in range(n_docs) for j in range(n_items)}
+
+
+def test_a_passage_of_several_questions(spark):
+    rnd = random.Random(3)
+    passage = " ".join(sentence(rnd) for _ in range(3))
+    items = {k: f"{passage} {sentence(rnd)}" for k in range(5)}
+    docs = {k: sentence(rnd, 60) for k in range(50)} | {99: f"{sentence(rnd)} {passage}", 98: items[2]}
+    got = find_leaks(spark.createDataFrame([*docs.items()], "doc_id int, text string"), spark.createDataFrame([*items.items()], "item_id int, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(d, i) for d in (98, 99) for i in range(5)}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_chains_follow_changed_words(seed):
+    from praktika.llm.leaks import stretches
+
+    rnd = random.Random(seed)
+    item = normalised(" ".join(f"λ{k}" for k in range(60)))
+    words = item.words[10:50]
+    for _ in range(4):
+        k = rnd.randrange(2, len(words) - 2)
+        words[k : k + 1] = rnd.choice([["άλλο"], [], ["ένα", "δύο"]])
+    doc = normalised(" ".join(["πριν"] * 5 + words + ["μετά"] * 5))
+    items = Items({0: item})
+    found = stretches(item, doc, [(d, p) for d, n in items.scan(doc) for _, p in items.places[n]])
+    kept = [w for w in item.words if w in doc.words]
+    assert sum(len(s.matched) for s in found) >= len(kept) - 4 and all(item.words[p] in doc.words for s in found for p in s.matched)
