@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from praktika.llm.runs import collapse_runs, speaker_label
-from praktika.llm.turns import CHUNK_SECONDS, HESITATION, LABEL_WORD, SOUND_WORDS, TIME_MARK, speaker_turns
+from praktika.llm.turns import CHUNK_SECONDS, HESITATION, LABEL_WORD, SOUND_WORDS, TIME_MARK, calibrated_pauses, speaker_turns
 from praktika.registry import Registry
 from praktika.sources.tables import table
 
@@ -92,6 +92,16 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("meeting_id", "segment_index", "first_ord", "last_ord", F.col("n_words").cast("int").alias("n_words"))
 
 
+@registry.query("p5_pauses")
+def p5_pauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns that also end at pauses, calibrated for each recording."""
+    words = table(spark, sf_dir, "asr_words").where("word_type = 'word'")
+    keys = ["meeting_id", "segment_index"]
+    pauses = calibrated_pauses(words, keys, "start_sec", "end_sec", "ord")
+    turns = speaker_turns(words.join(pauses, keys), keys, pause=F.col("pause"))
+    return turns.select("meeting_id", "segment_index", "first_ord", "last_ord", F.col("n_words").cast("int").alias("n_words"))
+
+
 @registry.query("p7_found", P7_SQL)
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "asr_words").where("word_type = 'word'")

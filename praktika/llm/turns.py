@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from praktika.llm.runs import chunk_of, local_runs, mark_ends, merge, speaker_label
+from praktika.operators.chunks import neighbours
 
 #: Seconds of a chunk of a stream: some thousand words at the pace of speech.
 CHUNK_SECONDS = 600.0
+#: Seconds of speech that a rolling caption shows at most: so far before and after it begins are its words repeated.
+CAPTION_SECONDS = 60.0
 #: Pauses are calibrated between these bounds, in seconds.
 PAUSE_BOUNDS = (0.4, 3.0)
 
@@ -43,32 +47,74 @@ def describes_sound(opening: Column, closing: Column) -> Column:
     return F.coalesce(fits & ((F.substring(o, 1, 1) != "(") | (both.rlike(SOUND_WORDS) & ~both.rlike(r"\d"))), F.lit(False))
 
 
-def calibrated_pause(words: DataFrame, start: str, end: str, order: Window, quantile: float = 0.98) -> float:
-    """The pause in seconds that ends a turn: a high quantile of the pauses between words, within PAUSE_BOUNDS."""
-    gaps = words.select((F.lead(start).over(order) - F.col(end)).alias("gap")).where("gap > 0")
-    found = gaps.agg(F.percentile_approx("gap", quantile)).first()[0]
+def calibrated_pauses(df: DataFrame, keys: list[str], start: str, end: str, ordinal: str, quantile: float = 0.98, chunk: float = CHUNK_SECONDS) -> DataFrame:
+    """Per stream the pause in seconds that ends a turn: a high quantile of its pauses between words, within PAUSE_BOUNDS.
+
+    Neighbours are found over chunks of time. A stream without a pause has the upper bound. Out: keys, ``pause``.
+    """
     low, high = PAUSE_BOUNDS
-    return high if found is None else min(high, max(low, found))
+    rows = df.select(F.struct(*keys).alias("_key"), chunk_of(F.col(start), chunk).alias("_chunk"), F.col(start).alias("_pos"), F.col(ordinal).alias("_ord"), F.col(end).alias("_end")).distinct()
+    gap = F.col("_pos") - F.col("_before._end")
+    gaps = neighbours(rows, "_key", "_chunk", ["_pos", "_ord", "_end"], ["_end"]).select("_key", F.when(gap > 0, gap).alias("gap"))
+    found = gaps.groupBy("_key").agg(F.percentile_approx("gap", quantile).alias("pause"))
+    return found.select("_key.*", F.when(F.col("pause").isNull(), high).otherwise(F.least(F.lit(high), F.greatest(F.lit(low), "pause"))).alias("pause"))
+
+
+def repetitions(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The entries that repeat the caption before them, as arrays ``_gone`` per (_key, _chunk).
+
+    A caption begins at an entry that starts before the one ahead of it has ended. The longest suffix of the entries
+    before it that is the prefix of those from it on, word for word and by the same speaker (as far as they have
+    labels), is repeated; both lie within CAPTION_SECONDS of its start. Only entries near such starts are gathered,
+    in groups of three spans of that length.
+    """
+    order = ["_pos", "_ord", "_end", "_word"]
+    local = Window.partitionBy("_key", "_chunk").orderBy(*order)
+    within = rows.select("_key", "_pos", F.lag("_end").over(local).alias("_until")).where("_pos < _until").select("_key", "_pos")
+    ends = rows.groupBy("_key", "_chunk").agg(F.min("_pos").alias("_pos"), F.max_by("_end", F.struct(*order)).alias("_last"))
+    across = ends.withColumn("_until", F.lag("_last").over(Window.partitionBy("_key").orderBy("_chunk"))).where("_pos < _until").select("_key", "_pos")
+    span = F.floor(F.col("_pos") / F.lit(CAPTION_SECONDS)).cast("bigint")
+    asked = within.unionByName(across).select("_key", span.alias("_span")).distinct().select("_key", "_span", F.explode(F.sequence(F.col("_span") - 1, F.col("_span") + 1)).alias("_at"))
+    near = rows.withColumn("_at", span).join(asked, ["_key", "_at"]).select("_key.*", "_span", "_chunk", *order, "_value")
+
+    def find(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable", na_position="first").reset_index(drop=True)
+        at, until = pdf["_pos"].tolist(), pdf["_end"].tolist()
+        said = list(zip(pdf["_word"].tolist(), pdf["_value"].where(pdf["_value"].notna(), None).tolist()))
+        same = lambda a, b: a[0] == b[0] and (a[1] is None or b[1] is None or a[1] == b[1])
+        gone = set()
+        for i in range(1, len(pdf)):
+            if at[i] < until[i - 1] and at[i] // CAPTION_SECONDS == pdf["_span"].iloc[0]:
+                before = sum(at[i] - t <= CAPTION_SECONDS for t in at[:i])
+                after = sum(t - at[i] <= CAPTION_SECONDS for t in at[i:])
+                k = next((k for k in range(min(before, after), 0, -1) if all(map(same, said[i - k : i], said[i : i + k]))), 0)
+                gone.update(range(i, i + k))
+        return pdf.iloc[sorted(gone)][[*keys, "_chunk", *order]]
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in near.drop("_span", "_value").schema)
+    found = near.groupBy(*keys, "_span").applyInPandas(find, kinds)
+    return found.groupBy(F.struct(*keys).alias("_key"), "_chunk").agg(F.collect_list(F.struct(*order)).alias("_gone"))
 
 
 def speaker_turns(
-    df: DataFrame, keys: list[str], ordinal: str = "ord", text: str = "text", kind: str = "word_type", speaker: str = "speaker_id", start: str = "start_sec", end: str = "end_sec", pause: float | None = None, chunk: float = CHUNK_SECONDS
+    df: DataFrame, keys: list[str], ordinal: str = "ord", text: str = "text", kind: str = "word_type", speaker: str = "speaker_id", start: str = "start_sec", end: str = "end_sec", pause: float | Column | None = None, chunk: float = CHUNK_SECONDS
 ) -> DataFrame:
     """Turns per stream (``keys``): longest runs of spoken words of one speaker in order of start, then ``ordinal``.
 
     Entries of another kind than word are left out. So are hesitation sounds, sound descriptions in one or two entries,
-    time marks and speaker labels, and empty texts. An entry that begins before the one ahead of it has ended and
-    repeats its text is the repetition of a rolling caption and is left out: in start order the suffix of the old and
-    the prefix of the new caption stand side by side. A word without label continues the speaker before it; at the
-    head of a stream it has none and is a turn of its own. With ``pause`` a longer silence ends a turn as well.
+    time marks and speaker labels, and empty texts. What a rolling caption repeats of the one before it is left out
+    (``repetitions``). A word without label continues the speaker before it; at the head of a stream it has none and is
+    a turn of its own. With ``pause``, seconds or a column of ``df`` that is the same all over a stream, a longer
+    silence ends a turn as well.
 
     Exact repetitions of a row count once. Nulls in a key are a key of their own; words without start come first.
     Columns with other names are ignored; an empty table gives none.
     Out: keys, ``speaker``, ``first_ord``, ``last_ord``, ``n_words``, ``start``, ``end``.
     """
     cls = entry_class(F.col(text))
+    limit = pause if isinstance(pause, Column) else F.lit(pause)
     rows = df.where(F.col(kind) == "word").select(
-        *keys,
+        F.struct(*keys).alias("_key"),
         chunk_of(F.col(start), chunk).alias("_chunk"),
         F.col(start).alias("_pos"),
         F.col(ordinal).alias("_ord"),
@@ -77,29 +123,33 @@ def speaker_turns(
         F.when(cls >= OPENS, F.col(text)).alias("_half"),
         F.xxhash64(F.lower(F.trim(F.col(text)))).alias("_word"),
         speaker_label(F.col(speaker)).alias("_value"),
+        limit.cast("double").alias("_limit"),
     )
-    rows = rows.repartition(*keys, "_chunk").dropDuplicates()
+    names, keys = keys, ["_key"]
+    rows = rows.repartition("_key", "_chunk").dropDuplicates()
+    gone = repetitions(rows, names)
+    rows = rows.join(gone, ["_key", "_chunk"], "left").where(F.col("_gone").isNull() | ~F.array_contains("_gone", F.struct("_pos", "_ord", "_end", "_word"))).drop("_gone")
     local = Window.partitionBy(*keys, "_chunk").orderBy("_pos", "_ord", "_end", "_word")
-    seen = F.struct("_pos", "_end", "_cls", "_half", "_word")
-    rows = rows.select(*keys, "_chunk", "_pos", "_ord", "_end", "_cls", "_half", "_word", F.last("_value", ignorenulls=True).over(local).alias("_value"), F.lag(seen).over(local).alias("_l"), F.lead(seen).over(local).alias("_r"))
+    seen = F.struct("_cls", "_half")
+    rows = rows.select(*keys, "_chunk", "_pos", "_ord", "_end", "_cls", "_half", "_word", "_limit", F.last("_value", ignorenulls=True).over(local).alias("_value"), F.lag(seen).over(local).alias("_l"), F.lead(seen).over(local).alias("_r"))
     rows = rows.withColumns({"_cls": _resolved("_l", "_r"), "_edge": F.col("_l").isNull() | F.col("_r").isNull()}).where(f"_edge or _cls != {NOISE}").drop("_l", "_r")
 
     # The first and the last entry of a chunk stay rows of their own: their neighbours stand in other chunks.
     before = F.lag(F.struct("_value", "_edge", "_end")).over(local)
     new = before.isNull() | F.col("_edge") | before["_edge"] | ~F.col("_value").eqNullSafe(before["_value"])
     if pause is not None:
-        new = new | F.coalesce(F.col("_pos") - before["_end"] > pause, F.lit(False))
+        new = new | F.coalesce(F.col("_pos") - before["_end"] > F.col("_limit"), F.lit(False))
     rows = rows.withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(local)).withColumn("_start", F.col("_pos"))
-    runs = mark_ends(local_runs(rows, keys, [F.max("_edge").alias("_edge"), F.max("_cls").alias("_cls"), F.max("_half").alias("_half"), F.max("_word").alias("_word")]), keys)
+    runs = mark_ends(local_runs(rows, keys, [F.max("_edge").alias("_edge"), F.max("_cls").alias("_cls"), F.max("_half").alias("_half"), F.max("_limit").alias("_limit")]), keys)
 
     whole = Window.partitionBy(*keys, "_part").orderBy("_chunk", "_run")
-    seen = F.struct("_chunk", F.col("_first._pos").alias("_pos"), F.col("_last._end").alias("_end"), "_cls", "_half", "_word", "_edge")
+    seen = F.struct("_chunk", F.col("_first._pos").alias("_pos"), F.col("_last._end").alias("_end"), "_cls", "_half", "_edge")
     runs = runs.withColumns({"_value": F.last("_value", ignorenulls=True).over(whole), "_l": F.lag(seen).over(whole), "_r": F.lead(seen).over(whole), "_pos": F.col("_first._pos")})
     across = {side: F.when((F.col(f"{side}._chunk") != F.col("_chunk")) & F.col(f"{side}._edge") & F.col("_edge"), F.col(side)) for side in ("_l", "_r")}
     runs = runs.withColumns(across).withColumn("_cls", F.when(F.col("_edge"), _resolved("_l", "_r")).otherwise(F.col("_cls"))).where(f"_cls != {NOISE}")
-    apart = None if pause is None else F.col("_first._pos") - F.col("_before._last._end") > pause
+    apart = None if pause is None else F.col("_first._pos") - F.col("_before._last._end") > F.col("_limit")
     return merge(runs, keys, apart).select(
-        *keys,
+        "_key.*",
         F.col("_value").alias("speaker"),
         F.col("_first._ord").alias("first_ord"),
         F.col("_last._ord").alias("last_ord"),
@@ -114,5 +164,4 @@ def _resolved(left: str, right: str) -> Column:
     l, r = F.col(left), F.col(right)
     opened = (F.col("_cls") == OPENS) & (r["_cls"] == CLOSES) & describes_sound(F.col("_half"), r["_half"])
     closed = (F.col("_cls") == CLOSES) & (l["_cls"] == OPENS) & describes_sound(l["_half"], F.col("_half"))
-    rolled = (F.col("_pos") < l["_end"]) & (F.col("_word") == l["_word"])
-    return F.when(F.coalesce(opened, F.lit(False)) | F.coalesce(closed, F.lit(False)) | F.coalesce(rolled, F.lit(False)), F.lit(NOISE)).otherwise(F.col("_cls")).cast("tinyint")
+    return F.when(F.coalesce(opened, F.lit(False)) | F.coalesce(closed, F.lit(False)), F.lit(NOISE)).otherwise(F.col("_cls")).cast("tinyint")

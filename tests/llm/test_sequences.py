@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from praktika.llm.runs import collapse_runs, speaker_label
-from praktika.llm.turns import calibrated_pause, speaker_turns
+from praktika.llm.turns import calibrated_pauses, speaker_turns
 
 SCHEMA = "m string, seg int, ord int, text string, word_type string, start_sec double, end_sec double, logprob double, speaker_id string, _value string"
 NOISES = ["[γέλια]", "εεε...", "Χμμ,", "<00:00:01.000>", "(00:12)", "SPEAKER_01:", "♪", "(θόρυβος)"]
@@ -75,14 +75,43 @@ def test_rolling_captions_and_pauses(spark, chunk):
     assert turns == {(0, 4, 4), (5, 5, 1)}
 
 
-def test_pause_is_calibrated_within_bounds(spark):
-    from pyspark.sql import Window
+def caption_rows(captions, speakers=None):
+    rows = []
+    for n, (begin, text) in enumerate(captions):
+        for k, w in enumerate(text.split()):
+            rows.append(("a", 0, len(rows), w, "word", begin + k * 0.5, begin + k * 0.5 + 0.5, None, (speakers or ["spk1"] * 9)[n], None))
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [0.3, 0.7, 1.0, 2.0, 600.0])
+@pytest.mark.parametrize(
+    "captions,speakers,n_words",
+    [
+        ([(0.0, "we will vote"), (1.05, "will vote now")], None, 4),  # the new one begins while the old one is shown
+        ([(0.0, "we will vote"), (0.6, "will vote now")], None, 4),  # both run side by side
+        ([(0.0, "a b c d"), (1.7, "b c d e"), (3.4, "c d e f")], None, 6),
+        ([(0.0, "a b c d"), (1.7, "x b c")], None, 7),
+        ([(0.0, "yes yes yes"), (1.2, "yes no")], None, 4),
+        ([(0.0, "a b c"), (1.05, "b c d")], ["spk1", "spk2"], 6),  # another speaker repeats nothing
+        ([(0.0, "a b c"), (1.05, "b c d")], ["spk1", None], 4),
+        ([(0.0, "a b c"), (1.8, "b c d")], None, 6),  # no overlap in time: said twice
+    ],
+)
+def test_rolling_captions_overlap_by_words(spark, chunk, captions, speakers, n_words):
+    rows = caption_rows(captions, speakers)
+    got = speaker_turns(spark.createDataFrame(rows, SCHEMA), ["m", "seg"], chunk=chunk).collect()
+    assert sum(r.n_words for r in got) == n_words
 
-    rows = [("a", 0, i, "και", "word", i * 1.0, i + 0.9, None, None, None) for i in range(50)]
+
+def test_pause_is_calibrated_within_bounds(spark):
+    rows = [("a", 0, i, "και", "word", i * 1.0, i + 0.9, None, None, None) for i in range(50)] + [("b", 0, i, "και", "word", i * 2.0, i * 2.0 + 1, None, None, None) for i in range(50)] + [(None, 0, 0, "και", "word", 0.0, None, None, None, None)]
     df = spark.createDataFrame(rows, SCHEMA)
-    order = Window.partitionBy("m", "seg").orderBy("start_sec")
-    assert calibrated_pause(df, "start_sec", "end_sec", order) == 0.4
-    assert calibrated_pause(df.limit(0), "start_sec", "end_sec", order) == 3.0
+    for chunk in (0.5, 7.0, 600.0):
+        got = {r.m: r.pause for r in calibrated_pauses(df, ["m", "seg"], "start_sec", "end_sec", "ord", chunk=chunk).collect()}
+        assert got == {"a": 0.4, "b": 1.0, None: 3.0}
+    assert calibrated_pauses(df.limit(0), ["m", "seg"], "start_sec", "end_sec", "ord").count() == 0
+    turns = speaker_turns(df.where("m = 'b'").withColumn("p", F.lit(0.5)), ["m", "seg"], pause=F.col("p"))
+    assert turns.count() == 50
 
 
 @pytest.mark.parametrize("chunk", [1.0, 3.0, 4096.0])
