@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from praktika.llm.runs import chunk_of, local_runs, mark_ends, merge, speaker_label
 from praktika.operators.chunks import neighbours
+from praktika.operators.lineage import cut
 
 #: Seconds of a chunk of a stream: some thousand words at the pace of speech.
 CHUNK_SECONDS = 600.0
@@ -60,21 +61,30 @@ def calibrated_pauses(df: DataFrame, keys: list[str], start: str, end: str, ordi
     return found.select("_key.*", F.when(F.col("pause").isNull(), high).otherwise(F.least(F.lit(high), F.greatest(F.lit(low), "pause"))).alias("pause"))
 
 
-def repetitions(rows: DataFrame, keys: list[str]) -> DataFrame:
+def caption_starts(df: DataFrame, keys: list[str], ordinal: str, text: str, speaker: str, start: str, end: str, chunk: float) -> DataFrame:
+    """(_key, _pos) of entries that start before the one ahead of them has ended; of the columns this needs alone."""
+    order = ["_pos", "_ord", "_end", "_id"]
+    rows = df.select(F.struct(*keys).alias("_key"), chunk_of(F.col(start), chunk).alias("_chunk"), F.col(start).alias("_pos"), F.col(ordinal).alias("_ord"), F.col(end).alias("_end"), F.xxhash64(text, speaker).alias("_id"))
+    rows = rows.repartition("_key", "_chunk").dropDuplicates()
+    local = Window.partitionBy("_key", "_chunk").orderBy(*order)
+    seen = rows.select("_key", "_chunk", "_pos", "_end", F.lag("_end").over(local).alias("_until"), F.lead("_pos").over(local).isNull().alias("_last"))
+    within = seen.where("_pos < _until").select("_key", "_pos")
+    ends = seen.groupBy("_key", "_chunk").agg(F.min("_pos").alias("_pos"), F.max(F.when(F.col("_last"), F.col("_end"))).alias("_end"))
+    across = ends.withColumn("_until", F.lag("_end").over(Window.partitionBy("_key").orderBy("_chunk"))).where("_pos < _until").select("_key", "_pos")
+    return within.unionByName(across)
+
+
+def repetitions(rows: DataFrame, starts: DataFrame, keys: list[str]) -> DataFrame:
     """The entries that repeat the caption before them, as arrays ``_gone`` per (_key, _chunk).
 
-    A caption begins at an entry that starts before the one ahead of it has ended. The longest suffix of the entries
-    before it that is the prefix of those from it on, word for word and by the same speaker (as far as they have
-    labels), is repeated; both lie within CAPTION_SECONDS of its start. Only entries near such starts are gathered,
-    in groups of three spans of that length.
+    A caption begins at an entry that starts before the one ahead of it has ended (``starts``). The longest suffix of
+    the entries before it that is the prefix of those from it on, word for word and by the same speaker (as far as they
+    have labels), is repeated; both lie within CAPTION_SECONDS of its start. Only entries near such starts are
+    gathered, in groups of three spans of that length.
     """
     order = ["_pos", "_ord", "_end", "_word"]
-    local = Window.partitionBy("_key", "_chunk").orderBy(*order)
-    within = rows.select("_key", "_pos", F.lag("_end").over(local).alias("_until")).where("_pos < _until").select("_key", "_pos")
-    ends = rows.groupBy("_key", "_chunk").agg(F.min("_pos").alias("_pos"), F.max_by("_end", F.struct(*order)).alias("_last"))
-    across = ends.withColumn("_until", F.lag("_last").over(Window.partitionBy("_key").orderBy("_chunk"))).where("_pos < _until").select("_key", "_pos")
     span = F.floor(F.col("_pos") / F.lit(CAPTION_SECONDS)).cast("bigint")
-    asked = within.unionByName(across).select("_key", span.alias("_span")).distinct().select("_key", "_span", F.explode(F.sequence(F.col("_span") - 1, F.col("_span") + 1)).alias("_at"))
+    asked = starts.select("_key", span.alias("_span")).distinct().select("_key", "_span", F.explode(F.sequence(F.col("_span") - 1, F.col("_span") + 1)).alias("_at"))
     near = rows.withColumn("_at", span).join(asked, ["_key", "_at"]).select("_key.*", "_span", "_chunk", *order, "_value")
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -127,8 +137,10 @@ def speaker_turns(
     )
     names, keys = keys, ["_key"]
     rows = rows.repartition("_key", "_chunk").dropDuplicates()
-    gone = repetitions(rows, names)
-    rows = rows.join(gone, ["_key", "_chunk"], "left").where(F.col("_gone").isNull() | ~F.array_contains("_gone", F.struct("_pos", "_ord", "_end", "_word"))).drop("_gone")
+    starts = cut(caption_starts(df.where(F.col(kind) == "word"), names, ordinal, text, speaker, start, end, chunk))
+    if not starts.isEmpty():  # without any nothing is repeated, and nothing need be looked up
+        gone = repetitions(rows, starts, names)
+        rows = rows.join(gone, ["_key", "_chunk"], "left").where(F.col("_gone").isNull() | ~F.array_contains("_gone", F.struct("_pos", "_ord", "_end", "_word"))).drop("_gone")
     local = Window.partitionBy(*keys, "_chunk").orderBy("_pos", "_ord", "_end", "_word")
     seen = F.struct("_cls", "_half")
     rows = rows.select(*keys, "_chunk", "_pos", "_ord", "_end", "_cls", "_half", "_word", "_limit", F.last("_value", ignorenulls=True).over(local).alias("_value"), F.lag(seen).over(local).alias("_l"), F.lead(seen).over(local).alias("_r"))
