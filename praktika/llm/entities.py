@@ -14,32 +14,27 @@ from pyspark.sql import types as T
 from praktika.llm.unify import unify
 from praktika.operators.lineage import cut, drop
 
-#: Days from a meeting to the issue of its decisions, and to their publication.
-ISSUE_DAYS, PUBLISH_DAYS = 2, 120
+#: Days from a meeting to the issue of its decisions, and to their publication; days of a bucket of the latter.
+ISSUE_DAYS, PUBLISH_DAYS, BUCKET_DAYS = 2, 120, 30
 #: Numbers of a meeting's decisions run on: so far from the resolved ones may an unresolved one be.
-RUN_SLACK = 3
+RUN_SLACK, RUN_KNOWN = 3, 2
 #: Pseudo-counts of the labelled precision of a rule.
 RIGHT, WRONG = 1.0, 1.0
-
-# What an item of business is about, by a stem of folded text, the more telling first.
-TOPICS = (
-    ("traffic", r"κυκλοφορια"), ("kiosk", r"περιπτερ"), ("trees", r"δεντρ"), ("space", r"παραχωρ|δημοτικου χωρου|^\w+ χωρου σε"), ("budget", r"αναμορφωσ|τεχνικου προγραμματοσ"), ("naming", r"ονοματοδοσ"), ("stream", r"ρυπανσ|ρεματοσ"),
-    ("events", r"εκδηλωσε|πολιτιστικ(?:ων|εσ)\b"), ("subsidy", r"επιχορηγ"), ("lease", r"εκμισθωσ|δημοπρασ"), ("committee", r"επιτρ\w*\.? παραλαβ|μελων επιτρ|συγκροτησ|^ορισμοσ μελων"), ("extension", r"παρατασ|προθεσμ"),
-    ("acceptance", r"παραλαβησ? (?:του )?εργου|οριστικησ παραλαβ"), ("minutes", r"συνεδριασ|επικυρωσ"), ("donation", r"δωρεασ"), ("writeoff", r"διαγραφ"), ("phase", r"φασησ? |φαση:"),
-    ("study", r"μελετ"), ("contract", r"συμβασ|υλοποιηση πραξησ"), ("purchase", r"προμηθει"),
-)
-_PREFIX = re.compile(r"^(?:αποσπασμα πρακτικου\s*[–-]\s*|αποφαση δ\.?σ\.?:?\s*|θεμα \d+ο:?\s*|περι:?\s*|ληψη αποφασησ για εγκριση\s*)+")
-_AMOUNT = re.compile(r"(?<![\d.,/])(\d{1,3}(?:\.\d{3})+(?:,\d\d)?|\d+(?:,\d\d)?)\s*(?:€|ευρω)")
-_ORDINAL = re.compile(r"(?<![\d.,/])(\d+)\s*η(?:σ)?(?!\w)")
-_STREET = re.compile(r"(?:οδο[συ]?|οδ\.|στην|στη|τησ|την|πλησιον|απο)\s+((?:(?!οδο|τησ |την |στην |οδ\.)[^\W\d]+\s+){1,3})(\d{1,3})(?![\d]|[.,/]\d|\s*(?:€|ευρω|m|μ2|δεντρ|η\b))")
-_COMPANY = re.compile(r"([^\W\d]{4,})\s+(?:μον\.?\s*)?(?:ο\.\s*ε|α\.\s*ε|ι\.\s*κ\.\s*ε|κ/ξ)")
-_QUOTED = re.compile(r"([^\W\d]+)\s+([^\W\d]+)\s*«([^»]*)»?")
-_PLACE = re.compile(r"\(([^\W\d]{4,})\)|κοιν(?:οτητασ?|\.)\s+([^\W\d]+)|ρεματοσ\s+([^\W\d]+)|εκδηλωσε\w+\s+(?:στην?\s+)?([^\W\d]+)|πλατειασ\s+στην?\s+(?!κοιν)([^\W\d]+)|δωρεασ\s+στην?\s+([^\W\d]+)")
-_WORK = {"extension": r"εργου", "acceptance": r"εργου", "phase": r"φαση:|εργασιων", "study": r"μελετησ", "contract": r"πραξησ|για(?! τη)", "purchase": r"προμηθειασ", "committee": r"παραλαβησ"}
-_WORKS = {k: re.compile(rf"(?:{v})\s+(?:τησ\s+|του\s+)?([^\W\d]+)\s+([^\W\d]+)") for k, v in _WORK.items()}
+#: Letters of a word that tell it, whatever its ending; words of fewer than three letters tell nothing.
+STEM, LEAST_LETTERS = 5, 3
+#: A token is faithful if in so large a share of plain pairs the other side has it too; pseudo-counts of that share.
+FAITHFUL, FAITHFUL_PRIOR = 0.75, 2.0
+#: What makes a plain pair, from which that is learned: the share of the subject's weight, and tokens in common.
+PLAIN_SHARE, PLAIN_TOKENS = 0.7, 3
+#: Pairs with less of the subject's weight are looked at no further, unless the decision's title was cut.
+LEAST_SHARE = 0.3
+
+# Fixed value: what stands before a city's name.
 _CITY = re.compile(r"^(?:δημοσ|δημου|δ\.)\s*")
-
-FACTS = ("topic", "amount", "ordinal", "street", "house", "company", "club", "place", "work", "gist", "title")
+_NUMBER = re.compile(r"\d+(?:\.\d{3})*(?:,\d+)?")
+_MONEY = re.compile(r"(\d+(?:\.\d{3})*(?:,\d+)?)\s*(?:€|ευρω|eur\b)")
+_WORD = re.compile(rf"[^\W\d_]{{{LEAST_LETTERS},}}")
+_CUT = re.compile(r"\S*…$")
 
 
 def folded(text: str) -> str:
@@ -52,42 +47,32 @@ def city_key(name: str | None) -> str | None:
     return None if name is None else re.sub(r"[\W\d_]+", "", _CITY.sub("", folded(name))) or None
 
 
-def facts(text: str | None) -> dict[str, str | None]:
-    """The partial attributes of a name or title; None where it does not show one."""
-    out: dict[str, str | None] = dict.fromkeys(FACTS)
+def _value(number: str) -> str:
+    return f"#{float(number.replace('.', '').replace(',', '.')):.2f}"
+
+
+def tokens(text: str | None) -> tuple[list[tuple[str, str]], list[str], bool]:
+    """(token, word) of a name or title, its sums of money, and whether its end was cut off.
+
+    A token is a number's value or the beginning of a word. The last word of a title that was cut is none.
+    """
     if not text:
-        return out
-    t = _PREFIX.sub("", folded(text))
-    t = re.sub(r"\S*…$", "", t)  # the last word of a title that was cut is none
-    out["topic"] = topic = next((k for k, p in TOPICS if re.search(p, t)), None)
-    if m := _AMOUNT.search(t):
-        out["amount"] = f"{float(m[1].replace('.', '').replace(',', '.')):.2f}"
-    if topic in ("budget", "minutes") and (m := _ORDINAL.search(t)):
-        out["ordinal"] = m[1]
-    if found := list(_STREET.finditer(t)):
-        words = found[-1][1].split()
-        out["street"], out["house"] = " ".join(w[:5] for w in words) + " " + found[-1][2], found[-1][2]
-    if m := _COMPANY.search(t):
-        out["company"] = m[1][:6]
-    if m := _QUOTED.search(t):
-        out["club"] = f"{m[1][:4]} {m[3].strip()[:7]}"
-    if m := _PLACE.search(t):
-        out["place"] = next(g for g in m.groups() if g)[:7]
-    if topic in _WORKS and (m := _WORKS[topic].search(t)):
-        out["work"] = f"{m[1][:5]} {m[2][:5]}"
-    out["gist"] = " ".join(sorted({w[:4] for w in re.findall(r"[^\W\d]{4,}", t)}))
-    out["title"] = " ".join(re.findall(r"\w+", t)) if out["gist"] else None
-    return out
-
-
-#: Edits beyond which an attribute that both sides show speaks against a pair.
-AGAINST = {"amount": 0, "ordinal": 0, "house": 0, "street": 2, "company": 2, "club": 3, "place": 2, "work": 3}
-
-
-@F.pandas_udf(T.StructType([T.StructField(name, T.StringType()) for name in FACTS]))
-def facts_of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return [], [], False
+    whole = folded(text)
+    t = _CUT.sub("", whole)
+    found = dict.fromkeys((_value(n), "") for n in _NUMBER.findall(t)) | dict.fromkeys((w[:STEM], w) for w in _WORD.findall(_NUMBER.sub(" ", t)))
+    return list(found), sorted({_value(n) for n in _MONEY.findall(t)}), whole != t
+
+
+_TOKEN = T.StructType([T.StructField("t", T.StringType()), T.StructField("w", T.StringType())])
+_READ = T.StructType([T.StructField("tokens", T.ArrayType(_TOKEN)), T.StructField("money", T.ArrayType(T.StringType())), T.StructField("cut", T.BooleanType())])
+
+
+@F.pandas_udf(_READ)
+def tokens_of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
-        yield pd.DataFrame([facts(None if pd.isna(t) else t) for t in batch], columns=list(FACTS)).astype("object")
+        rows = [tokens(None if pd.isna(t) else t) for t in batch]
+        yield pd.DataFrame({"tokens": [[{"t": t, "w": w} for t, w in r[0]] for r in rows], "money": [r[1] for r in rows], "cut": [r[2] for r in rows]})
 
 
 @F.pandas_udf(T.StringType())
@@ -95,28 +80,34 @@ def city_of(names: pd.Series) -> pd.Series:
     return names.map(city_key, na_action="ignore").astype("object")
 
 
-#: The rules, strongest first, in passes: attributes that both sides must show and that must be equal, besides city
-#: and date. The rules of one pass are joined together, the stronger taking precedence.
-PASSES: tuple[tuple[tuple[str, tuple[str, ...]], ...], ...] = (
-    (("work_company", ("topic", "work", "company")), ("work_street", ("topic", "work", "street")), ("work_place", ("topic", "work", "place")), ("work_amount", ("topic", "work", "amount")), ("place_amount", ("topic", "place", "amount")), ("club_amount", ("topic", "club", "amount"))),
-    (("street", ("topic", "street")), ("amount", ("topic", "amount")), ("ordinal", ("topic", "ordinal")), ("club", ("topic", "club"))),
-    (("work", ("topic", "work")), ("place", ("topic", "place")), ("company", ("topic", "company"))),
-    (("house", ("topic", "house")), ("street_only", ("street",)), ("amount_only", ("amount",)), ("title", ("title",))),
-    (("topic_in_run", ("topic",)),),
-)
+#: The rules, strongest first: which combination of attributes must be equal, besides the city and the date.
+RULES: tuple[tuple[str, str], ...] = (
+    ("all_tokens", "missing = 0 and n >= 2"),
+    ("number_and_words", "against_s = 0 and numbers >= 1 and n >= 2 and share >= 0.4"),
+    ("words", "against_s = 0 and n >= 2 and share >= 0.4"),
+    ("mistyped", "known_against_s = 0 and n >= 3 and share >= 0.45"),
+    ("beginning", "cut and against_d = 0 and n >= 2 and share >= 0.5"),
+    ("in_run", "fits = 1 and (against_s = 0 or cut) and against_d = 0"),
+)
 
 
-def _keys() -> Column:
-    """A record's keys under each rule whose attributes it shows."""
-    rules = [(str(k), rule, on) for k, rules in enumerate(PASSES) for rule, on in rules]
-    keys = [
-        F.when(
-            F.expr(" and ".join(f"{c} is not null" for c in ("city", *on))),
-            F.struct(F.lit(k).alias("pass"), F.lit(n).alias("rank"), F.lit(rule).alias("rule"), F.concat_ws("\t", F.lit(rule), "city", *on).alias("key")),
-        )
-        for n, (k, rule, on) in enumerate(rules)
-    ]
-    return F.explode(F.array_compact(F.array(*keys)))
+def _slots(day: str) -> Column:
+    """The dates under which a subject waits for decisions: days of issue, spans of publication, or no date at all."""
+    issue = F.transform(F.sequence(F.col(day), F.date_add(day, ISSUE_DAYS)), lambda d: F.concat(F.lit("i"), d.cast("string")))
+    at = lambda d: F.floor(F.unix_date(d) / BUCKET_DAYS)
+    published = F.transform(F.sequence(at(F.col(day)), at(F.date_add(day, PUBLISH_DAYS))), lambda b: F.concat(F.lit("p"), b.cast("string")))
+    return F.concat(issue, published)
+
+
+def _slot() -> Column:
+    published = F.concat(F.lit("p"), F.floor(F.unix_date("published") / BUCKET_DAYS).cast("string"))
+    return F.when(F.col("issued").isNotNull(), F.concat(F.lit("i"), F.col("issued").cast("string"))).otherwise(published)
+
+
+def _undated() -> Column:
+    """Keys of a record where a date is missing: its tokens two by two."""
+    ts = F.array_sort(F.array_distinct(F.transform("tokens", lambda x: x["t"])))
+    return F.flatten(F.transform(ts, lambda a, i: F.transform(F.filter(ts, lambda b, j: j > i), lambda b: F.concat_ws(" ", a, b))))
 
 
 def link_records(subjects: DataFrame, decisions: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -125,70 +116,125 @@ def link_records(subjects: DataFrame, decisions: DataFrame, labels: DataFrame |
     ``subjects``: subject_id, meeting_id, city, day (date of the meeting), position, text. ``decisions``: ada, city,
     issued, published (dates, null where unknown), number (of the protocol, null where unknown), text.
 
-    Each pass joins what is still open on the city and on the equal attributes of its rules; both sides must show all
-    of a rule's. A decision is issued within ISSUE_DAYS of its meeting, or where that date is missing published within
-    PUBLISH_DAYS; a pair is refused where an attribute that both show differs by more than AGAINST. Of several
-    partners the one of the stronger rule, then the one whose number fits the meeting's run, then the nearest in time
-    is taken if it is alone; pairs that are each other's choice are resolved and leave the later passes. The last
-    joins subjects and decisions by their topic, if the number runs on.
+    The attributes of a record are its numbers and words (``tokens``), whatever they are about; a token weighs the more
+    the fewer records have it. Records meet in exact joins on city, date and a token: the day of issue, up to ISSUE_DAYS
+    after the meeting, or where that is missing a span of publication, up to PUBLISH_DAYS after it; so a key holds the
+    business of one meeting or a few, however many a city has. Decisions without any date meet subjects by two tokens
+    at once. How often a token of one side stands on the other as well
+    is learned from plain pairs: one that mostly does (a name, a sum) speaks against a pair where it is missing, one
+    that does not (a turn of phrase) says nothing. A word of a few other letters is the same, mistyped.
+
+    The RULES are passes over what the joins found, each asking for a weaker combination of equal attributes of
+    records that are still open. Of several partners the one with most weight in common, then the nearest in time is
+    taken if it is alone; pairs that are each other's choice are resolved and leave the later passes. The last pass
+    takes pairs whose protocol number fits the run of numbers of the meeting's resolved pairs.
 
-    Confidence is the share of a rule's pairs that are right by ``labels`` (subject_id, ada), smoothed. Without
-    labels a pair counts as right if its number lies in the run of its meeting's other pairs, an attribute that the
-    rules before the last do not join on.
+    Confidence is the share of a rule's pairs that are right by ``labels`` (subject_id, ada), smoothed. Without labels
+    two attributes that a rule does not look at stand for them: for the rules before the last the run of numbers, by
+    which they choose nothing; for the last one the pairs of the rules before it, on which it is tried.
 
     Null texts, cities and dates match nothing by themselves; repeated rows count once; ties stay open; empty tables
     give an empty result. Out: subject_id, ada, rule, confidence.
     """
-    # the passes share one plan over these two tables; only a string in it differs
-    s = cut(subjects.where("subject_id is not null").dropDuplicates(["subject_id"]).select("subject_id", "meeting_id", city_of("city").alias("city"), "day", "position", facts_of("text").alias("f")).select("*", "f.*").select("subject_id", "meeting_id", "day", "position", F.struct("gist", *AGAINST).alias("s"), _keys().alias("k")))
-    d = cut(decisions.where("ada is not null").dropDuplicates(["ada"]).select("ada", city_of("city").alias("city"), "issued", "published", "number", facts_of("text").alias("g")).select("*", "g.*").select("ada", "issued", "published", "number", F.struct("gist", *AGAINST).alias("d"), _keys().alias("k")))
-    done = cut(s.limit(0).select("subject_id", "meeting_id", "position", F.lit("").alias("ada"), F.lit(0).alias("number"), F.lit("").alias("rule")))
-    for k in range(len(PASSES)):
-        open_s = s.where(F.col("k.pass") == str(k)).join(done, "subject_id", "left_anti")
-        open_d = d.where(F.col("k.pass") == str(k)).join(done, "ada", "left_anti")
-        old, done = done, cut(done.unionByName(_pairs(open_s, open_d, _runs(done), k == len(PASSES) - 1)))
-        drop(old)
-    return _with_confidence(done, labels)
-
+    s = subjects.where("subject_id is not null").dropDuplicates(["subject_id"]).select("subject_id", "meeting_id", "day", "position", city_of("city").alias("city"), tokens_of("text").alias("f"))
+    d = decisions.where("ada is not null").dropDuplicates(["ada"]).select("ada", "issued", "published", "number", city_of("city").alias("city"), tokens_of("text").alias("f"))
+    s, d = (cut(x.select(*[c for c in x.columns if c != "f"], "f.*")) for x in (s, d))
+    pairs = _features(_met(s, d), s, d)
+    done, known = None, None
+    for rule, wanted in RULES:
+        open_ = pairs
+        if done is not None:
+            open_ = pairs.join(done.select("subject_id"), "subject_id", "left_anti").join(done.select("ada"), "ada", "left_anti")
+        if "fits" in wanted:
+            known = done
+            open_ = _in_runs(open_, done)
+        chosen = _each_other(open_.where(wanted)).select("subject_id", "ada", "meeting_id", "position", "number", F.lit(rule).alias("rule"))
+        old, done = done, cut(chosen if done is None else done.unionByName(chosen))
+        if old is not None and old is not known:
+            drop(old)
+    return _with_confidence(done, known, pairs, labels)
+
+
+def _met(s: DataFrame, d: DataFrame) -> DataFrame:
+    """(subject_id, ada, lag) of records that meet in a join, and what they have in common."""
+    n = s.select(F.explode("tokens.t").alias("t")).unionByName(d.select(F.explode("tokens.t").alias("t"))).groupBy("t").agg(F.count("*").alias("df"))
+    total = s.count() + d.count()
+    weights = n.select("t", F.log(1 + F.lit(float(total)) / F.col("df")).alias("weight"))
+    ts = lambda x: F.explode(F.array_distinct(F.transform("tokens", lambda y: y["t"]))).alias(x)
+    a = s.where("city is not null and day is not null").select("subject_id", "city", "day", ts("t")).select("subject_id", "city", "day", "t", F.explode(_slots("day")).alias("slot"))
+    b = d.where("city is not null and (issued is not null or published is not null)").select("ada", "city", "published", F.col("issued").isNotNull().alias("dated"), "issued", _slot().alias("slot"), ts("t"))
+    lag_i, lag_p = F.datediff("issued", "day"), F.datediff("published", "day")
+    lag = F.when(F.col("dated"), lag_i).otherwise(F.when(lag_p.between(0, PUBLISH_DAYS), lag_p + ISSUE_DAYS))
+    dated = a.join(b, ["city", "slot", "t"]).withColumn("lag", lag).where("lag is not null").select("subject_id", "ada", "t", "lag")
+    late = d.where("city is not null and issued is null and published is null")
+    x = s.join(late.select("city").distinct(), "city", "left_semi").select("subject_id", "city", "tokens", F.explode(_undated()).alias("key"))
+    y = late.select("ada", "city", F.col("tokens").alias("other"), F.explode(_undated()).alias("key"))
+    common = F.array_intersect(F.transform("tokens", lambda z: z["t"]), F.transform("other", lambda z: z["t"]))
+    undated = x.join(y, ["city", "key"]).select("subject_id", "ada", F.explode(common).alias("t"), F.lit(9999).alias("lag")).distinct()
+    both = dated.unionByName(undated).join(weights, "t")
+    met = both.groupBy("subject_id", "ada").agg(F.min("lag").alias("lag"), F.sum("weight").alias("w"), F.count("*").alias("n"), F.count_if(F.col("t").startswith("#")).alias("numbers"))
+    whole = s.select("subject_id", ts("t")).join(weights, "t").groupBy("subject_id").agg(F.sum("weight").alias("all_w"), F.count("*").alias("all_n"))
+    shared = met.join(whole, "subject_id").select("subject_id", "ada", "lag", F.round("w", 1).alias("w"), "n", "numbers", (F.col("w") / F.col("all_w")).alias("share"), (F.col("all_n") - F.col("n")).alias("missing"))
+    return shared
+
+
+def _features(met: DataFrame, s: DataFrame, d: DataFrame) -> DataFrame:
+    """Pairs worth a look, with the tokens that speak against them."""
+    left = s.select("subject_id", "meeting_id", "position", F.col("tokens").alias("ts"), F.col("money").alias("ms"))
+    right = d.select("ada", "number", F.col("tokens").alias("td"), F.col("money").alias("md"), "cut")
+    kept = met.join(left, "subject_id").join(right, "ada").where(F.col("cut") | (F.col("share") >= LEAST_SHARE))
+    # two sums of money that have none in common speak of two matters
+    kept = kept.where((F.size("ms") == 0) | (F.size("md") == 0) | F.arrays_overlap("ms", "md"))
+    names = lambda c: F.transform(c, lambda x: x["t"])
+    lacks = lambda a, b: F.filter(a, lambda x: ~F.array_contains(names(b), x["t"]))
+    kept = cut(kept.withColumns({"lacks_s": lacks("ts", "td"), "lacks_d": lacks("td", "ts")}))
+    plain = _each_other(kept.where((F.col("share") >= PLAIN_SHARE) & (F.col("n") >= PLAIN_TOKENS)))
+    seen = plain.where("not cut").select(F.lit("s").alias("side"), F.explode("ts").alias("x"), F.col("lacks_s").alias("l")).unionByName(plain.select(F.lit("d").alias("side"), F.explode("td").alias("x"), F.col("lacks_d").alias("l")))
+    seen = seen.select("side", "x.t", (~F.array_contains(names("l"), F.col("x.t"))).cast("int").alias("hit")).groupBy("side", "t").agg(F.sum("hit").alias("hits"), F.count("*").alias("seen"))
+    base = seen.groupBy("side", F.col("t").startswith("#").alias("is_number")).agg((F.sum("hits") / F.sum("seen")).alias("base"))
+    base = {(r.side, r.is_number): r.base for r in base.collect()}  # four rows at most
+    prior = lambda side, t: F.when(t.startswith("#"), base.get((side, True), 1.0)).otherwise(base.get((side, False), 1.0))
+    lost = kept.select("subject_id", "ada", F.lit("s").alias("side"), F.explode("lacks_s").alias("x"), F.col("td").alias("others")).unionByName(kept.select("subject_id", "ada", F.lit("d").alias("side"), F.explode("lacks_d").alias("x"), F.col("ts").alias("others")))
+    lost = lost.select("subject_id", "ada", "side", "x.t", "x.w", "others").join(seen, ["side", "t"], "left")
+    own = F.when(F.col("side") == "s", prior("s", F.col("t"))).otherwise(prior("d", F.col("t")))
+    share = (F.coalesce("hits", F.lit(0)) + FAITHFUL_PRIOR * own) / (F.coalesce("seen", F.lit(0)) + FAITHFUL_PRIOR)
+    edits = F.when(F.length("w") < 6, 1).otherwise(2)
+    typed = (F.col("w") != "") & F.exists("others", lambda o: (o["w"] != "") & (F.abs(F.length(o["w"]) - F.length("w")) <= 2) & (F.levenshtein(o["w"], F.col("w")) <= edits))
+    against = lost.where((share >= FAITHFUL) & ~typed).groupBy("subject_id", "ada").agg(F.count_if(F.col("side") == "s").alias("against_s"), F.count_if((F.col("side") == "s") & F.col("seen").isNotNull()).alias("known_against_s"), F.count_if(F.col("side") == "d").alias("against_d"))
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("against_s", "known_against_s", "against_d")}
+    return cut(kept.drop("ts", "td", "ms", "md", "lacks_s", "lacks_d").join(against, ["subject_id", "ada"], "left").withColumns(zero))
+
+
+def _each_other(pairs: DataFrame) -> DataFrame:
+    """Pairs that are the best of both sides, with no other as good: most weight in common, then the nearest in time.
+
+    Where the run of numbers is known, as in the last pass, the nearest to it comes first after that.
+    """
+    score = F.struct((-F.col("w")).alias("w"), "lag", *(["off"] if "off" in pairs.columns else []))
+    by = lambda c: Window.partitionBy(c)
+    best = pairs.withColumn("_score", score).withColumns({"_s": F.min("_score").over(by("subject_id")), "_d": F.min("_score").over(by("ada"))}).where("_score = _s and _score = _d")
+    alone = best.withColumns({"_ns": F.count("*").over(by("subject_id")), "_nd": F.count("*").over(by("ada"))})
+    return alone.where("_ns = 1 and _nd = 1").drop("_score", "_s", "_d", "_ns", "_nd")
 
-def _runs(done: DataFrame) -> DataFrame:
-    """Per meeting the middle of its resolved numbers less the positions: where its run of numbers begins."""
-    known = done.where("number is not null and position is not null")
-    return known.groupBy("meeting_id").agg(F.percentile_approx(F.col("number") - F.col("position"), 0.5).alias("begin"), F.count("*").alias("known"))
 
+def _in_runs(pairs: DataFrame, done: DataFrame) -> DataFrame:
+    """``pairs`` with ``fits``, whether the number lies in the run of the meeting's resolved pairs; null where unknown.
 
-def _fits(enough: Column) -> Column:
+    The run begins at the middle of the resolved numbers less their positions, the pair's own left out of count.
+    """
+    runs = done.where("number is not null and position is not null").groupBy("meeting_id").agg(F.percentile_approx(F.col("number") - F.col("position"), 0.5).alias("begin"), F.count("*").alias("known"))
     off = F.abs(F.col("number") - F.col("position") - F.col("begin"))
-    return F.when(enough & F.col("number").isNotNull() & F.col("position").isNotNull(), (off <= RUN_SLACK).cast("int"))
+    return pairs.join(runs, "meeting_id", "left").withColumns({"off": off, "fits": F.when(F.col("known") >= RUN_KNOWN, (off <= RUN_SLACK).cast("int"))}).drop("begin", "known")
 
 
-def _pairs(s: DataFrame, d: DataFrame, runs: DataFrame, need_run: bool) -> DataFrame:
-    lag_i, lag_p = F.datediff("issued", "day"), F.datediff("published", "day")
-    in_time = F.when(F.col("issued").isNotNull(), lag_i.between(0, ISSUE_DAYS)).otherwise(F.col("published").isNull() | lag_p.between(0, PUBLISH_DAYS))
-    against = F.lit(False)
-    for slot, edits in AGAINST.items():
-        against = against | F.coalesce(F.levenshtein(F.col(f"s.{slot}"), F.col(f"d.{slot}")) > edits, F.lit(False))
-    a = s.select("*", F.col("k.key").alias("key"), F.col("k.rule").alias("rule"), F.col("k.rank").alias("rank")).drop("k")
-    both = a.join(d.withColumn("key", F.col("k.key")).drop("k"), "key").where(F.coalesce(in_time, F.lit(False)) & ~against)
-    both = both.join(runs, "meeting_id", "left").withColumn("fits", _fits(F.coalesce(F.col("known") >= 2, F.lit(False))))
-    if need_run:
-        both = both.where("fits = 1")
-    # lower is better: the rule, whether the number runs on, in how many days, how many words are shared
-    words = F.size(F.array_intersect(F.split("s.gist", " "), F.split("d.gist", " ")))
-    run = F.when(F.col("fits") == 1, 0).when(F.col("fits").isNull(), 1).otherwise(2)
-    score = F.struct("rank", run.alias("run"), F.coalesce(lag_i, lag_p + ISSUE_DAYS, F.lit(9999)).alias("lag"), (-words).alias("words"))
-    both = both.select("subject_id", "meeting_id", "position", "ada", "number", "rule", score.alias("score"))
-    both = both.groupBy("subject_id", "ada").agg(F.min_by(F.struct("meeting_id", "position", "number", "rule"), "score").alias("p"), F.min("score").alias("score"))
-    by_s, by_d = (Window.partitionBy(x).orderBy("score") for x in ("subject_id", "ada"))
-    ranked = both.withColumns({"rs": F.rank().over(by_s), "rd": F.rank().over(by_d)}).where("rs = 1 and rd = 1")
-    alone = ranked.withColumns({"ns": F.count("*").over(Window.partitionBy("subject_id")), "nd": F.count("*").over(Window.partitionBy("ada"))})
-    return alone.where("ns = 1 and nd = 1").select("subject_id", "p.meeting_id", "p.position", "ada", "p.number", "p.rule")
-
-
-def _with_confidence(done: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _with_confidence(done: DataFrame, known: DataFrame, pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+    last, wanted = RULES[-1]
     if labels is not None:
-        marked = done.join(labels.select("subject_id", F.col("ada").alias("right_ada")).distinct(), "subject_id").withColumn("good", (F.col("ada") == F.col("right_ada")).cast("double"))
+        marked = done.join(labels.select("subject_id", F.col("ada").alias("right_ada")).distinct(), "subject_id").select("rule", (F.col("ada") == F.col("right_ada")).cast("double").alias("good"))
     else:
-        marked = done.join(_runs(done), "meeting_id").withColumn("good", _fits(F.col("known") >= 3).cast("double")).where("good is not null")
+        by_run = _in_runs(known, known).where("fits is not null").select("rule", F.col("fits").cast("double").alias("good"))
+        tried = _each_other(_in_runs(pairs, known).where(wanted)).select("subject_id", F.col("ada").alias("tried"))
+        by_pairs = known.join(tried, "subject_id").select(F.lit(last).alias("rule"), (F.col("ada") == F.col("tried")).cast("double").alias("good"))
+        marked = by_run.unionByName(by_pairs)
     precision = marked.groupBy("rule").agg(((F.sum("good") + RIGHT) / (F.count("*") + RIGHT + WRONG)).alias("confidence"))
     return done.join(precision, "rule", "left").select("subject_id", "ada", "rule", F.coalesce("confidence", F.lit(RIGHT / (RIGHT + WRONG))).alias("confidence"))
