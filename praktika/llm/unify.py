@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import pandas as pd
 import regex
@@ -13,8 +14,11 @@ from pyspark.sql import functions as F
 
 # Letters that look alike, per pair of scripts, capitals before small letters.
 GREEK_AS_LATIN = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABEZHIKMNOPTYXo")
-GREEK_AS_CYRILLIC = ("ΑΒΓΕΗΙΚΜΝΟΠΡΤΦΧορα", "АВГЕНІКМНОПРТФХора")
+GREEK_AS_CYRILLIC = ("ΑΒΓΕΗΙΚΜΟΠΡΤΦΧορα", "АВГЕНІКМОПРТФХора")
 LATIN_AS_CYRILLIC = ("ABEHIKMOPCTXYSJaecopxyisj", "АВЕНІКМОРСТХУЅЈаесорхуіѕј")
+LATIN_AS_CHEROKEE = ("ABCDEGHIJKLMPRSTVWZ", "ᎪᏴᏟᎠᎬᏀᎻᏆᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ")
+LATIN_AS_ARMENIAN = ("LOUShgoqu", "ԼՕՍՏհցօզս")
+LATIN_AS_SMALL_CAPITAL = ("bghilnry", "ʙɢʜɪʟɴʀʏ")
 #: Small letters that pass for Greek only inside a word that has Greek letters of its own.
 INSIDE_GREEK = ("ανρυχκιωγη", "avpuxkiwyn")
 INSIDE_GREEK_CYRILLIC = ("νυχκι", "vухкі")
@@ -59,59 +63,134 @@ def compiled() -> dict[str, str]:
     return table
 
 
+#: Bits of the scripts of a letter; LOOK is of those that only pass for another.
+GREEK, LATIN, CYRILLIC, LOOK = 1, 2, 4, 8
+_SCRIPTS = ((GREEK, regex.compile(r"\p{Greek}")), (LATIN, regex.compile(r"\p{Latin}")), (CYRILLIC, regex.compile(r"\p{Cyrillic}")))
+
+
+def look_alikes() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """Letters to those they pass for: in Greek text, inside a word with Greek letters of its own, and in Latin words.
+
+    Two letters for one, or one that is mapped again by the same table, is a conflict.
+    """
+
+    def table(*pairs: tuple[str, str]) -> dict[str, str]:
+        out: dict[str, str] = {}
+        for to, of in pairs:
+            for value, key in zip(to, of, strict=True):
+                if out.setdefault(key, value) != value:
+                    raise ConflictError(f"{key!r} passes for {out[key]!r} and {value!r}")
+        if again := [v for v in out.values() if v in out]:
+            raise ConflictError(f"look-alikes are mapped to {again}, which are mapped again")
+        return out
+
+    to_greek = table(GREEK_AS_LATIN, GREEK_AS_CYRILLIC)
+    in_greek = table(GREEK_AS_LATIN, GREEK_AS_CYRILLIC, INSIDE_GREEK, INSIDE_GREEK_CYRILLIC)
+    to_latin = table(GREEK_AS_LATIN[::-1], LATIN_AS_CYRILLIC, LATIN_AS_CHEROKEE, LATIN_AS_ARMENIAN, LATIN_AS_SMALL_CAPITAL)
+    return to_greek, in_greek, to_latin
+
+
+class Cluster(NamedTuple):
+    """What a grapheme cluster becomes, in each script that its word may be read in."""
+
+    plain: str
+    greek: str
+    inside: str
+    latin: str
+    scripts: int
+    shared: bool  # every letter passes for a Greek one
+    own_latin: bool
+    own_greek: bool
+
+
+class Word(NamedTuple):
+    """What a word becomes in a text of mostly Greek letters and in another, and how many letters of each it has."""
+
+    in_greek: str
+    in_other: str
+    alone: str  # in Greek text, if it is one letter that nothing joins to Greek
+    greek: int
+    latin: int
+
+
 class Transducer:
-    """Reads a text once, in maximal words of letters, marks and what is invisible between them."""
+    """Reads a text once: words of letters, marks and what is invisible between them, by the longest cluster each.
+
+    All that can become of a cluster is in one table, checked for conflicts; a cluster that the table lacks is added
+    from its letters when it is first met.
+    """
 
     def __init__(self) -> None:
         self.table = compiled()
-        self.to_greek = {l: g for g, l in zip(*GREEK_AS_LATIN)} | {c: g for g, c in zip(*GREEK_AS_CYRILLIC)}
-        inside = {l: g for g, l in zip(*INSIDE_GREEK)} | {c: g for g, c in zip(*INSIDE_GREEK_CYRILLIC)}
-        self.in_greek = inside | self.to_greek
-        self.to_latin = {g: l for g, l in zip(*GREEK_AS_LATIN)} | {c: l for l, c in zip(*LATIN_AS_CYRILLIC)}
-        for table in (self.to_greek, self.in_greek, self.to_latin):
-            if any(v in table for v in table.values()):
-                raise ConflictError("a look-alike is mapped to one that is mapped again")
+        self.to_greek, self.in_greek, self.to_latin = look_alikes()
+        self.special = frozenset(LATIN_AS_CHEROKEE[1] + LATIN_AS_ARMENIAN[1] + LATIN_AS_SMALL_CAPITAL[1])
+        self.clusters: dict[str, Cluster] = {}
         self.cluster = regex.compile(r"\X")
+        self.nothing = regex.compile(f"[{INVISIBLE}]")
         # a word and its neighbours, a space of another kind, or what is nothing to a reader
         self.token = regex.compile(rf"(?P<word>[\p{{L}}\p{{M}}µ∆∑∏\uFF21-\uFF3A\uFF41-\uFF5A](?:[{INVISIBLE}]*[\p{{L}}\p{{M}}µ∆∑∏])*)|(?P<space>[^\S ]|[\p{{Zs}}--\x20])|(?P<nothing>[{INVISIBLE}])|(?P<other>[\uFF01-\uFFEE\u2160-\u217F])", regex.V1)
         self.joined_left, self.joined_right = regex.compile(r"\p{Greek}[./]$"), regex.compile(r"^(?:[./]\p{Greek}|[΄ʹ])")
         self.word = lru_cache(maxsize=200_000)(self._word)
 
     def __call__(self, text: str) -> str:
-        greek = len(regex.findall(r"\p{Greek}", text))
-        in_greek_text = greek > 0 and greek >= len(regex.findall(r"\p{Latin}", text))
-        return self.token.sub(lambda m: self._token(m, in_greek_text), text)
-
-    def _token(self, m: regex.Match, in_greek_text: bool) -> str:
-        if m["word"]:
-            near = len(m["word"]) > 1 or bool(self.joined_left.search(m.string, max(0, m.start() - 2), m.start()) or self.joined_right.search(m.string[m.end() : m.end() + 2]))
-            return self.word(m["word"], in_greek_text, near)
-        if m["space"]:
-            return " "
-        return self.table.get(m["other"], m["other"]) if m["other"] else ""
-
-    def _word(self, word: str, in_greek_text: bool, near: bool) -> str:
-        word = regex.sub(f"[{INVISIBLE}]", "", word)
-        clusters = [self.table.get(x, x) for x in self.cluster.findall(word)]
-        word = unicodedata.normalize("NFC", "".join("".join(self.table.get(c, c) for c in x) for x in clusters))
-        scripts = {s for s, p in (("g", r"\p{Greek}"), ("l", r"\p{Latin}"), ("c", r"\p{Cyrillic}")) if regex.search(p, word)}
-        if not scripts or scripts == {"g"}:
-            return word
-        bare = [(unicodedata.normalize("NFD", c)[0], unicodedata.normalize("NFD", c)[1:]) for c in word]
-
-        def mapped(table: dict[str, str]) -> str:
-            return unicodedata.normalize("NFC", "".join(table.get(b, b) + marks for b, marks in bare))
-
-        if len(scripts) == 1:
-            wholly = all(b in self.to_greek for b, _ in bare)
-            return mapped(self.to_greek) if wholly and in_greek_text and (near or scripts == {"c"}) else word
-        own_latin = any(regex.match(r"\p{Latin}", b) and b not in self.in_greek for b, _ in bare)
-        own_greek = any(regex.match(r"\p{Greek}", b) and b not in self.to_latin for b, _ in bare)
-        if "g" in scripts and (own_greek or not own_latin):
-            return mapped(self.in_greek)
-        if "l" in scripts:
-            return mapped(self.to_latin)
-        return word
+        parts: list[str | tuple[Word, regex.Match]] = []
+        at = greek = latin = 0
+        for m in self.token.finditer(text):
+            parts.append(text[at : m.start()])
+            at = m.end()
+            if m["word"]:
+                word = self.word(m["word"])
+                greek, latin = greek + word.greek, latin + word.latin
+                parts.append(word.in_other if word.in_greek == word.in_other == word.alone else (word, m))
+            elif m["space"]:
+                parts.append(" ")
+            elif m["other"]:
+                parts.append(self.table.get(m["other"], m["other"]))
+        parts.append(text[at:])
+        in_greek = greek > 0 and greek >= latin
+        return "".join(p if isinstance(p, str) else self._read(*p, in_greek) for p in parts)
+
+    def _read(self, word: Word, m: regex.Match, in_greek_text: bool) -> str:
+        if not in_greek_text:
+            return word.in_other
+        near = len(m["word"]) > 1 or self.joined_left.search(m.string, max(0, m.start() - 2), m.start()) or self.joined_right.search(m.string[m.end() : m.end() + 2])
+        return word.in_greek if near else word.alone
+
+    def _cluster(self, text: str) -> Cluster:
+        form = self.table.get(text, text)
+        plain = unicodedata.normalize("NFC", "".join(self.table.get(c, c) for c in form))
+        bare = [(unicodedata.normalize("NFD", c)[0], unicodedata.normalize("NFD", c)[1:]) for c in plain]
+        of = lambda c: LOOK if c in self.special else next((bit for bit, p in _SCRIPTS if p.match(c)), 0)
+        scripts = 0
+        for c in plain:
+            scripts |= of(c)
+        mapped = lambda table: unicodedata.normalize("NFC", "".join(table.get(b, b) + marks for b, marks in bare))
+        return Cluster(
+            plain, mapped(self.to_greek), mapped(self.in_greek), mapped(self.to_latin), scripts, all(b in self.to_greek for b, _ in bare),
+            any(of(b) == LATIN and b not in self.in_greek for b, _ in bare), any(of(b) == GREEK and b not in self.to_latin for b, _ in bare),
+        )
+
+    def _word(self, word: str) -> Word:
+        n_greek, n_latin = (sum(bool(p.match(c)) for c in word) for _, p in _SCRIPTS[:2])
+        found = []
+        for x in self.cluster.findall(self.nothing.sub("", word)):
+            if x not in self.clusters:
+                self.clusters[x] = self._cluster(x)
+            found.append(self.clusters[x])
+        plain = "".join(c.plain for c in found)
+        scripts = 0
+        for c in found:
+            scripts |= c.scripts
+        if scripts in (0, GREEK, LOOK):
+            return Word(plain, plain, plain, n_greek, n_latin)
+        if scripts in (LATIN, CYRILLIC):
+            greek = "".join(c.greek for c in found) if all(c.shared for c in found) else plain
+            return Word(greek, plain, greek if scripts == CYRILLIC else plain, n_greek, n_latin)
+        if scripts & GREEK and (any(c.own_greek for c in found) or not any(c.own_latin for c in found)):
+            plain = "".join(c.inside for c in found)
+        elif scripts & LATIN:
+            plain = "".join(c.latin for c in found)
+        return Word(plain, plain, plain, n_greek, n_latin)
 
 
 _transducer: Transducer | None = None

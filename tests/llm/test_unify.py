@@ -17,8 +17,10 @@ CASES = [
     ("µέτρα Ωρες", "μέτρα Ωρες"),
     ("US‌B θύρα", "USB θύρα"),
     ("Wі-Fi στη Δρυερή", "Wi-Fi στη Δρυερή"),
+    ("an ʜello and Ꭺpple", "an hello and Apple"),
+    ("the hօuse", "the house"),
 ]
-SAME = ["φωτιστικά LED και RFID, Wi-Fi 55 m² – «ποσό» 5 € Β΄ φάση…", "Εγκριση χωρις τονους", "e-Πολίτης", "υπηρεσία E…", "Москва в тексте", "", "TAXI at the ONE MINI", "ΟΔΟΣ  ΔΙΠΛΟ ΚΕΝΟ", "Ménage à trois"]
+SAME = ["φωτιστικά LED και RFID, Wi-Fi 55 m² – «ποσό» 5 € Β΄ φάση…", "Εγκριση χωρις τονους", "e-Πολίτης", "υπηρεσία E…", "Москва в тексте", "", "TAXI at the ONE MINI", "ΟΔΟΣ  ΔΙΠΛΟ ΚΕΝΟ", "Ménage à trois", "ᎠᎢᎪ in Cherokee", "Հայաստան"]
 
 
 @pytest.mark.parametrize("text,want", CASES)
@@ -39,6 +41,21 @@ def test_table_is_final_and_conflicts_are_found(monkeypatch):
         u.compiled()
 
 
+def test_look_alikes_are_checked(monkeypatch):
+    u.look_alikes()
+    monkeypatch.setattr(u, "LATIN_AS_CHEROKEE", ("AB", "ᎪᎪ"))
+    with pytest.raises(u.ConflictError):
+        u.look_alikes()
+    monkeypatch.setattr(u, "LATIN_AS_CHEROKEE", ("А", "Ꭺ"))  # Cyrillic, which is itself one
+    with pytest.raises(u.ConflictError):
+        u.look_alikes()
+
+
+def test_one_pass_reads_a_text_in_its_script():
+    assert u.unify("TO και TO και") == "ΤΟ και ΤΟ και" and u.unify("TO be or not TO be, και") == "TO be or not TO be, και"
+    assert u.unify("K. και K/Ξ") == "K. και Κ/Ξ"
+
+
 def test_column(spark):
     texts = [*[t for t, _ in CASES], *SAME, None, "α" * 50_000 + "​", CASES[0][0]]
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "id int, text string, changed string")
