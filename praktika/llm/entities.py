@@ -91,17 +91,20 @@ RULES: tuple[tuple[str, str], ...] = (
 )
 
 
-def _slots(day: str) -> Column:
-    """The dates under which a subject waits for decisions: days of issue, spans of publication, or no date at all."""
-    issue = F.transform(F.sequence(F.col(day), F.date_add(day, ISSUE_DAYS)), lambda d: F.concat(F.lit("i"), d.cast("string")))
-    at = lambda d: F.floor(F.unix_date(d) / BUCKET_DAYS)
-    published = F.transform(F.sequence(at(F.col(day)), at(F.date_add(day, PUBLISH_DAYS))), lambda b: F.concat(F.lit("p"), b.cast("string")))
-    return F.concat(issue, published)
+def _bucket(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / BUCKET_DAYS)
 
 
-def _slot() -> Column:
-    published = F.concat(F.lit("p"), F.floor(F.unix_date("published") / BUCKET_DAYS).cast("string"))
-    return F.when(F.col("issued").isNotNull(), F.concat(F.lit("i"), F.col("issued").cast("string"))).otherwise(published)
+def _day_keys() -> Column:
+    """The keys of a meeting's day: itself, and its span of days."""
+    return F.array(F.concat(F.lit("i"), F.col("day").cast("string")), F.concat(F.lit("p"), _bucket(F.col("day")).cast("string")))
+
+
+def _meeting_keys() -> Column:
+    """The keys of the days on which a decision's meeting may have been."""
+    issue = F.transform(F.sequence(F.date_sub("issued", ISSUE_DAYS), F.col("issued")), lambda d: F.concat(F.lit("i"), d.cast("string")))
+    spans = F.sequence(_bucket(F.date_sub("published", PUBLISH_DAYS)), _bucket(F.col("published")))
+    return F.when(F.col("issued").isNotNull(), issue).otherwise(F.transform(spans, lambda b: F.concat(F.lit("p"), b.cast("string"))))
 
 
 def _undated() -> Column:
@@ -161,8 +164,8 @@ def _met(s: DataFrame, d: DataFrame) -> DataFrame:
     total = s.count() + d.count()
     weights = n.select("t", F.log(1 + F.lit(float(total)) / F.col("df")).alias("weight"))
     ts = lambda x: F.explode(F.array_distinct(F.transform("tokens", lambda y: y["t"]))).alias(x)
-    a = s.where("city is not null and day is not null").select("subject_id", "city", "day", ts("t")).select("subject_id", "city", "day", "t", F.explode(_slots("day")).alias("slot"))
-    b = d.where("city is not null and (issued is not null or published is not null)").select("ada", "city", "published", F.col("issued").isNotNull().alias("dated"), "issued", _slot().alias("slot"), ts("t"))
+    a = s.where("city is not null and day is not null").select("subject_id", "city", "day", ts("t")).select("subject_id", "city", "day", "t", F.explode(_day_keys()).alias("slot"))
+    b = d.where("city is not null and (issued is not null or published is not null)").select("ada", "city", "published", F.col("issued").isNotNull().alias("dated"), "issued", _meeting_keys().alias("slots"), ts("t")).select("*", F.explode("slots").alias("slot")).drop("slots")
     lag_i, lag_p = F.datediff("issued", "day"), F.datediff("published", "day")
     lag = F.when(F.col("dated"), lag_i).otherwise(F.when(lag_p.between(0, PUBLISH_DAYS), lag_p + ISSUE_DAYS))
     dated = a.join(b, ["city", "slot", "t"]).withColumn("lag", lag).where("lag is not null").select("subject_id", "ada", "t", "lag")
