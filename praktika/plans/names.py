@@ -84,24 +84,40 @@ def city(column: str):
     return F.trim(F.regexp_replace(F.regexp_replace(X.fold(F.col(column)), "[^α-ω]+", " "), r"^\s*(δημοσ|δ)\s", ""))
 
 
-def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+#: Days after a meeting in which its decisions are looked for.
+WINDOW_DAYS = 45
+
+
+def with_spans(meetings: DataFrame, day: str) -> DataFrame:
+    """``meetings`` once for each span of WINDOW_DAYS + 1 days that its window touches: two."""
+    at = lambda d: F.floor(F.unix_date(d) / (WINDOW_DAYS + 1))
+    return meetings.withColumn("span", F.explode(F.sequence(at(F.col(day)), at(F.date_add(day, WINDOW_DAYS)))))
+
+
+def span_of(day: str):
+    return F.floor(F.unix_date(day) / (WINDOW_DAYS + 1))
+
+
+def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     subjects = table(spark, sf_dir, "match_subjects").select("subject_id", "name", city("city_name").alias("city"), F.to_date("meeting_date").alias("day")).distinct()
     decisions = table(spark, sf_dir, "decisions").select("ada", "subject", F.col("ord").alias("d_ord"), city("organization_label").alias("city"), F.to_date(F.timestamp_millis("publish_timestamp_ms")).alias("published")).distinct()
     return subjects, decisions
 
 
-@registry.query(
-    "q_token_similarity_topn",
-    f"""
-    WITH s AS (SELECT DISTINCT subject_id, {_TOKENS.format('name')} AS a, {_CITY.format('city_name')} AS city, CAST(meeting_date AT TIME ZONE 'UTC' AS DATE) AS day FROM match_subjects),
-    d AS (SELECT DISTINCT ada, ord AS d_ord, {_TOKENS.format('subject')} AS b, {_CITY.format('organization_label')} AS city, CAST(epoch_ms(publish_timestamp_ms) AS DATE) AS published FROM decisions),
-    p AS (SELECT subject_id, ada, d_ord, CASE WHEN least(len(a), len(b)) = 0 THEN 0 ELSE round(len(list_intersect(a, b)) / least(len(a), len(b)), 6) END AS similarity FROM s JOIN d USING (city) WHERE published BETWEEN day AND day + 45)
-    SELECT subject_id, ada, d_ord, similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY similarity DESC, d_ord, ada)::INT AS rank FROM p) WHERE rank <= 5
-    """,
-)
+SIMILAR_SQL = f"""
+WITH s AS (SELECT DISTINCT subject_id, {_TOKENS.format('name')} AS a, {_CITY.format('city_name')} AS city, CAST(meeting_date AT TIME ZONE 'UTC' AS DATE) AS day FROM match_subjects),
+d AS (SELECT DISTINCT ada, ord AS d_ord, {_TOKENS.format('subject')} AS b, {_CITY.format('organization_label')} AS city, CAST(epoch_ms(publish_timestamp_ms) AS DATE) AS published FROM decisions),
+p AS (SELECT subject_id, ada, d_ord, CASE WHEN least(len(a), len(b)) = 0 THEN 0 ELSE round(len(list_intersect(a, b)) / least(len(a), len(b)), 6) END AS similarity FROM s JOIN d USING (city) WHERE published BETWEEN day AND day + 45)
+SELECT subject_id, ada, d_ord, similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY similarity DESC, d_ord, ada)::INT AS rank FROM p) WHERE rank <= 5
+"""
+
+
+@registry.query("q_token_similarity_topn", SIMILAR_SQL)
 def token_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    subjects, decisions = _sides(spark, sf_dir)
-    return M.similar_top(subjects, decisions, ["city"], F.col("published").between(F.col("day"), F.date_add("day", 45)), 5)
+    subjects, decisions = sides(spark, sf_dir)
+    # a city's decisions of years do not meet all its subjects: both sides are cut into spans of time first
+    subjects, decisions = with_spans(subjects, "day"), decisions.withColumn("span", span_of("published"))
+    return M.similar_top(subjects, decisions, ["city", "span"], F.col("published").between(F.col("day"), F.date_add("day", WINDOW_DAYS)), 5).drop("span")
 
 
 @registry.query("q_decision_window", f"SELECT meeting_id, count(DISTINCT ada) AS n FROM (SELECT DISTINCT meeting_id, {_CITY.format('city_name')} AS city, CAST(meeting_date AT TIME ZONE 'UTC' AS DATE) AS day FROM match_subjects) s JOIN (SELECT DISTINCT ada, {_CITY.format('organization_label')} AS city, CAST(epoch_ms(issue_date_ms) AS DATE) AS issued FROM decisions WHERE status <> 'REVOKED') d USING (city) WHERE issued BETWEEN day AND day + 45 GROUP BY 1")
@@ -109,48 +125,8 @@ def decision_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions of a meeting's organisation that were issued in the 45 days after it."""
     meetings = table(spark, sf_dir, "match_subjects").select("meeting_id", city("city_name").alias("city"), F.to_date("meeting_date").alias("day")).distinct()
     issued = table(spark, sf_dir, "decisions").where("status != 'REVOKED'").select("ada", city("organization_label").alias("city"), F.to_date(F.timestamp_millis("issue_date_ms")).alias("issued")).distinct()
-    return meetings.join(issued, "city").where(F.col("issued").between(F.col("day"), F.date_add("day", 45))).groupBy("meeting_id").agg(F.count_distinct("ada").alias("n"))
-
-
-_PARTS = r"(SELECT DISTINCT organization_id, ada, protocol_number FROM decisions WHERE regexp_full_match(protocol_number, '\d+/2022'))"
-
-
-def numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "decisions").where(F.col("protocol_number").rlike(r"^\d+/2022$")).select("organization_id", "ada", "protocol_number").distinct()
-
-
-_ISLANDS = f"""
-    WITH n AS (SELECT organization_id, CAST(regexp_extract(protocol_number, '^(\\D*?)(\\d+)(/.+)?$', 2) AS BIGINT) AS num, '' AS prefix, '/2022' AS suffix FROM {_PARTS}),
-    c AS (SELECT organization_id FROM n GROUP BY 1 HAVING count(*) >= 3),
-    f AS (SELECT n.*, CASE WHEN num - lag(num) OVER w - 1 < 3 THEN 0 ELSE 1 END AS new FROM n JOIN c USING (organization_id) WINDOW w AS (PARTITION BY organization_id ORDER BY num)),
-    r AS (SELECT *, sum(new) OVER (PARTITION BY organization_id ORDER BY num ROWS UNBOUNDED PRECEDING) AS run FROM f),
-    z AS (SELECT *, count(*) OVER (PARTITION BY organization_id, run) AS size FROM r),
-    b AS (SELECT *, first_value(run) OVER (PARTITION BY organization_id ORDER BY size DESC, run) AS best FROM z)"""
-
-
-@registry.query("q_islands_protocol", _ISLANDS + " SELECT organization_id, prefix, suffix, num, run = best AS in_run, CASE WHEN run = best THEN size END AS run_size FROM b")
-def islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.protocol_pattern(numbers(spark, sf_dir), "organization_id", "protocol_number")
-
-
-@registry.query("q_sequence_gaps", _ISLANDS + ", g AS (SELECT DISTINCT organization_id, num FROM b WHERE run = best AND size >= 3), l AS (SELECT *, lead(num) OVER (PARTITION BY organization_id ORDER BY num) AS nx FROM g) SELECT organization_id, unnest(range(num + 1, nx)) AS missing FROM l WHERE nx - num > 1")
-def sequence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = S.protocol_pattern(numbers(spark, sf_dir), "organization_id", "protocol_number").where("in_run and run_size >= 3")
-    return S.missing_numbers(run, "organization_id", "num")
-
-
-@registry.query(
-    "q_gap_candidates",
-    _ISLANDS
-    + """, g AS (SELECT DISTINCT organization_id, num FROM b WHERE run = best AND size >= 3), l AS (SELECT *, lead(num) OVER (PARTITION BY organization_id ORDER BY num) AS nx FROM g),
-    m AS (SELECT organization_id, unnest(range(num + 1, nx)) AS missing FROM l WHERE nx - num > 1), d AS (SELECT organization_id, protocol_number, arg_min(ada, (ord, ada)) AS ada FROM decisions GROUP BY 1, 2)
-    SELECT m.organization_id, m.missing, d.ada FROM m LEFT JOIN d ON d.organization_id = m.organization_id AND d.protocol_number = m.missing || '/22'""",
-)
-def gap_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decisions that stand under a missing number written in the short form; gaps without one stay."""
-    gaps = sequence_gaps(spark, sf_dir).withColumn("protocol_number", F.concat(F.col("missing").cast("string"), F.lit("/22")))
-    first = table(spark, sf_dir, "decisions").where("protocol_number is not null").groupBy("organization_id", "protocol_number").agg(F.min_by("ada", F.struct("ord", "ada")).alias("ada"))
-    return gaps.join(first, ["organization_id", "protocol_number"], "left").select("organization_id", "missing", "ada")
+    meetings, issued = with_spans(meetings, "day"), issued.withColumn("span", span_of("issued"))
+    return meetings.join(issued, ["city", "span"]).where(F.col("issued").between(F.col("day"), F.date_add("day", WINDOW_DAYS))).groupBy("meeting_id").agg(F.count_distinct("ada").alias("n"))
 
 
 _PARSED = r"""
@@ -166,7 +142,7 @@ _PARSED = r"""
     m AS (SELECT organization_id, suffix, unnest(range(num + 1, nx)) AS missing FROM l WHERE nx - num > 1)"""
 
 
-def all_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every protocol number of the table that holds one: blanks, words before it and the year in two or four digits aside.
 
     ``suffix`` is the year, as written or else that of the issue; empty where neither is there.
@@ -189,30 +165,32 @@ def _series_gaps(numbers: DataFrame) -> DataFrame:
     return S.missing_numbers(_series(numbers).where("in_run and run_size >= 3"), "series", "num").select("series.organization_id", "series.suffix", "missing")
 
 
-@registry.query("q_islands_protocol_all", _PARSED + " SELECT organization_id, prefix, suffix, num, run = best AS in_run, CASE WHEN run = best THEN size END AS run_size FROM b")
-def islands_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _series(all_numbers(spark, sf_dir)).select("series.organization_id", "prefix", "suffix", "num", "in_run", "run_size")
+@registry.query("q_islands_protocol", _PARSED + " SELECT organization_id, prefix, suffix, num, run = best AS in_run, CASE WHEN run = best THEN size END AS run_size FROM b")
+def islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _series(numbers(spark, sf_dir)).select("series.organization_id", "prefix", "suffix", "num", "in_run", "run_size")
 
 
-@registry.query("q_sequence_gaps_all", _PARSED + " SELECT organization_id, suffix, missing FROM m")
-def sequence_gaps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _series_gaps(all_numbers(spark, sf_dir))
+@registry.query("q_sequence_gaps", _PARSED + " SELECT organization_id, suffix, missing FROM m")
+def sequence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _series_gaps(numbers(spark, sf_dir))
 
 
-@registry.query(
-    "q_gap_candidates_all",
+GAPS_SQL = (
     _PARSED
     + """ SELECT m.organization_id, m.suffix, m.missing, arg_min(y.ada, (y.ord, y.ada)) AS ada FROM m LEFT JOIN y ON y.organization_id = m.organization_id AND y.num = m.missing AND (m.suffix = '' OR y.suffix = '')
-      AND (m.suffix = '' OR y.publish_timestamp_ms IS NULL OR year(epoch_ms(y.publish_timestamp_ms)) - CAST(substr(m.suffix, 2) AS INT) BETWEEN 0 AND 1) GROUP BY 1, 2, 3""",
+      AND (m.suffix = '' OR y.publish_timestamp_ms IS NULL OR year(epoch_ms(y.publish_timestamp_ms)) - CAST(substr(m.suffix, 2) AS INT) BETWEEN 0 AND 1) GROUP BY 1, 2, 3"""
 )
-def gap_candidates_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+@registry.query("q_gap_candidates", GAPS_SQL)
+def gap_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions that may be the missing one: of its number, in any form, where one of the two has no year; gaps without one stay.
 
     A decision without year is published in the year of the series or the next, if that date is known.
     """
-    numbers = all_numbers(spark, sf_dir)
-    found = numbers.select("organization_id", F.col("num").alias("missing"), "ada", "ord", F.col("suffix").alias("written"), F.year(F.timestamp_millis("publish_timestamp_ms")).alias("published"))
-    gaps = _series_gaps(numbers)
+    written = numbers(spark, sf_dir)
+    found = written.select("organization_id", F.col("num").alias("missing"), "ada", "ord", F.col("suffix").alias("written"), F.year(F.timestamp_millis("publish_timestamp_ms")).alias("published"))
+    gaps = _series_gaps(written)
     late = F.col("published") - F.substring("suffix", 2, 4).try_cast("int")
     may = (F.col("suffix") == "") | ((F.col("written") == "") & (F.col("published").isNull() | late.between(0, 1)))
     first = gaps.join(found, ["organization_id", "missing"]).where(may).groupBy("organization_id", "suffix", "missing").agg(F.min_by("ada", F.struct("ord", "ada")).alias("ada"))
@@ -281,7 +259,17 @@ def consensus_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.consensus_changes(changes(spark, sf_dir), "meeting_id", ["name", "change_type", "item"], "timing", documents, "n_pdfs")
 
 
-@registry.query("q_order_vote")
+@registry.query(
+    "q_order_vote",
+    """
+    WITH r AS (SELECT DISTINCT report_id, item_id, string_split(trim(label), '>') AS items FROM pdf_reports WHERE item_kind = 'discussion_order'),
+    g AS (SELECT item_id, items, count(*) AS n FROM r GROUP BY 1, 2), t AS (SELECT item_id, sum(n)::BIGINT AS n_documents FROM g GROUP BY 1),
+    l AS (SELECT a.item_id, a.items FROM g a WHERE a.items IS NOT NULL AND NOT EXISTS (SELECT 1 FROM g b WHERE b.item_id = a.item_id AND len(b.items) > len(a.items) AND b.items[1:len(a.items)] = a.items)),
+    m AS (SELECT g.item_id, g.n, arg_min(l.items, (-len(l.items), l.items)) AS items FROM g JOIN l ON l.item_id = g.item_id AND l.items[1:len(g.items)] = g.items GROUP BY g.item_id, g.items, g.n),
+    c AS (SELECT item_id, items, sum(n)::BIGINT AS n FROM m GROUP BY 1, 2)
+    SELECT item_id, items, n, n_documents FROM c JOIN t USING (item_id) WHERE 2 * n > n_documents
+    """,
+)
 def order_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "pdf_reports").where("item_kind = 'discussion_order'").select("report_id", "item_id", F.split(F.trim("label"), ">").alias("items")).distinct()
     return V.order_vote(rows, "item_id", "items")
@@ -387,7 +375,15 @@ def sentence_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.select("text", F.coalesce(X.ends_sentence(F.col("text")), F.lit(False)).alias("ends"))
 
 
-@registry.query("q_greedy_batches")
+@registry.query(
+    "q_greedy_batches",
+    f"""
+    WITH RECURSIVE s AS (SELECT meeting_id, subject_id, length(CASE WHEN name IS NULL THEN to_json({{'subject_id': subject_id}}) ELSE to_json({{'subject_id': subject_id, 'name': name}}) END::VARCHAR) AS size, row_number() OVER (PARTITION BY meeting_id ORDER BY ord) AS rn FROM {_SUBJ}),
+    b AS (SELECT meeting_id, rn, size AS used, 0 AS batch FROM s WHERE rn = 1
+      UNION ALL SELECT s.meeting_id, s.rn, CASE WHEN b.used + s.size > 500 THEN s.size ELSE b.used + s.size END, CASE WHEN b.used + s.size > 500 THEN b.batch + 1 ELSE b.batch END FROM b JOIN s ON s.meeting_id = b.meeting_id AND s.rn = b.rn + 1)
+    SELECT meeting_id, subject_id, batch FROM b JOIN s USING (meeting_id, rn)
+    """,
+)
 def greedy_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subjects of a meeting in batches of 500 characters of JSON, in order."""
     rows = subjects(spark, sf_dir)

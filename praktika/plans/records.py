@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from praktika.operators import matching as M
 from praktika.operators import records as R
 from praktika.plans.counts import STATUSES_SQL, statuses
-from praktika.plans.names import gap_candidates, gap_candidates_all, subjects, token_similarity
+from praktika.plans.names import _CITY, GAPS_SQL, SIMILAR_SQL, WINDOW_DAYS, gap_candidates, sides, span_of, subjects, token_similarity, with_spans
 from praktika.registry import Registry
 from praktika.sources.tables import table
 
@@ -35,12 +35,24 @@ def accept_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.accept_matches(proposed, decisions, "pdf_id", "ada", "confidence", "ord", F.col("decision_number").isNull())
 
 
-@registry.query("q_candidate_pool")
+@registry.query(
+    "q_candidate_pool",
+    f"""
+    WITH t AS ({SIMILAR_SQL}), q AS ({GAPS_SQL}),
+    m AS (SELECT DISTINCT subject_id, {_CITY.format('city_name')} AS city, CAST(meeting_date AT TIME ZONE 'UTC' AS DATE) AS day FROM match_subjects),
+    d AS (SELECT DISTINCT ada, {_CITY.format('organization_label')} AS city, CAST(epoch_ms(publish_timestamp_ms) AS DATE) AS published FROM decisions WHERE ada IN (SELECT ada FROM q WHERE ada IS NOT NULL)),
+    o AS (SELECT DISTINCT subject_id, ada FROM m JOIN d USING (city) WHERE published BETWEEN day AND day + 45)
+    SELECT subject_id, ada, false AS is_gap FROM t UNION ALL SELECT subject_id, ada, true FROM o WHERE (subject_id, ada) NOT IN (SELECT (subject_id, ada) FROM t)
+    """,
+)
 def candidate_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five most similar decisions of each subject and, for subjects of the same city, those of number gaps."""
+    """The five most similar decisions of each subject and those of number gaps that were published in its window."""
     similar = token_similarity(spark, sf_dir).select("subject_id", "ada")
-    gaps = gap_candidates(spark, sf_dir).select("organization_id", "ada").unionByName(gap_candidates_all(spark, sf_dir).select("organization_id", "ada")).where("ada is not null").distinct()
-    offered = similar.join(table(spark, sf_dir, "decisions").select("ada", "organization_id").distinct(), "ada").select("subject_id", "organization_id").distinct().join(gaps, "organization_id").select("subject_id", "ada")
+    gaps = gap_candidates(spark, sf_dir).where("ada is not null").select("ada").distinct()
+    meetings, decisions = sides(spark, sf_dir)
+    fits = F.col("published").between(F.col("day"), F.date_add("day", WINDOW_DAYS))
+    near = decisions.join(gaps, "ada", "left_semi").select("ada", "city", "published").distinct().withColumn("span", span_of("published"))
+    offered = with_spans(meetings.select("subject_id", "city", "day").distinct(), "day").join(near, ["city", "span"]).where(fits).select("subject_id", "ada")
     return R.candidate_pool(similar, offered, "subject_id", "ada")
 
 
@@ -88,12 +100,14 @@ def title_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return titles.select("ada", R.diff_column(F.col("a"), F.col("b")).alias("diff")).select("ada", F.size("diff").alias("n_steps"))
 
 
-@registry.query("q_changed_texts", "SELECT DISTINCT a.ada, b.subject FROM (SELECT ada, arg_min(subject, ord) AS subject FROM decisions GROUP BY 1) a JOIN (SELECT ada, arg_max(subject, ord) AS subject FROM decisions GROUP BY 1) b USING (ada) WHERE trim(a.subject) IS DISTINCT FROM trim(b.subject)")
+_UNSEEN = r"[\x{00AD}\x{200B}-\x{200F}\x{2060}\x{FEFF}]"
+
+
+@registry.query("q_changed_texts", rf"SELECT ada, subject FROM (SELECT ada, arg_min(subject, (ord, subject)) AS before, regexp_replace(arg_min(subject, (ord, subject)), '{_UNSEEN}', '', 'g') AS subject FROM decisions GROUP BY 1) WHERE trim(before) IS DISTINCT FROM trim(subject)")
 def changed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decisions = table(spark, sf_dir, "decisions")
-    a = decisions.groupBy("ada").agg(F.min_by("subject", "ord").alias("subject"))
-    b = decisions.groupBy("ada").agg(F.max_by("subject", "ord").alias("subject"))
-    return R.changed_texts(a, b, "ada", "subject")
+    """Titles corrected of what nobody sees, only those that it changes."""
+    before = table(spark, sf_dir, "decisions").groupBy("ada").agg(F.min_by("subject", F.struct("ord", "subject")).alias("subject"))
+    return R.changed_texts(before, before.withColumn("subject", F.regexp_replace("subject", _UNSEEN, "")), "ada", "subject")
 
 
 @registry.query("q_presets", "SELECT p_partkey, CASE WHEN p_size <= 18 THEN 'low' WHEN p_size <= 35 THEN 'middle' ELSE 'high' END AS preset FROM (SELECT p_partkey, p_size FROM part)")

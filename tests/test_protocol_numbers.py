@@ -17,9 +17,9 @@ def test_numbers_are_read_in_every_form(spark, tmp_path):
     subjects = [("s1", "m1", 1, "Έγκριση", 1, None, "Δήμος Α", dt.datetime(2022, 6, 30))]
     spark.createDataFrame(subjects, "subject_id string, meeting_id string, ord int, name string, agenda_item_index int, non_agenda_reason string, city_name string, meeting_date timestamp").write.parquet(str(tmp_path / "match_subjects.parquet"))
     at = str(tmp_path)
-    got = P.islands_all(spark, at).collect()
+    got = P.islands(spark, at).collect()
     assert {(r.organization_id, r.suffix, r.num) for r in got if r.in_run and r.suffix == "/2022"} == {("o", "/2022", n) for n in (10, 11, 12, 14, 15)}
     assert {(r.suffix, r.num) for r in got if not r.in_run} == {("/2022", 90)}
-    assert sorted((r.suffix, r.missing) for r in P.sequence_gaps_all(spark, at).collect()) == [("/2022", 13), ("/2023", 9)]
-    assert sorted((r.suffix, r.missing, r.ada) for r in P.gap_candidates_all(spark, at).collect()) == [("/2022", 13, "a9"), ("/2023", 9, None)]
+    assert sorted((r.suffix, r.missing) for r in P.sequence_gaps(spark, at).collect()) == [("/2022", 13), ("/2023", 9)]
+    assert sorted((r.suffix, r.missing, r.ada) for r in P.gap_candidates(spark, at).collect()) == [("/2022", 13, "a9"), ("/2023", 9, None)]
     assert ("s1", "a9") in {(r.subject_id, r.ada) for r in candidate_pool(spark, at).collect()}
