@@ -68,10 +68,11 @@ def even_sample(df: DataFrame, key: str, order: str, k: int) -> DataFrame:
 
 def pause_sessions(df: DataFrame, keys: list[str], order: str, start: str, end: str, text: str, pause: float = PAUSE_SECONDS) -> DataFrame:
     """Sessions of words by pauses and sentence ends alone: first and last position, words, start and end."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    before = F.struct(F.lag(end).over(w).alias("end"), F.lag(ends_sentence(F.col(text))).over(w).alias("ended"))
-    new = (before["end"].isNull() | (F.col(start) - before["end"] > pause) | F.coalesce(before["ended"], F.lit(False))).cast("int")
-    numbered = df.withColumn("new", new).withColumn("session", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = df.withColumns({"_key": F.struct(*keys), "_chunk": position_chunk(order), "_ended": ends_sentence(F.col(text))}).repartition("_key", "_chunk")
+    known = neighbours(rows, "_key", "_chunk", [order], [end, "_ended"])
+    before = F.col("_before")
+    new = (before[end].isNull() | (F.col(start) - before[end] > pause) | F.coalesce(before["_ended"], F.lit(False))).cast("int")
+    numbered = prefix_sum(known.withColumn("_new", new), "_key", "_chunk", [F.col(order)], "_new", "session")
     return numbered.groupBy(*keys, "session").agg(F.min(order).alias("first_ord"), F.max(order).alias("last_ord"), F.count("*").alias("n_words"), F.min(start).alias("start"), F.max(end).alias("end"))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from praktika.operators.chunks import neighbours, position_chunk, prefix_sum
 
+#: Seconds of a chunk of a time line.
+CHUNK_SECONDS = 3600.0
 #: Seconds of a bucket of the interval joins, buckets that an interval may span, and by how much wider those of longer ones are.
 BUCKET_SECONDS, MOST_BUCKETS, WIDER = 60.0, 64, 4096
 
@@ -115,15 +117,15 @@ def changes_of(df: DataFrame, key: str, order: list[str], value: str) -> DataFra
     return rows.where(F.col("_before").isNull() | ~F.col("_before")[value].eqNullSafe(F.col(value))).drop("_chunk", "_before", "_after")
 
 
-def silences(df: DataFrame, key: str, order: str, start: str, end: str, bounds: DataFrame, low: str, high: str, least: float = 0.5) -> DataFrame:
+def silences(df: DataFrame, key: str, order: list[str], start: str, end: str, bounds: DataFrame, low: str, high: str, least: float = 0.5) -> DataFrame:
     """Pauses of ``least`` seconds or more between the segments that lie wholly within a key's bounds.
 
-    A pause begins where the segment before it ends, even if an earlier one ended later.
+    A pause begins where the segment before it ends, even if an earlier one ended later. ``order`` begins with ``start``.
     """
     inside = df.join(bounds, key).where((F.col(start) >= F.col(low)) & (F.col(end) <= F.col(high)))
-    w = Window.partitionBy(key).orderBy(order)
-    between = inside.select(key, F.coalesce(F.lag(end).over(w), F.col(low)).alias("from"), F.col(start).alias("to"))
-    last = bounds.join(inside.groupBy(key).agg(F.max_by(end, order).alias("_last")), key, "left").select(key, F.coalesce("_last", low).alias("from"), F.col(high).alias("to"))
+    rows = neighbours(inside.withColumn("_chunk", F.floor(F.col(start) / CHUNK_SECONDS)), key, "_chunk", order, [end])
+    between = rows.select(key, F.coalesce(F.col("_before")[end], F.col(low)).alias("from"), F.col(start).alias("to"))
+    last = bounds.join(inside.groupBy(key).agg(F.max_by(end, F.struct(*order)).alias("_last")), key, "left").select(key, F.coalesce("_last", low).alias("from"), F.col(high).alias("to"))
     return between.unionByName(last).where((F.col("to") > F.col("from")) & (F.col("to") - F.col("from") >= least))
 
 

@@ -12,6 +12,8 @@ from praktika.registry import Registry
 from praktika.sources.tables import table
 
 registry = Registry()
+#: What tells one word of the stream from another; a repeated row repeats all of it.
+WORD_TIMES = ("meeting_id", "segment_index", "ord", "start_sec", "end_sec")
 NO_PARTY = "ΧΩΡΙΣ ΠΑΡΑΤΑΞΗ"
 _STATUS = r"upper(regexp_replace(trim(status), '[\s_-]+', '_', 'g'))"
 _SUBJECT = r"coalesce(regexp_replace(lower(trim(subject_id)), '^subject:\s*', ''), '')"
@@ -142,7 +144,7 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.query("q_transcript_combine", "SELECT meeting_id, count(*) AS n_streams, sum(n_words)::BIGINT AS n_words, round(sum(span), 3) AS duration, max(span) AS longest FROM (SELECT meeting_id, segment_index, count(*) AS n_words, round(max(end_sec), 3) AS span FROM (SELECT DISTINCT * FROM asr_words WHERE word_type = 'word') GROUP BY 1, 2) GROUP BY 1")
 def transcript_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "asr_words").where("word_type = 'word'").distinct()
+    words = table(spark, sf_dir, "asr_words").where("word_type = 'word'").select(*WORD_TIMES).distinct()
     streams = words.groupBy("meeting_id", "segment_index").agg(F.count("*").alias("n_words"), F.round(F.max("end_sec"), 3).alias("span"))
     return streams.groupBy("meeting_id").agg(F.count("*").alias("n_streams"), F.sum("n_words").alias("n_words"), F.round(F.sum("span"), 3).alias("duration"), F.max("span").alias("longest"))
 
@@ -151,12 +153,12 @@ def transcript_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shifted_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of later recordings on the time line of the whole meeting, fifteen minutes apart."""
     at = lambda c: F.round(F.col(c) + F.col("segment_index") * 900, 3).alias(c)
-    return table(spark, sf_dir, "asr_words").where("word_type = 'word'").distinct().select("meeting_id", "segment_index", "ord", at("start_sec"), at("end_sec"))
+    return table(spark, sf_dir, "asr_words").where("word_type = 'word'").select(*WORD_TIMES).distinct().select("meeting_id", "segment_index", "ord", at("start_sec"), at("end_sec"))
 
 
 @registry.query("q_mean_confidence", "SELECT meeting_id, round(avg(coalesce(least(1, exp(logprob)), 1)), 6) AS confidence FROM (SELECT DISTINCT * FROM asr_words WHERE word_type = 'word') GROUP BY 1")
 def mean_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "asr_words").where("word_type = 'word'").distinct()
+    words = table(spark, sf_dir, "asr_words").where("word_type = 'word'").select(*WORD_TIMES, "logprob").distinct()
     return words.groupBy("meeting_id").agg(F.round(F.avg(N.confidence(F.col("logprob"))), 6).alias("confidence"))
 
 

@@ -11,6 +11,7 @@ from praktika.operators import aggregates as A
 from praktika.operators import diff as D
 from praktika.operators import sequence as S
 from praktika.operators import timelines as T
+from praktika.operators.chunks import position_chunk, prefix_sum
 from praktika.plans.counts import STATUSES_SQL, statuses
 from praktika.plans.names import _CITY, city
 from praktika.registry import Registry
@@ -107,16 +108,16 @@ def speaker_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query(
     "q_silences",
     f"""
-    WITH bounds AS (SELECT meeting_id, 60.0::DOUBLE AS low, max(b) AS high FROM {_SEG} GROUP BY 1), i AS (SELECT g.* FROM {_SEG} g JOIN bounds USING (meeting_id) WHERE a >= low AND b <= high),
+    WITH bounds AS (SELECT meeting_id, min(a) AS low, max(b) AS high FROM {_SEG} GROUP BY 1), i AS (SELECT g.* FROM {_SEG} g JOIN bounds USING (meeting_id) WHERE a >= low AND b <= high),
     t AS (SELECT i.meeting_id, coalesce(lag(b) OVER (PARTITION BY i.meeting_id ORDER BY a, ord), low) AS f, a AS t FROM i JOIN bounds USING (meeting_id)
       UNION ALL SELECT meeting_id, coalesce(x, low), high FROM bounds LEFT JOIN (SELECT meeting_id, arg_max(b, (a, ord)) AS x FROM i GROUP BY 1) USING (meeting_id))
     SELECT meeting_id, round(f, 3) AS "from", round(t, 3) AS "to" FROM t WHERE t - f >= 0.5
     """,
 )
 def silences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = segments(spark, sf_dir).withColumn("o", F.struct("a", "ord"))
-    bounds = rows.groupBy("meeting_id").agg(F.lit(60.0).alias("low"), F.max("b").alias("high"))
-    return T.silences(rows, "meeting_id", "o", "a", "b", bounds, "low", "high").select("meeting_id", F.round("from", 3).alias("from"), F.round("to", 3).alias("to"))
+    rows = segments(spark, sf_dir)
+    bounds = rows.groupBy("meeting_id").agg(F.min("a").alias("low"), F.max("b").alias("high"))
+    return T.silences(rows, "meeting_id", ["a", "ord"], "a", "b", bounds, "low", "high").select("meeting_id", F.round("from", 3).alias("from"), F.round("to", 3).alias("to"))
 
 
 @registry.query("q_split_points")
@@ -196,8 +197,8 @@ def words_to_utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.query("q_chronological_index", f"SELECT utterance_id, row_number() OVER (PARTITION BY meeting_id ORDER BY ord, utterance_id)::INT - 1 AS idx FROM {_UTT}")
 def chronological_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("meeting_id").orderBy("ord", "utterance_id")
-    return utterances(spark, sf_dir).select("utterance_id", (F.row_number().over(w) - 1).alias("idx"))
+    rows = utterances(spark, sf_dir).withColumns({"_chunk": position_chunk("ord"), "_one": F.lit(1)})
+    return prefix_sum(rows, "meeting_id", "_chunk", [F.col("ord"), F.col("utterance_id")], "_one", "_n").select("utterance_id", (F.col("_n") - 1).cast("int").alias("idx"))
 
 
 @registry.query("q_first_appearance", f"SELECT meeting_id, speaker_id, row_number() OVER (PARTITION BY meeting_id ORDER BY first, speaker_id)::INT - 1 AS position FROM (SELECT meeting_id, speaker_id, min(ord) AS first FROM {_SEG} GROUP BY 1, 2)")

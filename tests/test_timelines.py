@@ -58,7 +58,7 @@ def test_bridge_merge_line_silence(spark):
     close = spark.createDataFrame([("p", 0, 0.0, 4.0), ("p", 1, 4.0, 8.0), ("p", 2, 8.0005, 11.0), ("p", 3, 12.0, 13.0)], "k string, o int, s double, e double")
     assert [(r.start, r.end) for r in T.merge_touching(close, "k", ["o"], "s", "e").orderBy("start").collect()] == [(0.0, 11.0), (12.0, 13.0)]
     bounds = spark.createDataFrame([("p", 0.0, 30.0)], "k string, lo double, hi double")
-    got = {(r["from"], r.to) for r in T.silences(df, "k", "o", "s", "e", bounds, "lo", "hi").collect()}
+    got = {(r["from"], r.to) for r in T.silences(df, "k", ["s", "o"], "s", "e", bounds, "lo", "hi").collect()}
     assert got == {(3.0, 4.0), (7.0, 17.0), (20.0, 30.0)}
 
 
