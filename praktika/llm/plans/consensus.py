@@ -28,3 +28,9 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_annotators(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = reports(spark, sf_dir).annotators
     return found.groupBy(F.col("annotator").alias("annotator_id")).agg(F.sum("n_labels").alias("n_labels"), (F.sum(F.col("reliability") * F.col("n_labels")) / F.sum("n_labels")).alias("reliability"))
+
+
+@registry.query("p1_items")
+def p1_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item's label with how sure it is and how far its labels agree."""
+    return reports(spark, sf_dir).items.select(F.col("item").alias("item_id"), "label", F.round("confidence", 6).alias("confidence"), F.round("agreement", 6).alias("agreement"), "n_labels", "disputed")
