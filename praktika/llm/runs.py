@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: Runs at either end of a chunk that take part in the merge: a leading run without a value takes the value carried
 #: in from the left and may then equal the run after it; an edge row may stand before both.
 HEAD_RUNS, TAIL_RUNS = 3, 2
+#: The part of the runs that may go on: no chunk's number.
+OUTER = -(1 << 50)
 
 
 def speaker_label(label: Column) -> Column:
@@ -27,8 +29,14 @@ def speaker_label(label: Column) -> Column:
     return F.when(F.length(number) > 0, F.concat(F.lit("speaker_"), number)).otherwise(F.nullif(other, F.lit("")))
 
 
-def chunk_of(position: Column, width: float) -> Column:
-    return F.coalesce(F.floor(position / F.lit(width)), F.lit(-1)).cast("bigint")
+#: Where the chunks of rows without a position begin, before all others; so many of their ordinals make one.
+NOWHERE, NOWHERE_ORDINALS = -(1 << 40), 4096
+
+
+def chunk_of(position: Column, width: float, ordinal: Column | None = None) -> Column:
+    """The chunk of a position. Rows without one come first, in chunks of their ordinals if these are numbers."""
+    nowhere = F.lit(NOWHERE) if ordinal is None else F.lit(NOWHERE) + F.coalesce(F.floor(ordinal.try_cast("double") / NOWHERE_ORDINALS), F.lit(-1))
+    return F.coalesce(F.floor(position / F.lit(width)), nowhere).cast("bigint")
 
 
 def local_runs(rows: DataFrame, keys: list[str], extra: list[Column] = ()) -> DataFrame:
@@ -43,14 +51,14 @@ def local_runs(rows: DataFrame, keys: list[str], extra: list[Column] = ()) -> Da
 
 
 def mark_ends(runs: DataFrame, keys: list[str]) -> DataFrame:
-    """``runs`` with ``_part``: -1 if the run may go on beyond its chunk, else the chunk.
+    """``runs`` with ``_part``: OUTER if the run may go on beyond its chunk, else the chunk.
 
     Partitioned by (keys, _part), the outer runs of a sequence stand together and the inner ones stay apart, so one
     window serves both and nothing is computed twice.
     """
     chunk = Window.partitionBy(*keys, "_chunk")
     outer = (F.col("_run") <= HEAD_RUNS) | (F.col("_run") > F.max("_run").over(chunk) - TAIL_RUNS)
-    return runs.withColumn("_part", F.when(outer, F.lit(-2).cast("bigint")).otherwise(F.col("_chunk")))
+    return runs.withColumn("_part", F.when(outer, F.lit(OUTER).cast("bigint")).otherwise(F.col("_chunk")))
 
 
 def merge(runs: DataFrame, keys: list[str], apart: Column | None = None) -> DataFrame:
@@ -84,7 +92,7 @@ def collapse_runs(
     """
     rows = df.select(
         *keys,
-        chunk_of(F.col(position), chunk).alias("_chunk"),
+        chunk_of(F.col(position), chunk, F.col(ordinal or position)).alias("_chunk"),
         F.col(position).alias("_pos"),
         F.col(ordinal or position).alias("_ord"),
         F.col(start).alias("_start"),

@@ -54,7 +54,7 @@ def calibrated_pauses(df: DataFrame, keys: list[str], start: str, end: str, ordi
     Neighbours are found over chunks of time. A stream without a pause has the upper bound. Out: keys, ``pause``.
     """
     low, high = PAUSE_BOUNDS
-    rows = df.select(F.struct(*keys).alias("_key"), chunk_of(F.col(start), chunk).alias("_chunk"), F.col(start).alias("_pos"), F.col(ordinal).alias("_ord"), F.col(end).alias("_end")).distinct()
+    rows = df.select(F.struct(*keys).alias("_key"), chunk_of(F.col(start), chunk, F.col(ordinal)).alias("_chunk"), F.col(start).alias("_pos"), F.col(ordinal).alias("_ord"), F.col(end).alias("_end")).distinct()
     gap = F.col("_pos") - F.col("_before._end")
     gaps = neighbours(rows, "_key", "_chunk", ["_pos", "_ord", "_end"], ["_end"]).select("_key", F.when(gap > 0, gap).alias("gap"))
     found = gaps.groupBy("_key").agg(F.percentile_approx("gap", quantile).alias("pause"))
@@ -64,7 +64,7 @@ def calibrated_pauses(df: DataFrame, keys: list[str], start: str, end: str, ordi
 def caption_starts(df: DataFrame, keys: list[str], ordinal: str, text: str, speaker: str, start: str, end: str, chunk: float) -> DataFrame:
     """(_key, _pos) of entries that start before the one ahead of them has ended; of the columns this needs alone."""
     order = ["_pos", "_ord", "_end", "_id"]
-    rows = df.select(F.struct(*keys).alias("_key"), chunk_of(F.col(start), chunk).alias("_chunk"), F.col(start).alias("_pos"), F.col(ordinal).alias("_ord"), F.col(end).alias("_end"), F.xxhash64(text, speaker).alias("_id"))
+    rows = df.select(F.struct(*keys).alias("_key"), chunk_of(F.col(start), chunk, F.col(ordinal)).alias("_chunk"), F.col(start).alias("_pos"), F.col(ordinal).alias("_ord"), F.col(end).alias("_end"), F.xxhash64(text, speaker).alias("_id"))
     rows = rows.repartition("_key", "_chunk").dropDuplicates()
     local = Window.partitionBy("_key", "_chunk").orderBy(*order)
     seen = rows.select("_key", "_chunk", "_pos", "_end", F.lag("_end").over(local).alias("_until"), F.lead("_pos").over(local).isNull().alias("_last"))
@@ -125,7 +125,7 @@ def speaker_turns(
     limit = pause if isinstance(pause, Column) else F.lit(pause)
     rows = df.where(F.col(kind) == "word").select(
         F.struct(*keys).alias("_key"),
-        chunk_of(F.col(start), chunk).alias("_chunk"),
+        chunk_of(F.col(start), chunk, F.col(ordinal)).alias("_chunk"),
         F.col(start).alias("_pos"),
         F.col(ordinal).alias("_ord"),
         F.col(end).alias("_end"),

@@ -135,6 +135,17 @@ def test_runs_match_a_scan(spark, chunk):
     assert collapse_runs(df.limit(0), ["m"], "ord", F.col("v"), "s", "e", chunk).count() == 0
 
 
+def test_rows_without_a_position_are_chunked_by_their_ordinals(spark):
+    from praktika.llm.runs import NOWHERE, chunk_of
+
+    rows = [(None, 0), (None, 4095), (None, 4096), (None, None), (5.0, 1), (-700.0, 1)]
+    got = [r[0] for r in spark.createDataFrame(rows, "p double, o int").select(chunk_of(F.col("p"), 600.0, F.col("o"))).collect()]
+    assert got == [NOWHERE, NOWHERE, NOWHERE + 1, NOWHERE - 1, 0, -2]
+    words = [("a", 0, i, "και", "word", None if i < 9000 else i * 1.0, None, None, "spk1" if i % 6000 < 3000 else "spk2", None) for i in range(12_000)]
+    turns = {tuple(r) for r in speaker_turns(spark.createDataFrame(words, SCHEMA), ["m", "seg"]).select("first_ord", "last_ord", "n_words").collect()}
+    assert turns == {(0, 2999, 3000), (3000, 5999, 3000), (6000, 8999, 3000), (9000, 11_999, 3000)}
+
+
 def test_ties_nulls_and_long_texts(spark):
     rows = [("a", 0, 0, "x" * 200_000, "word", 1.0, None, None, None, None), ("a", 0, 1, None, "word", 1.0, 1.0, None, "spk2", None), ("a", 0, 2, "", "word", None, None, None, "spk2", None), ("a", 0, 3, "ναι", None, 2.0, 2.0, None, None, None), ("a", 0, 4, "ναι", "word", 1.0, 1.2, None, "S02", None)]
     df = spark.createDataFrame(rows, SCHEMA)
