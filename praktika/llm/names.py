@@ -32,7 +32,7 @@ TITLES = frozenset("κ κοσ κυριοσ κα κυρια δρ dr mr mrs ms κ
 LATIN = {"th": "θ", "ch": "χ", "ps": "ψ", "ks": "ξ", "oy": "ου", "ou": "ου", "ey": "ευ", "ay": "αυ", "a": "α", "b": "μπ", "c": "κ", "d": "δ", "e": "ε", "f": "φ", "g": "γ", "h": "η", "i": "ι", "j": "τζ", "k": "κ", "l": "λ", "m": "μ", "n": "ν", "o": "ο", "p": "π", "q": "κ", "r": "ρ", "s": "σ", "t": "τ", "u": "ου", "v": "β", "w": "ω", "x": "ξ", "y": "υ", "z": "ζ"}
 SOUNDS = (("ου", "u"), ("αυ", "αβ"), ("ευ", "εβ"), ("αι", "ε"), ("ει", "ι"), ("οι", "ι"), ("υι", "ι"), ("η", "ι"), ("υ", "ι"), ("ω", "ο"))
 
-READINGS = (("H", lambda word: sound(word)), ("R", str))
+READINGS = (lambda word: sound(word), str)
 _FORMAL = {n: f for f, short in SHORT_FORMS.items() for n in [f, *short.split()]}
 _LATIN_RE = re.compile("|".join(LATIN))
 
@@ -181,28 +181,28 @@ def person_keys(name: str) -> list[str]:
     if p is None:
         return []
     keys: set[str] = set()
-    for kind, how in READINGS:
+    for how in READINGS:  # under one name: where a word is read as it is heard, its keys are the same
         given, surnames = p.heard(how)
-        keys |= {k for g in given for s in surnames for t in (g + s, s + g) for k in index_keys(t, kind)}
+        keys |= {k for g in given for s in surnames for t in (g + s, s + g) for k in index_keys(t, "")}
         # a surname beside an abbreviated given name is looked up together with the latter's initial
         for initial in {g[0] for g in p.given}:
-            keys |= {k for s in surnames for k in index_keys(s, f"S{kind}{initial}")}
-            keys |= {f"P{kind}{initial}{s[:n]}" for s in surnames for n in range(STEM, len(s) + 1)}
+            keys |= {k for s in surnames for k in index_keys(s, f"S{initial}")}
+            keys |= {f"P{initial}{s[:n]}" for s in surnames for n in range(STEM, len(s) + 1)}
     return sorted(keys)
 
 
 def spelling_keys(raw: str) -> list[str]:
     s = spelling(raw)
     keys: set[str] = set()
-    for kind, how in READINGS:
+    for how in READINGS:
         read = [how(w) for w in s.words]
         if read and not s.short:
-            keys.update(probe_keys("".join(read), kind))
+            keys.update(probe_keys("".join(read), ""))
         elif read:
             initial = s.short[0][0][0]
-            keys.update(k for w in {"".join(read), *read} for k in probe_keys(w, f"S{kind}{initial}"))
+            keys.update(k for w in {"".join(read), *read} for k in probe_keys(w, f"S{initial}"))
         elif len(s.short) == 2:
-            keys |= {f"P{kind}{b[0][0]}{how(a[0])}" for a, b in (s.short, s.short[::-1]) if len(how(a[0])) >= STEM}
+            keys |= {f"P{b[0][0]}{how(a[0])}" for a, b in (s.short, s.short[::-1]) if len(how(a[0])) >= STEM}
     return sorted(keys)
 
 
@@ -211,7 +211,7 @@ def distance(raw: str, name: str) -> float | None:
     p, s = person(name), spelling(raw)
     if p is None:
         return None
-    found = [d for _, how in READINGS if (d := _distance(s, p, how)) is not None]
+    found = [d for how in READINGS if (d := _distance(s, p, how)) is not None]
     return min(found, default=None)
 
 
