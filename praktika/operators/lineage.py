@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     return wanted.rstrip("/")
 
 
-def _file_system(spark: SparkSession, path: str) -> tuple:
+def file_system(spark: SparkSession, path: str) -> tuple:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
@@ -40,7 +40,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/praktika-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    fs, at = _file_system(spark, path)
+    fs, at = file_system(spark, path)
     fs.deleteOnExit(at)
     result = spark.read.schema(df.schema).parquet(path)
     result._praktika_path = path
@@ -51,5 +51,5 @@ def drop(df: DataFrame) -> None:
     """Remove the table of a ``cut`` that nothing reads any more."""
     path = getattr(df, "_praktika_path", None)
     if path:
-        fs, at = _file_system(df.sparkSession, path)
+        fs, at = file_system(df.sparkSession, path)
         fs.delete(at, True)

@@ -164,6 +164,16 @@ def without_sources(text: Column) -> Column:
     return F.rtrim(F.regexp_replace(text, r"(?isu)\n+\s*(?:#+\s*|\*\*)?(?:sources|πηγ[έε]ς)(?:\*\*)?\s*:?\s*\n.*\z", ""))
 
 
-def error_class(message: Column) -> Column:
-    """Whether an error came from the connection, the server or neither."""
-    return F.when(message.rlike(r"(?i)econnreset|etimedout|socket hang up|network|fetch failed"), "connection").when(message.rlike(r"(?i)\b5\d\d\b|overloaded|internal server"), "server").otherwise("none")
+#: Kinds of errors and of those within them, by where they come from.
+ERRORS = {"connection": ("APIConnectionError",), "server": ("InternalServerError",)}
+INNER_SERVER, DROPPED = ("overloaded_error", "api_error"), "terminated"
+
+
+def error_class(chain: Column) -> Column:
+    """Whether an error came from the connection, the server or neither, by the first of its causes that tells.
+
+    ``chain``: the error and its causes, outermost first, each with kind, inner (the type of the error that a service
+    reports within it) and message.
+    """
+    of = lambda e: F.when(e["kind"].isin(*ERRORS["connection"]) | ((e["kind"] == "TypeError") & (e["message"] == DROPPED)), "connection").when(e["kind"].isin(*ERRORS["server"]) | e["inner"].isin(*INNER_SERVER), "server")
+    return F.coalesce(F.get(F.array_compact(F.transform(chain, of)), 0), F.lit("none"))

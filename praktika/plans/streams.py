@@ -27,10 +27,8 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query("q_stream_latest", "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY 1")
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = f"{shared_dir(spark)}/latest-{uuid.uuid4().hex}"
-    last = []
-    sink = E.upsert_latest("user_id", ["ts", "event_id"], out)
-    E.run_once(E.read_stream(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type"), "append", lambda df, n: (sink(df, n), last.append(n))[0])
-    return spark.read.parquet(f"{out}/v={last[-1]}").select("user_id", "event_id", "event_type")
+    E.run_once(E.read_stream(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type"), "append", E.upsert_latest("user_id", ["ts", "event_id"], out))
+    return spark.read.parquet(f"{out}/v={E.versions(spark, out)[-1]}").select("user_id", "event_id", "event_type")
 
 
 @registry.query(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from praktika.operators.lineage import file_system
+
 TRACE_BYTES, INPUT_CHARS = 800_000, 500
 
 
@@ -18,17 +20,23 @@ def embed_json(df: DataFrame, column: str = "html_json") -> DataFrame:
 
 
 def put_once(df: DataFrame, key: str, path: str) -> None:
-    """Append the rows whose key is not there yet."""
+    """Append the rows whose key is not there yet. Two runs at once may both write a key: readers take the first."""
     spark = df.sparkSession
-    try:
-        known = spark.read.parquet(path).select(key).distinct()
-        df = df.join(known, key, "left_anti")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    fs, at = file_system(spark, path)
+    if fs.exists(at):
+        df = df.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti")
     df.dropDuplicates([key]).write.mode("append").parquet(path)
 
 
+def delete_prefix(spark: SparkSession, path: str, prefix: str) -> int:
+    """Delete what lies in a folder under names that begin with ``prefix``; how much it was."""
+    fs, at = file_system(spark, path)
+    found = [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith(prefix)] if prefix and fs.exists(at) else []
+    for p in found:
+        fs.delete(p, True)
+    return len(found)
+
+
 def replace_partitions(df: DataFrame, by: str, path: str) -> None:
     """Rewrite only the partitions that ``df`` has."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from praktika.operators.lineage import shared_dir
+from praktika.operators.lineage import file_system, shared_dir
 
 
 def read_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +23,12 @@ def read_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def run_once(stream: DataFrame, mode: str, sink: Callable[[DataFrame, int], None]) -> None:
-    """Everything that is there, through ``sink`` batch by batch; a restart goes on from the checkpoint."""
-    at = f"{shared_dir(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+def run_once(stream: DataFrame, mode: str, sink: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> None:
+    """Everything that is there, through ``sink`` batch by batch.
+
+    With ``checkpoint`` the next run goes on where this one ended; without, each run begins anew.
+    """
+    at = checkpoint or f"{shared_dir(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
     stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", at).trigger(availableNow=True).start().awaitTermination()
 
 
@@ -49,16 +52,33 @@ def pause_sessions(stream: DataFrame, keys: list[str], at: str, gap: str) -> Dat
     return stream.withWatermark(at, gap).groupBy(*keys, F.session_window(at, gap).alias("w")).agg(F.count("*").alias("n")).select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def upsert_latest(key: str, order: list[str], path: str) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps the latest row per key: each batch is merged with the table and written beside it."""
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of a table kept by ``upsert_latest`` that were written to their end, oldest first."""
+    fs, at = file_system(spark, path)
+    if not fs.exists(at):
+        return []
+    done = [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("v=")]
+    whole = [p for p in done if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName()[2:]) for p in whole)
+
+
+def upsert_latest(key: str, order: list[str], path: str, keep: int = 2) -> Callable[[DataFrame, int], None]:
+    """A sink that keeps the latest row per key: each batch is merged with the table and written beside it.
+
+    A batch that comes again after a failure replaces its version; only the last ``keep`` versions stay.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if number:
-            batch = batch.unionByName(spark.read.parquet(f"{path}/v={number - 1}"))
+        before = [v for v in versions(spark, path) if v < number]
+        if before:
+            batch = batch.unionByName(spark.read.parquet(f"{path}/v={before[-1]}"))
         columns = batch.columns
         newest = batch.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("r")).select("r.*")
         newest.write.mode("overwrite").parquet(f"{path}/v={number}")
+        for old in before[: max(0, len(before) + 1 - keep)]:
+            fs, at = file_system(spark, f"{path}/v={old}")
+            fs.delete(at, True)
 
     return merge
 

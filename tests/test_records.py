@@ -27,9 +27,23 @@ def test_links_and_texts(spark):
     df = spark.createDataFrame([(1, "[α](REF:P:s1), [β](REF:P:zz)[γ](REF:Q:s2)"), (2, "κανένα"), (3, "")], "k int, t string")
     d = spark.createDataFrame([("s1", "long1"), ("s2", "long2")], "short_id string, long_id string")
     assert {r.k: r.t for r in R.rewrite_links(df, "k", "t", d).collect()} == {1: "[α](REF:P:long1), [β](REF:P:zz)[γ](REF:Q:long2)", 2: "κανένα", 3: ""}
-    one = spark.createDataFrame([("Κείμενο.\n\n**Πηγές**\n- a", "ECONNRESET", "HTTP 503", 30)], "t string, e string, s string, h int")
-    row = one.select(R.without_sources(F.col("t")), R.error_class(F.col("e")), R.error_class(F.col("s")), R.nearest_preset(F.col("h"), {"low": 20, "high": 40})).first()
-    assert tuple(row) == ("Κείμενο.", "connection", "server", "high")
+    one = spark.createDataFrame([("Κείμενο.\n\n**Πηγές**\n- a", 30)], "t string, h int")
+    row = one.select(R.without_sources(F.col("t")), R.nearest_preset(F.col("h"), {"low": 20, "high": 40})).first()
+    assert tuple(row) == ("Κείμενο.", "high")
+
+
+def test_errors_by_the_first_cause_that_tells(spark):
+    chains = [
+        [("APIConnectionError", None, "x")],
+        [("Error", None, "HTTP 503 network"), ("InternalServerError", None, "x")],
+        [("APIError", "overloaded_error", "x")],
+        [("AnthropicError", None, "x"), ("TypeError", None, "terminated")],
+        [("Error", None, "network"), ("Error", None, "500")],
+        [],
+        None,
+    ]
+    df = spark.createDataFrame([(k, c) for k, c in enumerate(chains)], "k int, c array<struct<kind: string, inner: string, message: string>>")
+    assert [r[0] for r in df.orderBy("k").select(R.error_class(F.col("c"))).collect()] == ["connection", "server", "server", "connection", "none", "none", "none"]
 
 
 def test_pointing(spark):

@@ -70,6 +70,13 @@ def test_streams(spark, tmp_path):
     assert {(r.user_id, r.kind, r.number) for r in numbered.collect()} == {(1, "a", 1), (1, "b", 2), (2, "b", 1)}
     E.run_once(stream(), "append", E.upsert_latest("user_id", ["ts", "event_id"], str(tmp_path / "state")))
     assert {(r.user_id, r.event_id) for r in spark.read.parquet(str(tmp_path / "state" / "v=0")).collect()} == {(1, 3), (2, 4)}
+    at, again = str(tmp_path / "state2"), E.upsert_latest("user_id", ["ts", "event_id"], str(tmp_path / "state2"))
+    one = lambda e, u, n: spark.createDataFrame([(u, e, n)], "user_id bigint, event_id bigint, ts int")
+    for n, batch in enumerate([one(1, 7, 1), one(2, 8, 1), one(3, 7, 2)]):
+        again(batch, n)
+    again(one(3, 7, 2), 2)  # the same batch once more
+    assert E.versions(spark, at) == [1, 2] and {(r.user_id, r.event_id) for r in spark.read.parquet(f"{at}/v=2").collect()} == {(7, 3), (8, 2)}
+    assert K.delete_prefix(spark, at, "v=1") == 1 and E.versions(spark, at) == [2] and K.delete_prefix(spark, at, "") == 0
     asked = stream().where("kind = 'a'").select("user_id", F.col("ts").alias("t0"), F.col("event_id").alias("asked"))
     came = stream().where("kind = 'b'").select(F.col("user_id").alias("user_id_answered"), F.col("ts").alias("t1"), F.col("event_id").alias("came"))
     pairs = E.materialise(E.answered(asked, came, "user_id", "t0", "t1", "2 hours"))
