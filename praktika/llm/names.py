@@ -114,12 +114,30 @@ def spelling(raw: str) -> Spelling:
     return Spelling(tuple(words), tuple(short))
 
 
+@lru_cache(maxsize=200_000)
+def _letters(text: str) -> frozenset[str]:
+    return frozenset(text)
+
+
 def banded(a: str, b: str, most: int) -> int:
     """Edit distance with neighbours swapped as one edit, in the band of ``most`` around the diagonal; most+1 beyond."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
     if a == b:
         return 0
+    # a letter that the other lacks is an edit, and each edit brings in one such letter at most
+    if not most or abs(len(a) - len(b)) > most or len(_letters(a) - _letters(b)) > most or len(_letters(b) - _letters(a)) > most:
+        return most + 1
+    # equal ends need no edits
+    i, n = 0, min(len(a), len(b))
+    while i < n and a[i] == b[i]:
+        i += 1
+    j = 0
+    while j < n - i and a[-1 - j] == b[-1 - j]:
+        j += 1
+    a, b = a[i : len(a) - j], b[i : len(b) - j]
+    if not a or not b:
+        return len(a) + len(b)
+    if most == 1:
+        return 1 if len(a) == len(b) == 1 or (len(a) == 2 and a == b[::-1]) else 2
     far = most + 1
     two, one = None, [j if j <= most else far for j in range(len(b) + 1)]
     for i in range(1, len(a) + 1):
