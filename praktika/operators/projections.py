@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from praktika.functions.text import fold, falsy
@@ -139,3 +139,48 @@ def batch_load(df: DataFrame, batch: str, size: str, capacity: int) -> DataFrame
 def by_greek_order(df: DataFrame, label: str) -> DataFrame:
     """Rows in the order of a Greek dictionary."""
     return df.orderBy(F.collate(F.col(label), "el"), label)
+
+
+def linking_state(decision: Column, extracted: Column) -> Column:
+    """Whether a subject has a decision, has one that is not read yet, or has none."""
+    return F.when(decision.isNull() | (decision == ""), "unlinked").when(F.coalesce(extracted, F.lit(False)), "linked").otherwise("needs_extraction")
+
+
+def with_text(df: DataFrame, text: str) -> DataFrame:
+    """Rows that say something."""
+    return df.where(F.length(F.trim(F.coalesce(text, F.lit("")))) > 0)
+
+
+def without_kinds(df: DataFrame, kind: str, left_out: list[str]) -> DataFrame:
+    """Rows of any kind but the listed ones; those of no kind stay."""
+    return df.where(F.col(kind).isNull() | ~F.col(kind).isin(*left_out)) if left_out else df
+
+
+def paired(a: Column, b: Column) -> Column:
+    """Two arrays by their places, as long as the first; what the second lacks is null."""
+    return F.transform(a, lambda x, i: F.struct(x.alias("a"), F.get(b, i).alias("b")))
+
+
+def months_before(day: Column, months: int = 3) -> Column:
+    """Where a profile begins if nothing else is said."""
+    return F.add_months(day, -months)
+
+
+def with_settings(df: DataFrame, code: str, settings: DataFrame, default: str) -> DataFrame:
+    """Each row with the settings of its language; of the default one where its own has none or is missing."""
+    own = settings.withColumn("_known", F.lit(True))
+    joined = df.join(own.select(F.col("code").alias(code), "_known").distinct(), code, "left")
+    return joined.withColumn("settings_code", F.when(F.col("_known"), F.col(code)).otherwise(F.lit(default))).drop("_known").join(settings.withColumnRenamed("code", "settings_code"), "settings_code")
+
+
+def first_filled(value: str, order: str) -> Column:
+    """The first value in order that is neither null nor empty, as an aggregate."""
+    v = F.col(value)
+    return F.min_by(v, F.when(v.isNotNull() & (v != ""), F.col(order)))
+
+
+def unknown_last(df: DataFrame, key: str, item: str, first_seen: DataFrame, order: str) -> DataFrame:
+    """Items of a key in the order in which they are first seen elsewhere; those never seen come last, as they stand."""
+    seen = first_seen.groupBy(key, item).agg(F.min(order).alias("_seen"))
+    w = Window.partitionBy(key).orderBy(F.col("_seen").asc_nulls_last(), order)
+    return df.join(seen, [key, item], "left").withColumn("position", F.row_number().over(w) - 1).drop("_seen")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,3 +113,48 @@ class DecisionReader(DataSourceReader):
             wanted = one if wanted is None else wanted & one
         fragment = next(iter(ds.dataset(path).get_fragments())).subset(row_group_ids=[group])
         yield from fragment.to_batches(columns=self.columns, filter=wanted, schema=ds.dataset(path).schema)
+
+
+#: Layouts of the two files of a recording.
+DIARIZATION = "diarization array<struct<start: double, end: double, speaker: string>>, speakers array<struct<speaker: string, match: string, confidence: map<string, double>>>"
+TRANSCRIPT = "transcription struct<utterances: array<struct<text: string, start: double, end: double, speaker: int, confidence: double, words: array<struct<word: string, start: double, end: double, confidence: double>>>>>"
+
+
+def read_recording(spark: SparkSession, diarization: str, transcript: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Segments, speakers and utterances of a recording's two files, each with its place; a file of another layout fails the read."""
+    of = lambda path, layout: spark.read.text(path, wholetext=True).select(F.from_json("value", layout, {"mode": "FAILFAST"}).alias("r"))
+    d, t = of(diarization, DIARIZATION), of(transcript, TRANSCRIPT)
+    parts = [d.select(F.posexplode("r.diarization").alias("ord", "s")), d.select(F.posexplode("r.speakers").alias("ord", "s")), t.select(F.posexplode("r.transcription.utterances").alias("ord", "s"))]
+    segments, speakers, utterances = (p.select("ord", "s.*") for p in parts)
+    return segments, speakers, utterances
+
+
+def read_through(asked: DataFrame, cache: DataFrame, url: str, skip: bool = False) -> tuple[DataFrame, DataFrame]:
+    """What the cache holds of the addresses asked for, and the addresses that must be fetched; with ``skip`` all of them."""
+    keyed = asked.withColumn("cache_key", F.substring(F.sha2(F.col(url), 256), 1, 16))
+    if skip:
+        return keyed.limit(0).join(cache, "cache_key"), keyed
+    return keyed.join(cache, "cache_key"), keyed.join(cache, "cache_key", "left_anti")
+
+
+def setting(name: str, path: str | None = None) -> str:
+    """A setting from the environment, else from a JSON file of settings; an error where neither has it."""
+    if found := os.environ.get(name):
+        return found
+    if path and os.path.exists(path):
+        with open(path, encoding="utf-8") as f:
+            if (found := json.load(f).get(name)) is not None:
+                return found
+    raise KeyError(f"{name} is neither in the environment nor in {path}")
+
+
+def bytes_by_key(files: DataFrame, key: Column) -> DataFrame:
+    """Bytes on disk per key of files (path, length) as Spark lists them."""
+    return files.groupBy(key.alias("key")).agg(F.sum("length").alias("bytes"), F.count("*").alias("files"))
+
+
+def counted_units(units: DataFrame, counts: DataFrame, failed: DataFrame, unit: str) -> DataFrame:
+    """Decisions per unit, most first: none where nothing was counted, -1 where counting failed."""
+    errors = failed.select(unit, F.lit(True).alias("_failed")).distinct()
+    joined = units.select(unit).distinct().join(counts.groupBy(unit).agg(F.sum("n").alias("n")), unit, "left").join(errors, unit, "left")
+    return joined.select(unit, F.when(F.col("_failed"), F.lit(-1)).otherwise(F.coalesce("n", F.lit(0))).cast("bigint").alias("n")).orderBy(F.desc("n"), unit)

@@ -45,3 +45,19 @@ def test_tables(spark):
     load = spark.createDataFrame([(0, 5), (0, 5), (1, 10), (2, 3)], "b int, n int")
     assert {(r.b, r.used, r.is_fullest) for r in P.batch_load(load, "b", "n", 20).collect()} == {(0, 10, True), (1, 10, False), (2, 3, False)}
     assert [r.l for r in P.by_greek_order(spark.createDataFrame([("Ωμέγα",), ("Άλφα",), ("Βήτα",)], "l string"), "l").collect()] == ["Άλφα", "Βήτα", "Ωμέγα"]
+
+
+def test_small_rules(spark):
+    df = spark.createDataFrame([(1, None, None, " ", "a"), (2, "d", True, "x", None), (3, "d", None, None, "b")], "k int, d string, e boolean, t string, kind string")
+    assert [r[0] for r in df.orderBy("k").select(P.linking_state(F.col("d"), F.col("e"))).collect()] == ["unlinked", "linked", "needs_extraction"]
+    assert [r.k for r in P.with_text(df, "t").collect()] == [2] and {r.k for r in P.without_kinds(df, "kind", ["a"]).collect()} == {2, 3}
+    assert values(spark, P.paired(F.col("a"), F.col("b")), [([1, 2, 3], [4, 5])], "a array<int>, b array<int>") == [[(1, 4), (2, 5), (3, None)]]
+    assert str(spark.range(1).select(P.months_before(F.lit("2024-05-31").cast("date"))).first()[0]) == "2024-02-29"
+    settings = spark.createDataFrame([("el", "Greek"), ("fr", "French")], "code string, name string")
+    rows = spark.createDataFrame([(1, "fr"), (2, None), (3, "xx")], "k int, lang string")
+    assert {r.k: r.name for r in P.with_settings(rows, "lang", settings, "el").collect()} == {1: "French", 2: "Greek", 3: "Greek"}
+    usage = spark.createDataFrame([("p", 0, ""), ("p", 1, "batch"), ("p", 2, "x"), ("q", 0, None)], "p string, o int, tier string")
+    assert {r.p: r.t for r in usage.groupBy("p").agg(P.first_filled("tier", "o").alias("t")).collect()} == {"p": "batch", "q": None}
+    asked = spark.createDataFrame([("m", "c", 0), ("m", "a", 1), ("m", "b", 2)], "m string, s string, o int")
+    seen = spark.createDataFrame([("m", "b", 5), ("m", "a", 9), ("m", "b", 11)], "m string, s string, o int")
+    assert [r.s for r in P.unknown_last(asked, "m", "s", seen, "o").orderBy("position").collect()] == ["b", "a", "c"]

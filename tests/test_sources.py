@@ -88,3 +88,29 @@ def test_verdicts(spark):
     a, b = F.col("x"), F.col("y")
     verdict, changes = D.verdict([("name", F.col("a") != F.col("b"), F.lit(False)), ("utterances", a != b, D.share_changed(a, b, D.UTTERANCE_SHARE))])
     assert [(r[0], r[1]) for r in df.select(verdict, changes).collect()] == [("identical", []), ("cosmetic", ["name", "utterances"]), ("structural", ["utterances"])]
+
+
+def test_recordings_caches_settings_and_counts(spark, tmp_path, monkeypatch):
+    import json as j
+
+    (tmp_path / "d.json").write_text(j.dumps({"diarization": [{"start": 0, "end": 1.5, "speaker": "A"}], "speakers": [{"speaker": "A", "match": "p1", "confidence": {"p1": 80}}]}))
+    (tmp_path / "t.json").write_text(j.dumps({"transcription": {"utterances": [{"text": "ναι", "start": 0.1, "end": 1, "speaker": 0, "words": [{"word": "ναι", "start": 0.1, "end": 1}]}]}}))
+    segments, speakers, utterances = R.read_recording(spark, str(tmp_path / "d.json"), str(tmp_path / "t.json"))
+    assert (segments.first().end, speakers.first().match, utterances.first().text) == (1.5, "p1", "ναι")
+    asked = spark.createDataFrame([("u1",), ("u2",)], "url string")
+    cache = asked.where("url = 'u1'").select(F.substring(F.sha2("url", 256), 1, 16).alias("cache_key"), F.lit("x").alias("body"))
+    hits, misses = R.read_through(asked, cache, "url")
+    assert [r.url for r in hits.collect()] == ["u1"] and [r.url for r in misses.collect()] == ["u2"]
+    hits, misses = R.read_through(asked, cache, "url", skip=True)
+    assert hits.count() == 0 and misses.count() == 2
+    (tmp_path / "s.json").write_text('{"PRAKTIKA_KEY": "file"}')
+    assert R.setting("PRAKTIKA_KEY", str(tmp_path / "s.json")) == "file"
+    monkeypatch.setenv("PRAKTIKA_KEY", "env")
+    assert R.setting("PRAKTIKA_KEY", str(tmp_path / "s.json")) == "env"
+    with pytest.raises(KeyError):
+        R.setting("PRAKTIKA_OTHER", str(tmp_path / "none.json"))
+    files = spark.createDataFrame([("v1.mp3", 10), ("v1.json", 5), ("v2.mp3", 1)], "path string, length bigint")
+    assert {(r.key, r.bytes, r.files) for r in R.bytes_by_key(files, F.substring_index("path", ".", 1)).collect()} == {("v1", 15, 2), ("v2", 1, 1)}
+    units = spark.createDataFrame([("a",), ("b",), ("c",)], "u string")
+    got = R.counted_units(units, spark.createDataFrame([("a", 3), ("a", 4)], "u string, n int"), units.where("u = 'b'"), "u").collect()
+    assert [(r.u, r.n) for r in got] == [("a", 7), ("c", 0), ("b", -1)]
