@@ -9,11 +9,12 @@ from praktika.functions import text as X
 from praktika.operators import diff as D
 from praktika.operators import matching as M
 from praktika.operators import meetings as G
+from praktika.operators import records as R
 from praktika.operators import sequence as S
 from praktika.operators import timelines as T
 from praktika.operators import votes as V
 from praktika.plans.counts import STATUSES_SQL, statuses
-from praktika.plans.names import _KEY, _KEYS, _NAME, _TYPED, people, typed
+from praktika.plans.names import _CITY, _KEY, _KEYS, _NAME, _TYPED, GAPS_SQL, SIMILAR_SQL, WINDOW_DAYS, gap_candidates, people, sides, span_of, token_similarity, typed, with_spans
 from praktika.plans.timelines import _ALIGNED, _NEAR, _SEG, latest_two, segments, utterances
 from praktika.registry import Registry
 from praktika.sources.tables import table
@@ -63,8 +64,7 @@ def complete_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discussed(spark, sf_dir)
 
 
-@registry.query(
-    "q_attendance_along_order",
+_PRESENT = (
     "WITH "
     + _ORDER
     + f""", f AS (SELECT meeting_id, min(ord) AS ord FROM raw_extractions GROUP BY 1),
@@ -75,10 +75,12 @@ def complete_order(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM c LEFT JOIN o ON o.meeting_id = c.meeting_id AND o.item_index = c.item_index AND o.reason = c.reason WHERE c.item_index IS NULL OR o.position IS NOT NULL),
     y AS (SELECT DISTINCT meeting_id, position FROM o),
     n AS (SELECT meeting_id, name FROM p UNION SELECT meeting_id, name FROM b WHERE eff IS NOT NULL),
-    q AS (SELECT n.meeting_id, n.name, y.position, arg_max(b.change_type, (b.eff, b.phase, b.ord, b.k)) AS last_type FROM n JOIN y USING (meeting_id) LEFT JOIN b ON b.meeting_id = n.meeting_id AND b.name = n.name AND b.eff <= y.position GROUP BY 1, 2, 3)
-    SELECT q.meeting_id, q.name, q.position, CASE WHEN q.last_type IS NOT NULL THEN q.last_type = 'arrival' ELSE coalesce(p.present, false) END AS present FROM q LEFT JOIN p USING (meeting_id, name)
-    """,
+    q AS (SELECT n.meeting_id, n.name, y.position, arg_max(b.change_type, (b.eff, b.phase, b.ord, b.k)) AS last_type FROM n JOIN y USING (meeting_id) LEFT JOIN b ON b.meeting_id = n.meeting_id AND b.name = n.name AND b.eff <= y.position GROUP BY 1, 2, 3),
+    z AS (SELECT q.meeting_id, q.name, q.position, CASE WHEN q.last_type IS NOT NULL THEN q.last_type = 'arrival' ELSE coalesce(p.present, false) END AS present FROM q LEFT JOIN p USING (meeting_id, name))"""
 )
+
+
+@registry.query("q_attendance_along_order", _PRESENT + " SELECT * FROM z")
 def attendance_along(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Who is present at each item in the order in which items were discussed; names count in normal form."""
     raw = table(spark, sf_dir, "raw_extractions")
@@ -94,6 +96,27 @@ def attendance_along(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.attendance_at(present, events, order.select("meeting_id", "position").distinct())
 
 
+@registry.query(
+    "q_meeting_votes",
+    _PRESENT
+    + rf""", g AS (SELECT DISTINCT pdf_id, meeting_id, subject_info.agenda_item_index AS item_index, coalesce(subject_info.non_agenda_reason, '') AS reason, vote_result, vote_details FROM raw_extractions),
+    h AS (SELECT pdf_id, g.meeting_id, min(o.position) AS position, any_value(vote_result) AS vote_result, any_value(coalesce(vote_details, [])) AS votes FROM g JOIN o ON o.meeting_id = g.meeting_id AND o.item_index = g.item_index AND o.reason = g.reason GROUP BY 1, 2),
+    i AS (SELECT h.pdf_id, z.name FROM h JOIN z ON z.meeting_id = h.meeting_id AND z.position = h.position AND z.present
+      WHERE regexp_matches(replace(strip_accents(lower(vote_result)), 'ς', 'σ'), 'ομοφων|κατα\s+πλειοψηφι') AND len(list_filter(votes, lambda v: v.vote = 'FOR')) = 0 AND NOT list_contains(list_transform(votes, lambda v: {_NAME.format('v.name')}), z.name))
+    SELECT DISTINCT pdf_id, {_NAME.format('v.name')} AS name, v.vote AS vote, 'written' AS origin FROM (SELECT pdf_id, unnest(votes) AS v FROM h) WHERE v.name IS NOT NULL UNION ALL SELECT pdf_id, name, 'FOR', 'inferred' FROM i
+    """,
+)
+def meeting_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The votes on each decision: those written down, and FOR of whoever else was present when its item was discussed."""
+    order = discussed(spark, sf_dir)
+    rows = table(spark, sf_dir, "raw_extractions").select("pdf_id", "meeting_id", F.col("subject_info.agenda_item_index").alias("item_index"), F.coalesce("subject_info.non_agenda_reason", F.lit("")).alias("reason"), "vote_result", "vote_details").distinct()
+    placed = rows.join(order, ["meeting_id", "item_index", "reason"]).groupBy("pdf_id", "meeting_id").agg(F.min("position").alias("position"), F.first("vote_result").alias("vote_result"), F.first("vote_details").alias("vote_details"))
+    there = attendance_along(spark, sf_dir).where("present").groupBy("meeting_id", "position").agg(F.collect_list("name").alias("present"))
+    inferred = V.inferred_for_votes(placed.join(there, ["meeting_id", "position"]), "pdf_id", "present", "vote_result", "vote_details")
+    written = placed.select("pdf_id", F.explode("vote_details").alias("v")).where("v.name is not null").select("pdf_id", X.normalize_name(F.col("v.name")).alias("name"), "v.vote", F.lit("written").alias("origin")).distinct()
+    return written.unionByName(inferred.withColumn("origin", F.lit("inferred")))
+
+
 _WORDS = "list_filter(string_split(" + _KEY.format("{0}") + ", ' '), lambda t: length(t) >= 5)"
 
 
@@ -201,3 +224,37 @@ def agenda_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "match_subjects").select("meeting_id", "subject_id", "ord", "name", "agenda_item_index").distinct()
     filled = S.fill_missing_index(rows, "meeting_id", "agenda_item_index", "ord")
     return filled.select("subject_id", "filled", F.substring(F.sha2(F.concat(F.coalesce("name", F.lit("")), F.col("filled").cast("string")), 256), 1, 16).alias("agenda_id"))
+
+
+@registry.query(
+    "q_decision_matching",
+    f"""
+    WITH t AS ({SIMILAR_SQL}), q AS ({GAPS_SQL}), k AS (SELECT subject_id, min(ord) AS o FROM match_subjects GROUP BY 1),
+    b AS (SELECT t.subject_id, ada, similarity, o, CASE WHEN similarity >= 0.8 THEN 0.9 WHEN similarity >= 0.5 THEN 0.7 END::DOUBLE AS score FROM t JOIN k USING (subject_id) WHERE rank = 1),
+    f AS (SELECT *, min(CASE WHEN score IS NOT NULL THEN (o, subject_id) END) OVER (PARTITION BY ada) AS first FROM b),
+    a AS (SELECT subject_id, ada, score FROM f WHERE score IS NOT NULL AND (o, subject_id) = first),
+    m AS (SELECT DISTINCT subject_id, {_CITY.format('city_name')} AS city, CAST(meeting_date AT TIME ZONE 'UTC' AS DATE) AS day FROM match_subjects WHERE subject_id NOT IN (SELECT subject_id FROM a)),
+    d AS (SELECT DISTINCT ada, {_CITY.format('organization_label')} AS city, CAST(epoch_ms(publish_timestamp_ms) AS DATE) AS published FROM decisions WHERE ada IN (SELECT ada FROM q WHERE ada IS NOT NULL) AND ada NOT IN (SELECT ada FROM a)),
+    g AS (SELECT ada, arg_min(subject_id, (published - day, o, subject_id)) AS subject_id FROM m JOIN d USING (city) JOIN k USING (subject_id) WHERE published BETWEEN day AND day + 45 GROUP BY 1),
+    h AS (SELECT subject_id, min(ada) AS ada FROM g GROUP BY 1)
+    SELECT subject_id, ada, score, 1 AS stage FROM a UNION ALL SELECT subject_id, ada, 0.6, 2 FROM h
+    """,
+)
+def decision_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subjects to decisions in two passes: the most similar one if it is like enough and free, then decisions of number gaps.
+
+    A decision of a gap that nobody has goes to the open subject of its city with the nearest meeting before it.
+    """
+    placed = table(spark, sf_dir, "match_subjects").groupBy("subject_id").agg(F.min("ord").alias("o"))
+    best = token_similarity(spark, sf_dir).where("rank = 1").join(placed, "subject_id").withColumn("at", F.struct("o", "subject_id"))
+    label = F.when(F.col("similarity") >= 0.8, "high").when(F.col("similarity") >= 0.5, "medium").otherwise("low")
+    tested = R.accept_matches(best.withColumn("confidence", label), table(spark, sf_dir, "decisions"), "subject_id", "ada", "confidence", "at", F.lit(False))
+    first = tested.where("score is not null").select("subject_id", "ada", "score")
+    meetings, decisions = sides(spark, sf_dir)
+    gaps = gap_candidates(spark, sf_dir).where("ada is not null").select("ada").distinct().join(first.select("ada"), "ada", "left_anti")
+    free = decisions.join(gaps, "ada", "left_semi").select("ada", "city", "published").distinct().withColumn("span", span_of("published"))
+    left = meetings.select("subject_id", "city", "day").distinct().join(first.select("subject_id"), "subject_id", "left_anti").join(placed, "subject_id")
+    near = with_spans(left, "day").join(free, ["city", "span"]).where(F.col("published").between(F.col("day"), F.date_add("day", WINDOW_DAYS)))
+    chosen = near.groupBy("ada").agg(F.min_by("subject_id", F.struct(F.datediff("published", "day").alias("lag"), "o", "subject_id")).alias("subject_id"))
+    second = chosen.groupBy("subject_id").agg(F.min("ada").alias("ada"))
+    return first.withColumn("stage", F.lit(1)).unionByName(second.select("subject_id", "ada", F.lit(0.6).alias("score"), F.lit(2).alias("stage")))
