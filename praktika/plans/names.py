@@ -22,14 +22,16 @@ _NAME = r"trim(regexp_replace(" + _FOLD.format(r"translate(regexp_replace({0}, '
 _KEY = r"array_to_string(list_sort(list_filter(string_split_regex(translate(" + _NAME + r", '-', ' '), '\s+'), lambda t: t <> '')), ' ')"
 _NICK = r"CASE WHEN regexp_matches({0}, '\S+\s*\([^)]+\)') THEN " + _KEY.format(r"regexp_replace({0}, '\S+\s*\(([^)]+)\)', '\1', 'g')") + " END"
 _KEYS = "list_distinct(list_filter([" + _KEY + ", " + _NICK + "], lambda k: k IS NOT NULL))"
-_TYPED = "(SELECT DISTINCT meeting_id, city_id, name FROM (SELECT meeting_id, city_id, unnest(present_members) AS name FROM raw_extractions UNION ALL SELECT meeting_id, city_id, unnest(absent_members) FROM raw_extractions) WHERE name IS NOT NULL)"
+_TYPED = "(SELECT DISTINCT meeting_id, city_id, name FROM (SELECT meeting_id, city_id, unnest(present_members) AS name FROM raw_extractions UNION ALL SELECT meeting_id, city_id, unnest(absent_members) FROM raw_extractions UNION ALL SELECT meeting_id, city_id, unnest(list_transform(attendance_changes, lambda c: c.name)) FROM raw_extractions) WHERE name IS NOT NULL)"
 _CITY = r"trim(regexp_replace(regexp_replace(" + _FOLD + r", '[^α-ω]+', ' ', 'g'), '^\s*(δημοσ|δ)\s', '', 'g'))"
 
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name as it stands in a document: of those present, absent, come or gone."""
     raw = table(spark, sf_dir, "raw_extractions")
-    both = raw.select("meeting_id", "city_id", F.explode("present_members").alias("name")).unionByName(raw.select("meeting_id", "city_id", F.explode("absent_members").alias("name")))
-    return both.where("name is not null").distinct()
+    empty = F.array().cast("array<string>")
+    names = F.concat(*[F.coalesce(c, empty) for c in (F.col("present_members"), F.col("absent_members"), F.col("attendance_changes.name"))])
+    return raw.select("meeting_id", "city_id", F.explode(names).alias("name")).where("name is not null").distinct()
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
