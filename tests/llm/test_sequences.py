@@ -75,32 +75,31 @@ def test_rolling_captions_and_pauses(spark, chunk):
     assert turns == {(0, 4, 4), (5, 5, 1)}
 
 
-def caption_rows(captions, speakers=None):
+CAPTIONS = [
+    ([(0.0, "we will vote"), (1.05, "will vote now")], None, 4),  # the new one begins while the old one is shown
+    ([(0.0, "we will vote"), (0.6, "will vote now")], None, 4),  # both run side by side
+    ([(0.0, "a b c d"), (1.7, "b c d e"), (3.4, "c d e f")], None, 6),
+    ([(0.0, "a b c d"), (1.7, "x b c")], None, 7),
+    ([(0.0, "yes yes yes"), (1.2, "yes no")], None, 4),
+    ([(0.0, "a b c"), (1.05, "b c d")], ["spk1", "spk2"], 6),  # another speaker repeats nothing
+    ([(0.0, "a b c"), (1.05, "b c d")], ["spk1", None], 4),
+    ([(0.0, "a b c"), (1.8, "b c d")], None, 6),  # no overlap in time: said twice
+]
+
+
+def caption_rows(stream, captions, speakers):
     rows = []
     for n, (begin, text) in enumerate(captions):
         for k, w in enumerate(text.split()):
-            rows.append(("a", 0, len(rows), w, "word", begin + k * 0.5, begin + k * 0.5 + 0.5, None, (speakers or ["spk1"] * 9)[n], None))
+            rows.append((f"m{stream}", stream, len(rows), w, "word", begin + k * 0.5, begin + k * 0.5 + 0.5, None, (speakers or ["spk1"] * 9)[n], None))
     return rows
 
 
 @pytest.mark.parametrize("chunk", [0.3, 0.7, 1.0, 2.0, 600.0])
-@pytest.mark.parametrize(
-    "captions,speakers,n_words",
-    [
-        ([(0.0, "we will vote"), (1.05, "will vote now")], None, 4),  # the new one begins while the old one is shown
-        ([(0.0, "we will vote"), (0.6, "will vote now")], None, 4),  # both run side by side
-        ([(0.0, "a b c d"), (1.7, "b c d e"), (3.4, "c d e f")], None, 6),
-        ([(0.0, "a b c d"), (1.7, "x b c")], None, 7),
-        ([(0.0, "yes yes yes"), (1.2, "yes no")], None, 4),
-        ([(0.0, "a b c"), (1.05, "b c d")], ["spk1", "spk2"], 6),  # another speaker repeats nothing
-        ([(0.0, "a b c"), (1.05, "b c d")], ["spk1", None], 4),
-        ([(0.0, "a b c"), (1.8, "b c d")], None, 6),  # no overlap in time: said twice
-    ],
-)
-def test_rolling_captions_overlap_by_words(spark, chunk, captions, speakers, n_words):
-    rows = caption_rows(captions, speakers)
-    got = speaker_turns(spark.createDataFrame(rows, SCHEMA), ["m", "seg"], chunk=chunk).collect()
-    assert sum(r.n_words for r in got) == n_words
+def test_rolling_captions_overlap_by_words(spark, chunk):
+    rows = [r for k, (captions, speakers, _) in enumerate(CAPTIONS) for r in caption_rows(k, captions, speakers)]
+    got = speaker_turns(spark.createDataFrame(rows, SCHEMA), ["m", "seg"], chunk=chunk).groupBy("seg").agg(F.sum("n_words").alias("n")).collect()
+    assert {r.seg: r.n for r in got} == {k: n for k, (*_, n) in enumerate(CAPTIONS)}
 
 
 def test_pause_is_calibrated_within_bounds(spark):
