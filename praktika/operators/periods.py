@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from praktika.operators.chunks import prefix_sum
+from praktika.operators.lineage import cut
 
 #: A chunk of an entity's time line; after merging equal times it holds at most this many boundaries of one kind.
 CHUNK_MS = 600_000
@@ -40,7 +41,8 @@ def periods_and_gaps(df: DataFrame, entity: list[str], start: str, end: str, chu
     ends = ranked("_t", "_end").select("_e", "_end", "_rank")
     gaps = starts.where("_rank > 0").join(ends, ["_e", "_rank"]).where("_start > _end").select("_e", "_end", "_start")
 
-    numbered = prefix_sum(gaps.withColumns({"_chunk": F.floor(F.col("_start") / chunk_ms), "_one": F.lit(1)}), "_e", "_chunk", [F.col("_start")], "_one", "_k")
+    # gaps are asked for five times below: they are found once
+    numbered = cut(prefix_sum(gaps.withColumns({"_chunk": F.floor(F.col("_start") / chunk_ms), "_one": F.lit(1)}), "_e", "_chunk", [F.col("_start")], "_one", "_k").select("_e", "_start", "_end", "_k"))
     whole = rows.groupBy("_e").agg(F.min("_s").alias("_first"), F.max("_t").alias("_last"), F.lit(0).cast("bigint").alias("_k"))
     count = numbered.groupBy("_e").agg(F.max("_k").alias("_gaps"))
     opened = numbered.select("_e", "_k", F.col("_start").alias("_from")).unionByName(whole.select("_e", "_k", F.col("_first").alias("_from")))
@@ -48,5 +50,5 @@ def periods_and_gaps(df: DataFrame, entity: list[str], start: str, end: str, chu
         whole.join(count, "_e", "left").select("_e", F.coalesce("_gaps", F.lit(0)).cast("bigint").alias("_k"), F.col("_last").alias("_to"))
     )
     periods = opened.join(closed, ["_e", "_k"]).select("_e", F.lit("period").alias("row_kind"), F.col("_from").alias("start_ms"), F.col("_to").alias("end_ms"))
-    out = periods.unionByName(gaps.select("_e", F.lit("gap").alias("row_kind"), F.col("_end").alias("start_ms"), F.col("_start").alias("end_ms")))
+    out = periods.unionByName(numbered.select("_e", F.lit("gap").alias("row_kind"), F.col("_end").alias("start_ms"), F.col("_start").alias("end_ms")))
     return out.select(*[F.col(f"_e.e{i}").alias(c) for i, c in enumerate(entity)], "row_kind", "start_ms", "end_ms")
