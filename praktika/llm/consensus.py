@@ -46,14 +46,18 @@ def _odds(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 
 
-def _reliabilities(edges: DataFrame) -> DataFrame:
-    """Per annotator, space and class: soft counts, and what belongs to the space and the class as a whole."""
-    by_class = edges.groupBy("_space", "_cls", "_ann").agg(
+def _counts(edges: DataFrame) -> DataFrame:
+    """Soft counts per annotator, space and class."""
+    return edges.groupBy("_space", "_cls", "_ann").agg(
         F.sum(F.when(F.col("_hit"), F.col("_p")).otherwise(0.0)).alias("tp"),
         F.sum("_p").alias("pos"),
         F.sum(F.when(F.col("_hit"), 1 - F.col("_p")).otherwise(0.0)).alias("fp"),
         F.sum(F.col("_hit").cast("double")).alias("hits"),
     )
+
+
+def _reliabilities(by_class: DataFrame) -> DataFrame:
+    """Soft counts, with what belongs to the space and the class as a whole."""
     in_space = by_class.groupBy("_space", "_ann").agg(F.sum("tp").alias("tp_s"), F.sum("hits").alias("n_s"))
     of_class = by_class.groupBy("_space", "_cls").agg(F.sum("pos").alias("pos_c"))
     size = of_class.groupBy("_space").agg(F.count("*").alias("k"), F.sum("pos_c").alias("pos_all"))
@@ -85,7 +89,9 @@ def consensus(df: DataFrame, item: str, annotator: str, space: Column, label: Co
 
     before, rounds, change, moved, small = None, 0, 0.0, 0.0, None
     while True:
-        rates = cut(_reliabilities(edges))
+        counts = cut(_counts(edges))  # the edges are read once for them
+        rates = cut(_reliabilities(counts))
+        drop(counts)
         now = rates.select("_space", "_ann", (F.col("tp_s") / F.col("n_s")).alias("now")).distinct()
         if before is not None:
             change = now.join(before, ["_space", "_ann"]).agg(F.max(F.abs(F.col("now") - F.col("was")))).first()[0] or 0.0
