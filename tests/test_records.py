@@ -37,7 +37,7 @@ def test_errors_by_the_first_cause_that_tells(spark):
         [("APIConnectionError", None, "x")],
         [("Error", None, "HTTP 503 network"), ("InternalServerError", None, "x")],
         [("APIError", "overloaded_error", "x")],
-        [("AnthropicError", None, "x"), ("TypeError", None, "terminated")],
+        [("ServiceError", None, "x"), ("TypeError", None, "terminated")],
         [("Error", None, "network"), ("Error", None, "500")],
         [],
         None,
