@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 EDITS, LONG, SHORT = 2, 10, 6
 #: Letters of an abbreviated surname that can stand for it.
 STEM = 3
+#: Names and words that a worker remembers of each kind, some 2 KB each: pairs come city by city.
+CACHED = 10_000
 
 # Given names and their short forms, without accents.
 SHORT_FORMS = {
@@ -43,7 +45,7 @@ def fold(text: str) -> str:
     return _LATIN_RE.sub(lambda m: LATIN[m.group()], plain) if re.search("[a-z]", plain) else plain
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=CACHED)
 def sound(word: str) -> str:
     """What a folded word sounds like: one letter per vowel sound, no doubled letter."""
     for spelled, heard in SOUNDS:
@@ -71,7 +73,7 @@ class Person:
         return tuple(dict.fromkeys(map(how, self.given))), tuple(dict.fromkeys(map(how, self.surnames)))
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=CACHED)
 def person(name: str) -> Person | None:
     """The parts of a roster name, in whatever order it has them."""
     inside = [fold(x) for x in re.findall(r"\(([^)]*)\)", name)]
@@ -94,7 +96,7 @@ class Spelling:
     short: tuple[tuple[str, str], ...]  # abbreviated words as (beginning, end)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=CACHED)
 def spelling(raw: str) -> Spelling:
     """The words of a name as typed: whole ones and abbreviated ones (Ν., Χαρ., Βασ/κή)."""
     text = re.sub(r"\([^)]*\)?", " ", unicodedata.normalize("NFC", raw))
@@ -114,7 +116,7 @@ def spelling(raw: str) -> Spelling:
     return Spelling(tuple(words), tuple(short))
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=CACHED)
 def _letters(text: str) -> frozenset[str]:
     return frozenset(text)
 
@@ -310,8 +312,10 @@ def link_spellings(spellings: DataFrame, roster: DataFrame, within: str, raw: st
     typed = spellings.select(F.col(within).alias("_in"), F.col(raw).alias("_raw")).where("_in is not null and _raw is not null").distinct()
     index = people.withColumn("_key", F.explode(keys_of_person("_name")))
     probes = typed.withColumn("_key", F.explode(keys_of_spelling("_raw")))
-    pairs = probes.join(index, ["_in", "_key"]).select("_in", "_raw", "_id", "_name").distinct()
-    near = pairs.withColumn("_d", away("_raw", "_name")).where("_d is not null and not isnan(_d)").groupBy("_in", "_raw", "_id").agg(F.min("_d").alias("_d"))
+    # merged: Catalyst knows nothing of the many keys of a row and would send the whole index to the driver and on
+    pairs = probes.join(index.hint("merge"), ["_in", "_key"]).select("_in", "_raw", "_id", "_name").distinct()
+    # in this order the few names of a place recur, so that a worker need not remember all
+    near = pairs.sortWithinPartitions("_in", "_raw").withColumn("_d", away("_raw", "_name")).where("_d is not null and not isnan(_d)").groupBy("_in", "_raw", "_id").agg(F.min("_d").alias("_d"))
     # one row per candidate person of one spelling: as many as share a segment with it
     rank = Window.partitionBy("_in", "_raw").orderBy("_d")
     first = near.withColumns({"_rank": F.row_number().over(rank), "_next": F.lead("_d").over(rank)}).where("_rank = 1 and (_next is null or _next > _d)")

@@ -25,5 +25,5 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "people").select("city_id", F.col("id").alias("person_id"), "name").distinct()
     typed = typed_names(spark, sf_dir)
     linked = link_spellings(typed, people, "city_id")
-    same = people.select("city_id", "person_id", F.col("name").alias("raw_name"))
-    return typed.join(linked.join(same, ["city_id", "person_id", "raw_name"], "left_anti"), ["city_id", "raw_name"]).select("meeting_id", "raw_name", "person_id").distinct()
+    same = people.select("city_id", "person_id", F.col("name").alias("raw_name")).hint("merge")
+    return typed.hint("merge").join(linked.join(same, ["city_id", "person_id", "raw_name"], "left_anti"), ["city_id", "raw_name"]).select("meeting_id", "raw_name", "person_id").distinct()

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from praktika.llm.names import allowed, banded, distance, index_keys, link_spellings, probe_keys
+from praktika.llm.names import allowed, banded, distance, index_keys, link_spellings, person, probe_keys, spelling
 
 ROSTER = [
     ("c", "p1", "Ευστράτιος Βρετογίνης"), ("c", "p2", "Αθανάσιος (Σάκης) Λιβουλέας"), ("c", "p3", "Σταυρούλα (Βούλα) Στεφολίδου"), ("c", "p4", "ΜΑΝΔΕΛΙΝΗ-ΓΚΙΝΕΛΟΠΟΥΛΟΥ ΔΗΜΗΤΡΑ"),
@@ -67,3 +67,22 @@ def test_long_beginnings_of_surnames_are_looked_up(spark):
     typed = spark.createDataFrame([("c", r) for r in raws], "city string, raw_name string")
     people = spark.createDataFrame([("c", "p1", "Γεώργιος Παπακωνσταντίνου"), ("c", "p2", "Άννα Παπακωνσταντίνου")], "city string, person_id string, name string")
     assert {r.raw_name: r.person_id for r in link_spellings(typed, people, "city").collect()} == dict.fromkeys(raws, "p1")
+
+
+def test_memory_does_not_grow_with_the_tables(spark, tmp_path):
+    """Small files unfold into large indices: none is broadcast, whatever Catalyst thinks of their size; the workers remember a part."""
+    from praktika.llm.plans.names import p2_found
+
+    changes = "array<struct<name string>>"
+    spark.createDataFrame([("m1", "c", ["Στρατής Βρετογίνης"], ["Χαρ. Φιλομάτος"], [])], f"meeting_id string, city_id string, present_members array<string>, absent_members array<string>, attendance_changes {changes}").write.parquet(f"{tmp_path}/raw_extractions.parquet")
+    spark.createDataFrame([(i, n, c) for c, i, n in ROSTER[:6]], "id string, name string, city_id string").write.parquet(f"{tmp_path}/people.parquet")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        got = p2_found(spark, str(tmp_path))
+        assert {(r.raw_name, r.person_id) for r in got.collect()} == {("Στρατής Βρετογίνης", "p1"), ("Χαρ. Φιλομάτος", "p6")}
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert max(f.cache_info().maxsize for f in (person, spelling)) <= 20_000
