@@ -138,6 +138,9 @@ def link_records(subjects: DataFrame, decisions: DataFrame, labels: DataFrame |
 
     Null texts, cities and dates match nothing by themselves; repeated rows count once; ties stay open; empty tables
     give an empty result. Out: subject_id, ada, rule, confidence.
+
+    Tables that grow with the records are merged: by their files, which are small beside what unfolds from them, Catalyst
+    would take them for small enough to be gathered on the driver. Only tokens, cities and rules are left to it.
     """
     s = subjects.where("subject_id is not null").dropDuplicates(["subject_id"]).select("subject_id", "meeting_id", "day", "position", city_of("city").alias("city"), tokens_of("text").alias("f"))
     d = decisions.where("ada is not null").dropDuplicates(["ada"]).select("ada", "issued", "published", "number", city_of("city").alias("city"), tokens_of("text").alias("f"))
@@ -147,7 +150,7 @@ def link_records(subjects: DataFrame, decisions: DataFrame, labels: DataFrame |
     for rule, wanted in RULES:
         open_ = pairs
         if done is not None:
-            open_ = pairs.join(done.select("subject_id"), "subject_id", "left_anti").join(done.select("ada"), "ada", "left_anti")
+            open_ = pairs.join(done.select("subject_id").hint("merge"), "subject_id", "left_anti").join(done.select("ada").hint("merge"), "ada", "left_anti")
         if "fits" in wanted:
             known = done
             open_ = _in_runs(open_, done)
@@ -162,22 +165,22 @@ def _met(s: DataFrame, d: DataFrame) -> DataFrame:
     """(subject_id, ada, lag) of records that meet in a join, and what they have in common."""
     n = s.select(F.explode("tokens.t").alias("t")).unionByName(d.select(F.explode("tokens.t").alias("t"))).groupBy("t").agg(F.count("*").alias("df"))
     total = s.count() + d.count()
-    weights = n.select("t", F.log(1 + F.lit(float(total)) / F.col("df")).alias("weight"))
+    weights = cut(n.select("t", F.log(1 + F.lit(float(total)) / F.col("df")).alias("weight")))
     ts = lambda x: F.explode(F.array_distinct(F.transform("tokens", lambda y: y["t"]))).alias(x)
     a = s.where("city is not null and day is not null").select("subject_id", "city", "day", ts("t")).select("subject_id", "city", "day", "t", F.explode(_day_keys()).alias("slot"))
     b = d.where("city is not null and (issued is not null or published is not null)").select("ada", "city", "published", F.col("issued").isNotNull().alias("dated"), "issued", _meeting_keys().alias("slots"), ts("t")).select("*", F.explode("slots").alias("slot")).drop("slots")
     lag_i, lag_p = F.datediff("issued", "day"), F.datediff("published", "day")
     lag = F.when(F.col("dated"), lag_i).otherwise(F.when(lag_p.between(0, PUBLISH_DAYS), lag_p + ISSUE_DAYS))
-    dated = a.join(b, ["city", "slot", "t"]).withColumn("lag", lag).where("lag is not null").select("subject_id", "ada", "t", "lag")
+    dated = a.join(b.hint("merge"), ["city", "slot", "t"]).withColumn("lag", lag).where("lag is not null").select("subject_id", "ada", "t", "lag")
     late = d.where("city is not null and issued is null and published is null")
     x = s.join(late.select("city").distinct(), "city", "left_semi").select("subject_id", "city", "tokens", F.explode(_undated()).alias("key"))
     y = late.select("ada", "city", F.col("tokens").alias("other"), F.explode(_undated()).alias("key"))
     common = F.array_intersect(F.transform("tokens", lambda z: z["t"]), F.transform("other", lambda z: z["t"]))
-    undated = x.join(y, ["city", "key"]).select("subject_id", "ada", F.explode(common).alias("t"), F.lit(9999).alias("lag")).distinct()
+    undated = x.join(y.hint("merge"), ["city", "key"]).select("subject_id", "ada", F.explode(common).alias("t"), F.lit(9999).alias("lag")).distinct()
     both = dated.unionByName(undated).join(weights, "t")
     met = both.groupBy("subject_id", "ada").agg(F.min("lag").alias("lag"), F.sum("weight").alias("w"), F.count("*").alias("n"), F.count_if(F.col("t").startswith("#")).alias("numbers"))
     whole = s.select("subject_id", ts("t")).join(weights, "t").groupBy("subject_id").agg(F.sum("weight").alias("all_w"), F.count("*").alias("all_n"))
-    shared = met.join(whole, "subject_id").select("subject_id", "ada", "lag", F.round("w", 1).alias("w"), "n", "numbers", (F.col("w") / F.col("all_w")).alias("share"), (F.col("all_n") - F.col("n")).alias("missing"))
+    shared = met.join(whole.hint("merge"), "subject_id").select("subject_id", "ada", "lag", F.round("w", 1).alias("w"), "n", "numbers", (F.col("w") / F.col("all_w")).alias("share"), (F.col("all_n") - F.col("n")).alias("missing"))
     return shared
 
 
@@ -185,7 +188,7 @@ def _features(met: DataFrame, s: DataFrame, d: DataFrame) -> DataFrame:
     """Pairs worth a look, with the tokens that speak against them."""
     left = s.select("subject_id", "meeting_id", "position", F.col("tokens").alias("ts"), F.col("money").alias("ms"))
     right = d.select("ada", "number", F.col("tokens").alias("td"), F.col("money").alias("md"), "cut")
-    kept = met.join(left, "subject_id").join(right, "ada").where(F.col("cut") | (F.col("share") >= LEAST_SHARE))
+    kept = met.join(left.hint("merge"), "subject_id").join(right.hint("merge"), "ada").where(F.col("cut") | (F.col("share") >= LEAST_SHARE))
     # two sums of money that have none in common speak of two matters
     kept = kept.where((F.size("ms") == 0) | (F.size("md") == 0) | F.arrays_overlap("ms", "md"))
     names = lambda c: F.transform(c, lambda x: x["t"])
@@ -193,7 +196,7 @@ def _features(met: DataFrame, s: DataFrame, d: DataFrame) -> DataFrame:
     kept = cut(kept.withColumns({"lacks_s": lacks("ts", "td"), "lacks_d": lacks("td", "ts")}))
     plain = _each_other(kept.where((F.col("share") >= PLAIN_SHARE) & (F.col("n") >= PLAIN_TOKENS)))
     seen = plain.where("not cut").select(F.lit("s").alias("side"), F.explode("ts").alias("x"), F.col("lacks_s").alias("l")).unionByName(plain.select(F.lit("d").alias("side"), F.explode("td").alias("x"), F.col("lacks_d").alias("l")))
-    seen = seen.select("side", "x.t", (~F.array_contains(names("l"), F.col("x.t"))).cast("int").alias("hit")).groupBy("side", "t").agg(F.sum("hit").alias("hits"), F.count("*").alias("seen"))
+    seen = cut(seen.select("side", "x.t", (~F.array_contains(names("l"), F.col("x.t"))).cast("int").alias("hit")).groupBy("side", "t").agg(F.sum("hit").alias("hits"), F.count("*").alias("seen")))
     base = seen.groupBy("side", F.col("t").startswith("#").alias("is_number")).agg((F.sum("hits") / F.sum("seen")).alias("base"))
     base = {(r.side, r.is_number): r.base for r in base.collect()}  # four rows at most
     prior = lambda side, t: F.when(t.startswith("#"), base.get((side, True), 1.0)).otherwise(base.get((side, False), 1.0))
@@ -205,7 +208,7 @@ def _features(met: DataFrame, s: DataFrame, d: DataFrame) -> DataFrame:
     typed = (F.col("w") != "") & F.exists("others", lambda o: (o["w"] != "") & (F.abs(F.length(o["w"]) - F.length("w")) <= 2) & (F.levenshtein(o["w"], F.col("w")) <= edits))
     against = lost.where((share >= FAITHFUL) & ~typed).groupBy("subject_id", "ada").agg(F.count_if(F.col("side") == "s").alias("against_s"), F.count_if((F.col("side") == "s") & F.col("seen").isNotNull()).alias("known_against_s"), F.count_if(F.col("side") == "d").alias("against_d"))
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("against_s", "known_against_s", "against_d")}
-    return cut(kept.drop("ts", "td", "ms", "md", "lacks_s", "lacks_d").join(against, ["subject_id", "ada"], "left").withColumns(zero))
+    return cut(kept.drop("ts", "td", "ms", "md", "lacks_s", "lacks_d").join(against.hint("merge"), ["subject_id", "ada"], "left").withColumns(zero))
 
 
 def _each_other(pairs: DataFrame) -> DataFrame:
@@ -227,17 +230,17 @@ def _in_runs(pairs: DataFrame, done: DataFrame) -> DataFrame:
     """
     runs = done.where("number is not null and position is not null").groupBy("meeting_id").agg(F.percentile_approx(F.col("number") - F.col("position"), 0.5).alias("begin"), F.count("*").alias("known"))
     off = F.abs(F.col("number") - F.col("position") - F.col("begin"))
-    return pairs.join(runs, "meeting_id", "left").withColumns({"off": off, "fits": F.when(F.col("known") >= RUN_KNOWN, (off <= RUN_SLACK).cast("int"))}).drop("begin", "known")
+    return pairs.join(runs.hint("merge"), "meeting_id", "left").withColumns({"off": off, "fits": F.when(F.col("known") >= RUN_KNOWN, (off <= RUN_SLACK).cast("int"))}).drop("begin", "known")
 
 
 def _with_confidence(done: DataFrame, known: DataFrame, pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
     last, wanted = RULES[-1]
     if labels is not None:
-        marked = done.join(labels.select("subject_id", F.col("ada").alias("right_ada")).distinct(), "subject_id").select("rule", (F.col("ada") == F.col("right_ada")).cast("double").alias("good"))
+        marked = done.join(labels.select("subject_id", F.col("ada").alias("right_ada")).distinct().hint("merge"), "subject_id").select("rule", (F.col("ada") == F.col("right_ada")).cast("double").alias("good"))
     else:
         by_run = _in_runs(known, known).where("fits is not null").select("rule", F.col("fits").cast("double").alias("good"))
         tried = _each_other(_in_runs(pairs, known).where(wanted)).select("subject_id", F.col("ada").alias("tried"))
-        by_pairs = known.join(tried, "subject_id").select(F.lit(last).alias("rule"), (F.col("ada") == F.col("tried")).cast("double").alias("good"))
+        by_pairs = known.join(tried.hint("merge"), "subject_id").select(F.lit(last).alias("rule"), (F.col("ada") == F.col("tried")).cast("double").alias("good"))
         marked = by_run.unionByName(by_pairs)
     precision = marked.groupBy("rule").agg(((F.sum("good") + RIGHT) / (F.count("*") + RIGHT + WRONG)).alias("confidence"))
     return done.join(precision, "rule", "left").select("subject_id", "ada", "rule", F.coalesce("confidence", F.lit(RIGHT / (RIGHT + WRONG))).alias("confidence"))

@@ -15,7 +15,7 @@ registry = Registry()
 def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
     subjects = table(spark, sf_dir, "match_subjects").select("subject_id", "meeting_id", F.col("city_name").alias("city"), F.to_date("meeting_date").alias("day"), F.col("agenda_item_index").alias("position"), F.col("name").alias("text"))
     days = subjects.groupBy("meeting_id").agg(F.min("day").alias("day"))
-    subjects = subjects.drop("day").join(days, "meeting_id")
+    subjects = subjects.drop("day").join(days.hint("merge"), "meeting_id")
     # a decision published again keeps its identifier: its first publication counts
     row = F.struct(F.col("publish_timestamp_ms").isNull(), "publish_timestamp_ms", "ord", "subject", "protocol_number", "organization_label")
     first = table(spark, sf_dir, "decisions").groupBy("ada").agg(F.min(row).alias("r"), F.min("issue_date_ms").alias("issued"), F.min("publish_timestamp_ms").alias("published"), F.max("protocol_number").alias("protocol"))

@@ -1,7 +1,9 @@
 import datetime as dt
+import re
 
 import pytest
 
+from praktika.llm import entities
 from praktika.llm.entities import city_key, link_records, tokens
 
 S = "subject_id string, meeting_id string, city string, day date, position int, text string"
@@ -84,3 +86,19 @@ def test_equal_titles_of_any_kind_and_undated_decisions(spark, kind):
     s = spark.createDataFrame([(f"s{k}", "m1", "Δήμος Άλλης", DAY, i, titles[k]) for i, k in enumerate(kind)], S)
     d = spark.createDataFrame([(f"a{k}", "Δ. Άλλης", None, None if k in "bd" else day(3), None, titles[k].upper()) for k in kind], D)
     assert {(r.subject_id, r.ada) for r in link_records(s, d).collect()} == {(f"s{k}", f"a{k}") for k in kind}
+
+
+def test_tables_of_records_are_not_gathered_on_the_driver(spark, monkeypatch):
+    plans, cut, threshold = [], entities.cut, "spark.sql.autoBroadcastJoinThreshold"
+    planned = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(entities, "cut", lambda df: planned(df) or cut(df))
+    s, d = spark.createDataFrame(SUBJECTS, S), spark.createDataFrame(DECISIONS, D)
+    old = spark.conf.get(threshold)
+    spark.conf.set(threshold, "1g")
+    try:
+        planned(got := link_records(s, d))
+        assert {(r.subject_id, r.ada) for r in got.collect()} == PAIRS
+    finally:
+        spark.conf.set(threshold, old)
+    joins = [line for p in plans for line in p.split("\n") if "Broadcast" in line and "Join" in line]
+    assert not [j for j in joins if re.search("subject_id|ada|meeting_id|slot|key", j)] and any("SortMergeJoin" in p for p in plans)
